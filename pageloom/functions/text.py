@@ -35,6 +35,7 @@ def singular_english(terms: Column | str) -> Column:
     An approximation of stemming. Each rule runs once over the joined terms of a
     document instead of once per term.
     """
+    terms = F.col(terms) if isinstance(terms, str) else terms
     joined = F.array_join(terms, " ")
     for pattern, replacement in ENGLISH_PLURAL_RULES:
         joined = F.regexp_replace(joined, pattern, replacement)

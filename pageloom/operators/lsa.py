@@ -76,7 +76,9 @@ def _right_factor(rows: DataFrame, n_terms: int, n_concepts: int, gram_terms: in
     """Term factor (terms × concepts) and strengths, largest first."""
     k = min(n_concepts, n_terms)
     if n_terms <= gram_terms:
-        gram = RowMatrix(rows.select("w"), 0, n_terms).computeGramianMatrix().toArray()
+        # One Gram matrix per task: as many tasks as can run, however many files there are.
+        merged = rows.select("w").coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
+        gram = RowMatrix(merged, 0, n_terms).computeGramianMatrix().toArray()
         values, vectors = np.linalg.eigh(gram)
         sigma, v = np.sqrt(np.maximum(values[::-1][:k], 0.0)), vectors[:, ::-1][:, :k]
     else:

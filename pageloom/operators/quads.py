@@ -32,40 +32,48 @@ CATEGORY_NAMESPACES = {
 }
 
 
-def category_quads(pages: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
-    """One row per category link of an article's first revision.
+def marked_lines(pages: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
+    """Heading and category lines of each page's first revision, in place of its text.
 
-    Needs ``lang, title, ns, revision_id, revision_text``. With ``namespaces``,
-    pages of other languages are skipped. The context counts lines from 1, overall
-    and from the last heading. Links with a leading colon only mention a category.
-
-    Lines are told apart inside the row, so a page never leaves its task: the plan
-    has no shuffle, and the only join is against the small namespace table.
+    Needs ``lang, revision_text``. Lines are numbered from 1 and told apart inside
+    the row, so a page never leaves its task; the only join is against the small
+    namespace table. What is left of a page is small enough to stage.
     """
     table = pages.sparkSession.createDataFrame(
         list((namespaces or CATEGORY_NAMESPACES).items()), "lang string, namespace string"
     )
-    how = "left" if namespaces is None else "inner"
-    namespace = F.coalesce("namespace", F.lit("Category"))
-    articles = (
-        pages.where("coalesce(ns, 0) = 0")
-        .join(F.broadcast(table), "lang", how)
-        .select(
-            "lang", "title", "revision_id",
-            namespace.alias("namespace"),
-            F.concat(
-                F.lit(r"(?iu)\[\[\s*(?:Category|"), namespace, F.lit(r")\s*:\s*([^\]\[|#]+)")
-            ).alias("link"),
-            F.transform(
-                F.split("revision_text", "\n"), lambda line, i: F.struct((i + 1).alias("n"), line.alias("line"))
-            ).alias("lines"),
-        )
+    namespace = F.coalesce("namespace", F.lit("Category")) if namespaces is None else F.col("namespace")
+    pattern = F.concat(F.lit(r"(?iu)\[\[\s*(?:Category|"), namespace, F.lit(r")\s*:\s*([^\]\[|#]+)"))
+    numbered = F.transform(F.split("revision_text", "\n"), lambda line, i: F.struct((i + 1).alias("n"), line.alias("line")))
+    rest = [c for c in pages.columns if c != "revision_text"]
+    lines = pages.join(F.broadcast(table), "lang", "left").select(
+        *rest, namespace.alias("namespace"), pattern.alias("link"), numbered.alias("lines")
     )
-    marked = articles.select(
-        "lang", "title", "revision_id", "namespace", "link",
+    return lines.select(
+        *rest, "namespace", "link",
         F.filter("lines", lambda x: x["line"].startswith("=") & x["line"].rlike(HEADING)).alias("headings"),
-        F.explode(F.filter("lines", lambda x: x["line"].contains("[[") & F.regexp_like(x["line"], F.col("link")))).alias("at"),
+        F.filter("lines", lambda x: x["line"].contains("[[") & F.regexp_like(x["line"], F.col("link"))).alias("links"),
     )
+
+
+def category_quads(pages: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
+    """One row per category link of an article's first revision.
+
+    Needs ``lang, title, ns, revision_id, revision_text``. With ``namespaces``,
+    pages of other languages are skipped. The context counts lines from 1, overall
+    and from the last heading. Links with a leading colon only mention a category.
+    The plan has no shuffle.
+    """
+    needed = pages.select("lang", "title", "ns", "revision_id", "revision_text")
+    return quads_of_lines(marked_lines(needed, namespaces))
+
+
+def quads_of_lines(marked: DataFrame) -> DataFrame:
+    """The rows of :func:`category_quads` from those of :func:`marked_lines`."""
+    at = F.explode_outer("links").alias("at")
+    marked = marked.where("coalesce(ns, 0) = 0 AND namespace IS NOT NULL").select(
+        "lang", "title", "revision_id", "namespace", "link", "headings", at
+    ).where("at IS NOT NULL")
     linked = marked.select(
         "lang", "title", "revision_id", "namespace", "at",
         F.try_element_at(F.filter("headings", lambda h: h["n"] <= F.col("at.n")), F.lit(-1)).alias("heading"),

@@ -17,11 +17,21 @@ from pageloom.functions.text import singular_english, tokenize
 # Tables up to this many rows are broadcast; a row is a term and a few numbers,
 # so the broadcast stays below about 20 MB. Larger ones go through a shuffle join.
 BROADCAST_ROWS = 200_000
+SALTS = 16
 
 
-def broadcast_if_small(df: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast ``df`` when it is known to have few rows, else let Spark pick the join."""
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str, table_rows: int | None, salt_by: str = "doc_id") -> DataFrame:
+    """Join corpus rows to a table with one row per key.
+
+    A table known to be small is broadcast. Otherwise one term may hold a large
+    part of all rows, so each key is spread over ``SALTS`` partitions by document
+    and the table is repeated that often.
+    """
+    if table_rows is not None and table_rows <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
+    repeated = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def tokenize_documents(
@@ -65,27 +75,29 @@ def drop_stop_words(docs: DataFrame, stop_words: list[str]) -> DataFrame:
     return remover.transform(docs.withColumnRenamed("terms", "_terms")).select(*docs.columns)
 
 
-def drop_stop_terms(rows: DataFrame, stop_table: DataFrame) -> DataFrame:
+def drop_stop_terms(rows: DataFrame, stop_table: DataFrame, stop_rows: int | None = None) -> DataFrame:
     """Remove rows whose ``term`` is in a stop-word table of any size."""
-    return rows.join(stop_table.select("term").distinct(), "term", "left_anti")
+    return lookup(rows, stop_table.select("term").distinct(), ["term"], "left_anti", stop_rows)
 
 
 def normalize_terms(docs: DataFrame, lemmas: DataFrame, lemma_rows: int | None = None) -> DataFrame:
     """Map ``terms`` through a table ``lang, term, lemma``; unlisted terms stay.
 
-    Each distinct term of a document is looked up once and repeated afterwards,
-    and documents with no terms are kept. Gives ``doc_id, lang, terms``; the terms
-    of a document come out sorted by the term looked up.
+    Needs ``doc_id, lang, terms``; a ``doc_id`` must be unique, and further columns
+    stay. Each distinct term of a document is looked up once and repeated
+    afterwards, and documents with no terms are kept. The terms of a document come
+    out sorted by the term looked up.
     """
-    rows = _run_starts(docs, ["doc_id", "lang"]).select("doc_id", "lang", F.inline_outer(_runs()).alias("term", "tf"))
+    rest = [c for c in docs.columns if c != "terms"]
+    rows = _run_starts(docs, rest).select(*rest, F.inline_outer(_runs()).alias("term", "tf"))
     table = lemmas.select("lang", "term", "lemma").dropDuplicates(["lang", "term"])
-    looked_up = rows.join(broadcast_if_small(table, lemma_rows), ["lang", "term"], "left")
     found = F.when(
         F.col("term").isNotNull(), F.struct("term", F.coalesce("lemma", "term").alias("lemma"), "tf")
     )
-    gathered = looked_up.groupBy("doc_id", "lang").agg(F.sort_array(F.collect_list(found)).alias("found"))
+    looked_up = lookup(rows, table, ["lang", "term"], "left", lemma_rows)
+    gathered = looked_up.groupBy(*rest).agg(F.sort_array(F.collect_list(found)).alias("found"))
     repeated = F.flatten(F.transform("found", lambda x: F.array_repeat(x["lemma"], x["tf"])))
-    return gathered.select("doc_id", "lang", repeated.alias("terms"))
+    return gathered.select(*rest, repeated.alias("terms"))
 
 
 def _run_starts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -152,7 +164,7 @@ def tfidf(docs: DataFrame, vocab: DataFrame, n_terms: int | None = 50_000) -> Da
 
     ``n_terms`` bounds the rows of ``vocab`` and decides whether it is broadcast.
     """
-    joined = term_counts(docs).join(broadcast_if_small(vocab.select("term", "idx", "idf"), n_terms), "term")
+    joined = lookup(term_counts(docs), vocab.select("term", "idx", "idf"), ["term"], "inner", n_terms)
     return joined.select("doc_id", "idx", (F.col("idf") * F.col("tf") / F.col("n_terms")).alias("w"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pageloom.operators import entities as ent
 from pageloom.operators.lsa import Lsa, lsa, relevance_table
 from pageloom.operators.pages import filter_articles, parse_pages, split_rejects
-from pageloom.operators.quads import category_quads
+from pageloom.operators.quads import marked_lines, quads_of_lines
 from pageloom.operators.terms import drop_stop_words, keep_documents, normalize_terms, tokenize_documents
 from pageloom.sources.dumps import list_languages, read_pages
 from pageloom.sources.entities import read_entities
@@ -28,15 +28,15 @@ def extract_statements(
 ) -> None:
     """Page dumps to ``output/quads`` and ``output/rejects``.
 
-    The parsed pages are staged, so dumps are decompressed and parsed once.
+    Dumps are decompressed and parsed once; only headings and category lines are staged.
     """
     if list_languages(spark, dumps).isEmpty():
         raise ValueError(f"no dump with a language in its name under {dumps}")
     columns = ["lang", "title", "ns", "revision_id", "revision_text", "reason", "head"]
-    parsed = stage(parse_pages(read_pages(spark, dumps)).select(columns), "pages")
-    good, rejects = split_rejects(parsed, "pages")
-    write_tables({"quads": category_quads(good, namespaces), "rejects": rejects}, output, mode)
-    drop_staged(parsed)
+    marked = stage(marked_lines(parse_pages(read_pages(spark, dumps)).select(columns), namespaces), "lines")
+    good, rejects = split_rejects(marked, "pages")
+    write_tables({"quads": quads_of_lines(good), "rejects": rejects}, output, mode)
+    drop_staged(marked)
 
 
 def entity_tables(parsed: DataFrame, strict: bool = False) -> dict[str, DataFrame]:
@@ -68,6 +68,7 @@ def article_terms(
     stop_words: list[str] | None = None,
     lang: str | None = None,
     lemmas: DataFrame | None = None,
+    lemma_rows: int | None = None,
     singular: bool = False,
     stop_first: bool = False,
 ) -> DataFrame:
@@ -79,8 +80,8 @@ def article_terms(
     docs = filter_articles(good).select(F.col("page_id").alias("doc_id"), "title", "lang", "text")
     if lemmas is None:
         return tokenize_documents(docs, stop_words, singular=singular, stop_first=stop_first).drop("lang")
-    tokens = stage(tokenize_documents(docs, stop_words if stop_first else None, min_terms=1), "tokens")
-    mapped = normalize_terms(tokens, lemmas).join(tokens.select("doc_id", "title"), "doc_id")
+    tokens = tokenize_documents(docs, stop_words if stop_first else None, min_terms=1)
+    mapped = normalize_terms(tokens, lemmas, lemma_rows)
     if stop_words and not stop_first:
         mapped = drop_stop_words(mapped, stop_words)
     return keep_documents(mapped.drop("lang"))
