@@ -14,7 +14,8 @@ from pageloom.operators.sampling import resample
 from pageloom.plans import jobs
 from pageloom.sources.dumps import list_languages, read_pages
 from pageloom.sources.entities import entity_lines
-from pageloom.functions.text import singular_english, tokenize
+from pageloom.sources.tables import read_table
+from pageloom.functions.text import tokenize
 from pageloom.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +26,11 @@ SMALL_VOCABULARY = 40
 CONCEPTS = 5
 
 
+KEYS = {"documents": "doc_id", "conversations": "text", "pages": "page_id", "events": "event_id", "embeddings": "vec_id"}
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_table(spark, f"{sf}/{name}.parquet", KEYS.get(name))
 
 
 def _terms(spark: SparkSession, sf: str, **options) -> DataFrame:
@@ -193,7 +197,8 @@ def filter_articles(spark, sf):
 
 
 def statements(spark, sf):
-    return sort_quads(category_quads(_good_pages(_page_records(spark, sf, _wikitext()))))
+    quads = category_quads(_good_pages(_page_records(spark, sf, _wikitext())))
+    return sort_quads(stage(quads, "quads"))
 
 
 def statements_job(spark, sf):

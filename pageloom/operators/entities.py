@@ -18,15 +18,20 @@ claims map<string, array<struct<mainsnak: struct<
 damaged string
 """
 
+# Fields that are objects, and that dumps write as [] when empty.
+EMPTY_OBJECT = r'"(labels|descriptions|sitelinks|claims)"\s*:\s*\[\s*\]'
+
 
 def parse_entities(lines: DataFrame) -> DataFrame:
     """``id, type, labels, descriptions, sitelinks, claims, reason, head`` per line of ``value``.
 
-    A field of an unexpected JSON type, such as ``"labels": []``, becomes null
-    and leaves the others usable; a line that is not JSON at all is rejected.
+    ``"labels": []`` means no labels. A field of any other unexpected type becomes
+    null and leaves the others usable; a line that is not JSON at all is rejected.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "damaged"}
-    parsed = bind(lines.select("value"), "e", F.from_json("value", ENTITY_SCHEMA, options))
+    # An empty array in place of an object would cost an exception for each line.
+    line = F.regexp_replace("value", EMPTY_OBJECT, r'"$1":{}')
+    parsed = bind(lines.select("value"), "e", F.from_json(line, ENTITY_SCHEMA, options))
     broken = F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull()
     reason = (
         F.when(F.col("e").isNull() | broken, "malformed line")

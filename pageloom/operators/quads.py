@@ -100,5 +100,8 @@ def quads_of_lines(marked: DataFrame) -> DataFrame:
 
 
 def sort_quads(quads: DataFrame) -> DataFrame:
-    """Total order over all seven columns, so one dominant language still splits into ranges."""
+    """Total order over all seven columns, so one dominant language still splits into ranges.
+
+    The range sort reads its input twice, first for a sample: stage it if it is costly.
+    """
     return quads.orderBy(*[F.col(c).asc_nulls_first() for c in QUAD_COLUMNS])
