@@ -30,7 +30,7 @@ def parse_entities(lines: DataFrame) -> DataFrame:
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "damaged"}
     # An empty array in place of an object would cost an exception for each line.
-    line = F.regexp_replace("value", EMPTY_OBJECT, r'"$1":{}')
+    line = F.when(F.contains("value", F.lit("[")), F.regexp_replace("value", EMPTY_OBJECT, r'"$1":{}')).otherwise(F.col("value"))
     parsed = bind(lines.select("value"), "e", F.from_json(line, ENTITY_SCHEMA, options))
     broken = F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull()
     reason = (

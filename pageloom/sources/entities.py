@@ -16,5 +16,5 @@ def read_entities(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def entity_lines(lines: DataFrame) -> DataFrame:
     """Drop array brackets, blank lines and the comma after an element."""
-    line = F.regexp_replace(F.trim(F.col("value")), r",\s*$", "")
+    line = F.btrim("value", F.lit(", \t\r\n"))
     return lines.select(line.alias("value")).where(~F.col("value").isin("", "[", "]"))
