@@ -80,13 +80,19 @@ def neighbors(rows: DataFrame, top_n: int | None = 20, digits: int = 6, block_ro
         a, b = pair[pair["left"]], pair[~pair["left"]].sort_values("id")
         if a.empty or b.empty:
             return pd.DataFrame({"id": a["id"][:0], "other": a["id"][:0], "score": np.empty(0)})
-        scores = np.round(np.stack(a["vec"]) @ np.stack(b["vec"]).T, digits) + 0.0
-        n = len(b) if top_n is None else min(top_n, len(b))
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        n, m = len(b) if top_n is None else min(top_n, len(b)), len(b)
+        # One whole number per pair that falls with the rounded score, then rises with the id.
+        order = np.stack(a["vec"]) @ np.stack(b["vec"]).T
+        order *= -(10**digits)
+        np.rint(order, out=order)
+        order *= m
+        order += np.arange(m)
+        best = np.sort(np.partition(order, n - 1, axis=1)[:, :n] if n < m else order, axis=1)
+        score, position = -np.floor_divide(best, m) / 10**digits, np.mod(best, m).astype(np.int64)
         return pd.DataFrame({
             "id": np.repeat(a["id"].to_numpy(), n),
-            "other": b["id"].to_numpy()[best.ravel()],
-            "score": np.take_along_axis(scores, best, axis=1).ravel(),
+            "other": b["id"].to_numpy()[position.ravel()],
+            "score": score.ravel() + 0.0,
         })
 
     found = placed.groupBy("a", "b").applyInPandas(product, f"id {id_type}, other {id_type}, score double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix, RowMatrix
@@ -66,9 +66,8 @@ def lsa(docs: DataFrame, n_concepts: int = 100, n_terms: int = 50_000, keep: tup
         F.col("w.values").alias("values"),
     )
     doc_factor = project(sparse, ["id", *keep], v / sigma)
-    term_factor = spark.createDataFrame(
-        pd.DataFrame({"id": vocab["term"], "idx": vocab["idx"], "vec": v.tolist()}), "id string, idx int, vec array<double>"
-    )
+    vec = pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1], v.ravel())
+    term_factor = spark.createDataFrame(pa.table({"id": vocab["term"], "idx": vocab["idx"], "vec": vec}))
     return Lsa(term_factor, doc_factor, sigma.tolist())
 
 

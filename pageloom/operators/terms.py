@@ -151,12 +151,18 @@ def idf(n_docs: Column, df: Column | str) -> Column:
 def vocabulary(docs: DataFrame, n_terms: int = 50_000) -> DataFrame:
     """The most frequent terms: ``term, idx, df, idf``, with idx from 0 by falling df, then term.
 
-    Every partition hands on at most ``n_terms`` rows, and the index is drawn over
-    the ``n_terms`` rows that are left.
+    One pass: every document also counts for a null term, whose frequency is the
+    corpus size and which therefore comes first. Every partition hands on at most
+    ``n_terms`` rows, and the index is drawn over the rows that are left.
     """
-    top = document_frequency(docs, n_terms)
-    position = F.row_number().over(Window.orderBy(F.desc("df"), "term")) - 1
-    return top.select("term", position.alias("idx"), "df", idf(corpus_size(docs).scalar(), "df").alias("idf"))
+    seen = F.array_append(F.array_distinct("terms"), F.lit(None).cast("string"))
+    counted = docs.select(F.explode(seen).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    order = [F.desc("df"), F.asc_nulls_first("term")]
+    by_rank = Window.orderBy(*order)
+    ranked = counted.orderBy(*order).limit(n_terms + 1).select(
+        "term", (F.row_number().over(by_rank) - 2).alias("idx"), "df", idf(F.first("df").over(by_rank), "df").alias("idf")
+    )
+    return ranked.where("term IS NOT NULL")
 
 
 def tfidf(docs: DataFrame, vocab: DataFrame, n_terms: int | None = 50_000) -> DataFrame:
