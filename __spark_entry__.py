@@ -388,6 +388,15 @@ def lsa_relevances(spark, sf):
     return relevance_table(_concepts(spark, sf))
 
 
+def concepts_job(spark, sf):
+    """The job's relevance table for the English documents, from written dumps."""
+    output = stage_path(spark, "relevances")
+    jobs.analyse_concepts(
+        spark, _written_dumps(spark, sf), output, STOP_WORDS, n_concepts=CONCEPTS, n_terms=VOCABULARY, lang="en"
+    )
+    return spark.read.parquet(output)
+
+
 def resampled(spark, sf):
     return resample(_table(spark, sf, "orders").select("o_orderkey"), 4.0, seed=7)
 
@@ -409,7 +418,7 @@ def queries() -> dict[str, Query]:
             claim_rejects, entity_rejects, entities_job,
             scale_rows, normalize_rows, matrix_row, top_entries,
             lsa_doc_energy, lsa_term_energy, lsa_doc_energy_iterative, lsa_term_neighbors, lsa_term_pairs,
-            lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, resampled,
+            lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, concepts_job, resampled,
         )
     }
 
@@ -444,6 +453,7 @@ w AS (SELECT doc_id, term, idx, idf * tf / n_terms AS w FROM c JOIN v USING (ter
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_WITHOUT_STOP = f"list_filter({_tok()}, lambda x: x NOT IN ({_STOP}))"
 _RULE = (
     "list_transform({0}, lambda x: regexp_replace(regexp_replace(regexp_replace(x,"
     " '([^ea])ies$', '\\1y'), '([^aeo])es$', '\\1e'), '([^us])s$', '\\1'))"
@@ -486,6 +496,52 @@ q AS (SELECT id, other, round(coalesce(score, 0), 6) + 0 AS score FROM p LEFT JO
 SELECT id, other, score FROM q"""
 
 
+def _eigen_sql(n_terms: int, concepts: int, steps: int = 1500) -> str:
+    """Strongest concepts by power iteration on the Gram matrix, each followed by deflation.
+
+    Ends with ``sigma (concept, sigma)``, ``v (concept, term, v)`` and ``u (concept, doc_id, u)``.
+    """
+    ctes = [_weights_sql(n_terms).replace("WITH ", "WITH RECURSIVE ", 1)]
+    ctes.append("""g AS (SELECT a.idx AS i, b.idx AS j, sum(a.w * b.w) AS g FROM w a JOIN w b USING (doc_id) GROUP BY ALL),
+gr AS (SELECT a.idx AS i, list(coalesce(g, 0.0) ORDER BY b.idx) AS r FROM v a CROSS JOIN v b LEFT JOIN g ON i = a.idx AND j = b.idx GROUP BY a.idx),
+m0 AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM gr)""")
+    for c in range(concepts):
+        ctes.append(f"""p{c} AS (
+  SELECT 0 AS step, list_transform(range(len(m)), lambda x: 1.0 + x / 1000.0) AS x FROM m0
+  UNION ALL
+  SELECT step + 1, list_transform(y, lambda a: a / l) FROM (
+    SELECT step, y, sqrt(list_inner_product(y, y)) AS l FROM (
+      SELECT step, list_transform(m, lambda r: list_inner_product(r, x)) AS y FROM p{c}, m{c} WHERE step < {steps}))),
+e{c} AS MATERIALIZED (
+  SELECT x, m, list_inner_product(x, list_transform(m, lambda r: list_inner_product(r, x))) AS l FROM p{c}, m{c} WHERE step = {steps}),
+m{c + 1} AS MATERIALIZED (SELECT list_transform(m, lambda r, i: list_transform(r, lambda a, j: a - l * x[i] * x[j])) AS m FROM e{c})""")
+    parts = " UNION ALL ".join(f"SELECT {c} AS concept, l, unnest(x) AS x, unnest(range(len(x))) AS idx FROM e{c}" for c in range(concepts))
+    ctes.append(f"""ev AS ({parts}),
+sg AS (SELECT concept, sign(arg_max(x, abs(x))) AS s FROM ev GROUP BY concept),
+vf AS (SELECT concept, sqrt(l) AS sigma, term, idx, x * s AS v FROM ev JOIN sg USING (concept) JOIN v USING (idx)),
+sf AS (SELECT DISTINCT concept, sigma FROM vf),
+uf AS (SELECT concept, d.doc_id, coalesce(u, 0) AS u FROM d CROSS JOIN sf LEFT JOIN (
+  SELECT concept, doc_id, sum(w.w * vf.v / sigma) AS u FROM w JOIN vf USING (idx) GROUP BY ALL) USING (concept, doc_id))""")
+    return ",\n".join(ctes)
+
+
+def _top_sql(factor: str, key: str, value: str) -> str:
+    return f"""{_eigen_sql(VOCABULARY, CONCEPTS)}
+SELECT concept, row_number() OVER (PARTITION BY concept ORDER BY score DESC, {key})::INTEGER AS rank, {key}, score
+FROM (SELECT concept, {key}, round({value}, 6) + 0.0 AS score FROM {factor}) QUALIFY rank <= 10"""
+
+
+_RELEVANCES = f"""{_eigen_sql(VOCABULARY, CONCEPTS)},
+vs AS (SELECT concept, term, v * sigma AS x FROM vf),
+un AS (SELECT concept, term, x / sqrt(sum(x * x) OVER (PARTITION BY term)) AS x FROM vs),
+tt AS (SELECT a.term AS id, b.term AS other, round(sum(a.x * b.x), 6) + 0.0 AS score FROM un a JOIN un b USING (concept) GROUP BY ALL),
+tn AS (SELECT * FROM tt QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other) <= 20)
+SELECT 'concept_strength' AS data_type, concept::VARCHAR AS ref, NULL AS key, round(sigma, 6) AS score FROM sf
+UNION ALL SELECT 'term_to_concept', concept::VARCHAR, term, round(v, 6) + 0.0 FROM vf
+UNION ALL SELECT 'doc_to_concept', concept::VARCHAR, doc_id::VARCHAR, round(u, 6) + 0.0 FROM uf
+UNION ALL SELECT 'term_to_term', id, other, score FROM tn"""
+
+
 def oracle_sql() -> dict[str, str]:
     energy = "SELECT {0} AS id, round(coalesce(sum(w * w), 0), 9) AS energy FROM {1} GROUP BY {0}"
     small = _weights_sql(SMALL_VOCABULARY)
@@ -505,9 +561,9 @@ def oracle_sql() -> dict[str, str]:
         "tfidf": f"{_weights_sql(50_000)} SELECT doc_id, idx, round(w, 9) AS w FROM w",
         "tfidf_capped": f"{_weights_sql(VOCABULARY)} SELECT doc_id, idx, round(w, 9) AS w FROM w",
         "document_vectors": f"{_weights_sql(VOCABULARY)} SELECT doc_id, idx, round(w, 9) AS w FROM w WHERE w <> 0",
-        "stop_words": f"""{_docs_sql(f"list_filter({_tok()}, lambda x: x NOT IN ({_STOP}))")}
+        "stop_words": f"""{_docs_sql(_WITHOUT_STOP)}
             SELECT doc_id, array_to_string(terms, ' ') AS terms FROM d""",
-        "stop_words_before_rule": f"""{_docs_sql(f"list_filter({_tok()}, lambda x: x NOT IN ({_STOP}))")}
+        "stop_words_before_rule": f"""{_docs_sql(_WITHOUT_STOP)}
             SELECT doc_id, array_to_string({_RULE.format('terms')}, ' ') AS terms FROM d""",
         "stop_word_table": f"""{_counts_sql()} SELECT doc_id, term, tf FROM c
             WHERE term NOT IN (SELECT unnest({_tok()}) FROM benchmark)""",
@@ -554,15 +610,22 @@ def oracle_sql() -> dict[str, str]:
                 WHEN 6 THEN replace(line, '"type":"item",', '') ELSE replace(line, '"id":', '"no":') END, 100) AS head
             FROM l WHERE k IN (3, 4, 6, 7)""",
         "entities_job": _CLAIMS.format(""),
-        "scale_rows": f"SELECT vec_id AS id, concept, round(x * (concept + 1), 6) AS score FROM ({_VECTOR})",
-        "normalize_rows": f"""SELECT vec_id AS id, concept, round(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)), 6) AS score
+        "scale_rows": f"SELECT vec_id AS id, concept, round(x * (concept + 1), 6) + 0.0 AS score FROM ({_VECTOR})",
+        "normalize_rows": f"""SELECT vec_id AS id, concept, round(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)), 6) + 0.0 AS score
             FROM ({_VECTOR})""",
-        "matrix_row": f"SELECT vec_id AS id, concept, round(x, 6) AS score FROM ({_VECTOR}) WHERE vec_id = 42",
+        "matrix_row": f"SELECT vec_id AS id, concept, round(x, 6) + 0.0 AS score FROM ({_VECTOR}) WHERE vec_id = 42",
         "top_entries": f"""SELECT concept, row_number() OVER (PARTITION BY concept ORDER BY score DESC, id) AS rank, id, score
-            FROM (SELECT vec_id AS id, concept, round(x, 6) AS score FROM ({_VECTOR})) QUALIFY rank <= 10""",
+            FROM (SELECT vec_id AS id, concept, round(x, 6) + 0.0 AS score FROM ({_VECTOR})) QUALIFY rank <= 10""",
         "lsa_doc_energy": doc_energy,
         "lsa_doc_energy_iterative": doc_energy,
         "lsa_term_energy": f"{small} " + energy.format("term", "w"),
+        "lsa_concept_strength": f"{_eigen_sql(VOCABULARY, CONCEPTS)} SELECT concept, round(sigma, 6) AS sigma FROM sf",
+        "lsa_top_terms": _top_sql("vf", "term", "v"),
+        "lsa_top_docs": _top_sql("uf", "doc_id", "u"),
+        "lsa_relevances": _RELEVANCES,
+        "concepts_job": _RELEVANCES.replace(_docs_sql()[5:], _docs_sql(_WITHOUT_STOP)[5:].replace("documents)", "documents WHERE lang = 'en')")).replace(
+            "doc_id::VARCHAR", "'Doc ' || doc_id || ' (' || (SELECT source FROM documents s WHERE s.doc_id = uf.doc_id) || ')'"
+        ),
         "lsa_term_pairs": _COSINE,
         "lsa_term_neighbors": f"""{_COSINE} QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other) <= 10""",
     }

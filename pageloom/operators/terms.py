@@ -14,20 +14,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pageloom.functions.binding import bind
 from pageloom.functions.text import singular_english, tokenize
 
-# Tables up to this many rows are broadcast; a row is a term and a few numbers,
-# so the broadcast stays below about 20 MB. Larger ones go through a shuffle join.
+# Tables up to this size are broadcast; a row is a term or two and a few numbers, so
+# the broadcast stays within tens of MB. Larger ones go through a shuffle join.
 BROADCAST_ROWS = 200_000
+BROADCAST_CHARS = 20_000_000
 SALTS = 16
 
 
+def is_small(table: DataFrame, rows: int | None = None) -> bool:
+    """Whether a table may be broadcast: by the caller's bound on its rows, else by measuring.
+
+    Measuring stops after ``BROADCAST_ROWS`` rows and also counts the text they hold.
+    """
+    if rows is not None:
+        return rows <= BROADCAST_ROWS
+    texts = [F.coalesce(F.length(c), F.lit(0)) for c, kind in table.dtypes if kind == "string"]
+    size = F.sum(sum(texts, F.lit(0)).cast("long"))
+    found = table.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("rows"), F.coalesce(size, F.lit(0)).alias("chars")).first()
+    return found["rows"] <= BROADCAST_ROWS and found["chars"] <= BROADCAST_CHARS
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str, table_rows: int | None, salt_by: str = "doc_id") -> DataFrame:
     """Join corpus rows to a table with one row per key.
 
-    A table known to be small is broadcast. Otherwise one term may hold a large
-    part of all rows, so each key is spread over ``SALTS`` partitions by document
-    and the table is repeated that often.
+    A small table is broadcast. Otherwise one term may hold a large part of all
+    rows, so each key is spread over ``SALTS`` partitions by document and the table
+    is repeated that often.
     """
-    if table_rows is not None and table_rows <= BROADCAST_ROWS:
+    if is_small(table, table_rows):
         return rows.join(F.broadcast(table), keys, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
     repeated = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
@@ -168,7 +182,8 @@ def vocabulary(docs: DataFrame, n_terms: int = 50_000) -> DataFrame:
 def tfidf(docs: DataFrame, vocab: DataFrame, n_terms: int | None = 50_000) -> DataFrame:
     """``doc_id, idx, w`` with w = idf · tf / terms of the document; other terms are dropped.
 
-    ``n_terms`` bounds the rows of ``vocab`` and decides whether it is broadcast.
+    ``n_terms`` bounds the rows of ``vocab`` and decides whether it is broadcast; without
+    it the table is measured.
     """
     joined = lookup(term_counts(docs), vocab.select("term", "idx", "idf"), ["term"], "inner", n_terms)
     return joined.select("doc_id", "idx", (F.col("idf") * F.col("tf") / F.col("n_terms")).alias("w"))

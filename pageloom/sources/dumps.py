@@ -33,7 +33,8 @@ def read_pages(spark: SparkSession, path: str | list[str], lang: str | None = No
 
     The text source splits plain and bz2 files at any byte and still hands out
     each record once, because a record ends at its separator. Files without a
-    language are skipped. ``spark.sql.files.maxPartitionBytes`` sets the split size.
+    language, and with ``lang`` those of other languages, are left out when the scan is
+    planned and never opened. ``spark.sql.files.maxPartitionBytes`` sets the split size.
     A record cut off at the end of a file comes out with its end tag added and is
     left for :func:`pageloom.operators.pages.parse_pages` to reject.
     """

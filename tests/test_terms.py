@@ -11,6 +11,8 @@ from pageloom.operators import terms as tm
 from pageloom.operators.sampling import resample
 from pageloom.sources.words import default_stop_words, read_words
 
+LARGE = tm.BROADCAST_ROWS + 1  # a bound that rules a broadcast out
+
 TEXTS = [
     "The cat-sat on_it THE Cats 2cats naïve café Москва ab abc",
     "one",
@@ -100,7 +102,7 @@ def test_document_frequency_and_ties(corpus):
 
 
 @pytest.mark.parametrize("n_terms", [10, 1000])
-@pytest.mark.parametrize("bound", [None, 1000])
+@pytest.mark.parametrize("bound", [None, 1000, LARGE])
 def test_tfidf(corpus, n_terms, bound):
     data, df = corpus
     true = frequencies(data)
@@ -122,7 +124,7 @@ def test_tfidf(corpus, n_terms, bound):
             assert abs(w - expected.get((r["doc_id"], i), 0.0)) < 1e-12
 
 
-@pytest.mark.parametrize("rows", [None, 10])
+@pytest.mark.parametrize("rows", [None, 10, LARGE])
 def test_lemmas(spark, rows):
     docs = spark.createDataFrame(
         [(1, "en", "x", ["mice", "mouse", "ran", "mice"]), (2, "de", "y", ["mice"]), (3, "en", "z", [])],
@@ -133,7 +135,7 @@ def test_lemmas(spark, rows):
     assert got == {(1, "x"): Counter(mouse=3, run=1), (2, "y"): Counter(mice=1), (3, "z"): Counter()}
 
 
-@pytest.mark.parametrize("rows", [None, 10])
+@pytest.mark.parametrize("rows", [None, 10, LARGE])
 def test_stop_table(spark, corpus, rows):
     data, df = corpus
     table = spark.createDataFrame([("common",), ("aaa",), ("aaa",)], "term string")
@@ -144,10 +146,19 @@ def test_stop_table(spark, corpus, rows):
 def test_large_lookup_salts_a_hot_term(corpus):
     _, df = corpus
     table = df.sparkSession.createDataFrame([("common", 1)], "term string, x int")
-    plan = tm.lookup(tm.term_counts(df), table, ["term"], "inner", None)._jdf.queryExecution().optimizedPlan().toString()
+    plan = tm.lookup(tm.term_counts(df), table, ["term"], "inner", LARGE)._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan
 
 
+def test_small_tables_are_measured(spark, monkeypatch):
+    table = spark.createDataFrame([("word", 1), ("longer word", 2)], "term string, x int")
+    assert tm.is_small(table) and tm.is_small(table, 2) and not tm.is_small(table, LARGE)
+    monkeypatch.setattr(tm, "BROADCAST_CHARS", 5)
+    assert not tm.is_small(table)
+    monkeypatch.setattr(tm, "BROADCAST_ROWS", 1)
+    assert not tm.is_small(table)
+
+
 def test_word_files(spark, tmp_path):
     path = tmp_path / "stop.txt"
     path.write_text("the\nours\tourselves\n\nthe\n")
