@@ -121,7 +121,8 @@ def stop_word_table(spark, sf):
 def normalized_terms(spark, sf):
     docs = _terms(spark, sf)
     long = docs.select("lang", F.explode("terms").alias("term")).where(F.length("term") > 7).distinct()
-    mapped = tm.normalize_terms(docs, long.withColumn("lemma", F.left("term", F.lit(4))))
+    lemmas = stage(long.withColumn("lemma", F.left("term", F.lit(4))), "lemmas")
+    mapped = tm.normalize_terms(docs, lemmas)
     return tm.term_counts(mapped).select("doc_id", *_long("n_terms"), "term", *_long("tf"))
 
 

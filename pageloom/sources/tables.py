@@ -25,9 +25,7 @@ def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFr
     return df.repartition(cores, key) if size < cores * SPREAD_BYTES_PER_CORE else df
 
 
-def write_tables(tables: dict[str, DataFrame], output: str, mode: str = "errorifexists", partition_by: str | None = None) -> None:
+def write_tables(tables: dict[str, DataFrame], output: str, mode: str = "errorifexists") -> None:
+    """Write each table to ``output/<name>``; an empty name means ``output`` itself."""
     for name, df in tables.items():
-        writer = df.write.mode(mode)
-        if partition_by is not None and partition_by in df.columns:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(f"{output}/{name}" if name else output)
+        df.write.mode(mode).parquet(f"{output}/{name}" if name else output)

@@ -103,6 +103,15 @@ def test_term_pairs(spark):
             assert abs(got[terms[i], terms[j]] - unit[i] @ unit[j]) < 2e-6
 
 
+@pytest.mark.parametrize("gram_terms", [4000, 0])
+def test_nothing_weighs_anything(spark, gram_terms):
+    data = [(i, "", ["every", "always"]) for i in range(5)]
+    model = ls.lsa(frame(spark, data), 2, 10, gram_terms=gram_terms)
+    assert model.sigma == []
+    assert ls.relevance_table(model).count() == 0
+    assert ls.top_terms(model).count() == 0 and ls.top_docs(model).count() == 0
+
+
 def test_no_documents(spark):
     with pytest.raises(ValueError):
         ls.lsa(frame(spark, documents(1)).where("doc_id < 0"), 2, 5)
