@@ -154,7 +154,22 @@ def document_frequency(docs: DataFrame, keep: int | None = None, order: str = "m
     df = docs.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     if keep is None:
         return df
-    return df.orderBy(F.asc("df") if order == "rarest" else F.desc("df"), "term").limit(keep)
+    if order == "rarest":
+        return df.orderBy("df", "term").limit(keep)
+    return _frequent_enough(df, keep).orderBy(F.desc("df"), "term").limit(keep)
+
+
+def _frequent_enough(counted: DataFrame, n: int) -> DataFrame:
+    """The terms that can be among the ``n`` most frequent: those at or above the n-th frequency.
+
+    Without this, the task that ranks them would receive ``n`` terms from every
+    partition of the count. The frequency comes from how many terms share each
+    frequency, a far smaller table, computed from the same shuffled counts.
+    """
+    shared = counted.groupBy("df").agg(F.count("*").alias("n_terms"))
+    reached = F.sum("n_terms").over(Window.orderBy(F.desc("df")))
+    nth = shared.withColumn("reached", reached).where(F.col("reached") >= n).agg(F.max("df"))
+    return counted.where(F.col("df") >= F.coalesce(nth.scalar(), F.lit(0)))
 
 
 def idf(n_docs: Column, df: Column | str) -> Column:
@@ -166,14 +181,14 @@ def vocabulary(docs: DataFrame, n_terms: int = 50_000) -> DataFrame:
     """The most frequent terms: ``term, idx, df, idf``, with idx from 0 by falling df, then term.
 
     One pass: every document also counts for a null term, whose frequency is the
-    corpus size and which therefore comes first. Every partition hands on at most
-    ``n_terms`` rows, and the index is drawn over the rows that are left.
+    corpus size and which therefore comes first. The index is drawn over the
+    ``n_terms`` rows that are left.
     """
     seen = F.array_append(F.array_distinct("terms"), F.lit(None).cast("string"))
     counted = docs.select(F.explode(seen).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     order = [F.desc("df"), F.asc_nulls_first("term")]
     by_rank = Window.orderBy(*order)
-    ranked = counted.orderBy(*order).limit(n_terms + 1).select(
+    ranked = _frequent_enough(counted, n_terms + 1).orderBy(*order).limit(n_terms + 1).select(
         "term", (F.row_number().over(by_rank) - 2).alias("idx"), "df", idf(F.first("df").over(by_rank), "df").alias("idf")
     )
     return ranked.where("term IS NOT NULL")

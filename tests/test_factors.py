@@ -52,6 +52,11 @@ def test_top_entries(rows, matrix, concepts):
     assert got == expected
 
 
+def test_top_entries_are_cut_before_the_shuffle(rows):
+    plan = factors.top_entries(rows, 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def brute_force(matrix, n):
     unit = matrix / np.where(np.linalg.norm(matrix, axis=1) > 0, np.linalg.norm(matrix, axis=1), np.nan)[:, None]
     cosine = np.round(unit @ unit.T, 6)

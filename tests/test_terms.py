@@ -101,6 +101,21 @@ def test_document_frequency_and_ties(corpus):
     assert rare == set(sorted(true, key=lambda t: (true[t], t))[:5])
 
 
+@pytest.mark.parametrize("n", [1, 3, 26, 27, 28, 500])
+def test_most_frequent_at_any_cut(corpus, n):
+    data, df = corpus
+    true = frequencies(data)
+    order = sorted(true, key=lambda t: (-true[t], t))[:n]
+    assert {r["term"] for r in tm.document_frequency(df, n).collect()} == set(order)
+    assert [(r["idx"], r["term"]) for r in tm.vocabulary(df, n).orderBy("idx").collect()] == list(enumerate(order))
+
+
+def test_ranking_reuses_the_counts(docs):
+    df = tm.vocabulary(tm.tokenize_documents(docs), 3)
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("n_terms", [10, 1000])
 @pytest.mark.parametrize("bound", [None, 1000, LARGE])
 def test_tfidf(corpus, n_terms, bound):
