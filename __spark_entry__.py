@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -407,8 +409,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return lsa_top_terms(spark, "/root/testdata/sf0.001")
 
 
+def _optional() -> list[ModuleType]:
+    """The operators for training data and their pipeline, where they are installed."""
+    found = []
+    for name in ("pageloom.llm.registry", "corpus_pipeline"):
+        try:
+            found.append(importlib.import_module(name))
+        except ImportError:
+            continue
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return {
+    own = {
         f.__name__: f
         for f in (
             tokens, tokens_unicode, tokens_singular, term_counts, document_lengths, corpus_size,
@@ -422,6 +435,9 @@ def queries() -> dict[str, Query]:
             lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, concepts_job, resampled,
         )
     }
+    for module in _optional():
+        own |= module.QUERIES
+    return own
 
 
 # --- SQL counterparts ------------------------------------------------------
@@ -547,7 +563,7 @@ def oracle_sql() -> dict[str, str]:
     energy = "SELECT {0} AS id, round(coalesce(sum(w * w), 0), 9) AS energy FROM {1} GROUP BY {0}"
     small = _weights_sql(SMALL_VOCABULARY)
     doc_energy = f"{small} " + energy.format("doc_id", "d LEFT JOIN w USING (doc_id)")
-    return {
+    own = {
         "tokens": f"SELECT doc_id, array_to_string({_tok()}, ' ') AS terms FROM documents",
         "tokens_unicode": """SELECT doc_id, array_to_string(list_filter(list_transform(
             regexp_split_to_array(text, '[^\\pL-]'), lambda x: lower(x)), lambda x: regexp_full_match(x, '\\pL{3,}')), ' ') AS terms
@@ -630,3 +646,6 @@ def oracle_sql() -> dict[str, str]:
         "lsa_term_pairs": _COSINE,
         "lsa_term_neighbors": f"""{_COSINE} QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other) <= 10""",
     }
+    for module in _optional():
+        own |= module.ORACLES
+    return own
