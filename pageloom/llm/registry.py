@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact, packing
+from . import exact, mixing, packing, warc
 
-QUERIES = {"op3_exact_dedup": exact.op3_exact_dedup, "op5_packing": packing.op5_packing}
-ORACLES = {"op3_exact_dedup": exact.OP3_SQL}
+QUERIES = {
+    "op3_exact_dedup": exact.op3_exact_dedup,
+    "op5_packing": packing.op5_packing,
+    "op6_warc": warc.op6_warc,
+    "op8_mixing": mixing.op8_mixing,
+}
+ORACLES = {"op3_exact_dedup": exact.OP3_SQL, "op6_warc": warc.OP6_SQL}
