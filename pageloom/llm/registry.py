@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact, mixing, packing, warc
+from . import exact, language, mixing, packing, warc
 
 QUERIES = {
     "op3_exact_dedup": exact.op3_exact_dedup,
     "op5_packing": packing.op5_packing,
     "op6_warc": warc.op6_warc,
     "op8_mixing": mixing.op8_mixing,
+    "op9_language": language.op9_language,
 }
 ORACLES = {"op3_exact_dedup": exact.OP3_SQL, "op6_warc": warc.OP6_SQL}
