@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact, language, mixing, packing, warc
+from . import exact, language, mixing, packing, vectors, warc
 
 QUERIES = {
+    "op1_near_vectors": vectors.op1_near_vectors,
     "op3_exact_dedup": exact.op3_exact_dedup,
     "op5_packing": packing.op5_packing,
     "op6_warc": warc.op6_warc,
