@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact, language, mixing, packing, vectors, warc
+from . import exact, language, mixing, packing, repeats, vectors, warc
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
@@ -11,5 +11,6 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op8_mixing": mixing.op8_mixing,
     "op9_language": language.op9_language,
+    "op10_repeats": repeats.op10_repeats,
 }
 ORACLES = {"op3_exact_dedup": exact.OP3_SQL, "op6_warc": warc.OP6_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pageloom.staging import stage_path
 
@@ -47,14 +47,11 @@ class Members:
     """
 
     def __init__(self, keys: DataFrame, key: str, bits: int = FILTER_BITS) -> None:
-        slot = F.pmod(F.col(key), F.lit(bits))
-        words = (
-            keys.select((slot / 64).cast("int").alias("word"), F.shiftleft(F.lit(1).cast("long"), (slot % 64).cast("int")).alias("bit"))
-            .groupBy("word").agg(F.bit_or("bit").alias("bits"))
-        )
+        slots = keys.select(F.pmod(F.col(key), F.lit(bits)).cast("int").alias("slot"))
+        words = slots.groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, slot % 64))").alias("bits"))
         table = np.zeros(bits // 64, np.uint64)
-        for batch in _batches(words):
-            table[batch["word"].to_numpy()] = batch["bits"].to_numpy().astype(np.uint64)
+        found = words.toArrow()  # at most bits / 64 rows, whatever the input
+        table[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
         self.bits = bits
         self.table: Broadcast = keys.sparkSession.sparkContext.broadcast(table)
 
@@ -62,13 +59,3 @@ class Members:
         """For an array of int64 keys; called inside tasks."""
         slot = keys.astype(np.int64) % self.bits
         return (self.table.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0
-
-
-def _batches(words: DataFrame):
-    """At most bits / 64 rows, whatever the input."""
-    yield words.toArrow()
-
-
-def text_hash(text: Column | str) -> Column:
-    """128 bits that stand for a text, as hexadecimal letters would be wasteful: 16 bytes of its SHA-256."""
-    return F.substring(F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)), 1, 16)
