@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact, language, mixing, packing, repeats, vectors, warc
+from . import exact, jaccard, language, mixing, packing, repeats, vectors, warc
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
     "op3_exact_dedup": exact.op3_exact_dedup,
+    "op4_jaccard": jaccard.op4_jaccard,
     "op5_packing": packing.op5_packing,
     "op6_warc": warc.op6_warc,
     "op8_mixing": mixing.op8_mixing,
