@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact, jaccard, language, mixing, packing, repeats, vectors, warc
+from . import chunks, exact, jaccard, language, mixing, packing, repeats, vectors, warc
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
+    "op2_chunks": chunks.op2_chunks,
     "op3_exact_dedup": exact.op3_exact_dedup,
     "op4_jaccard": jaccard.op4_jaccard,
     "op5_packing": packing.op5_packing,
