@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunks, exact, jaccard, language, mixing, packing, repeats, vectors, warc
+from . import chunks, exact, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_jaccard": jaccard.op4_jaccard,
     "op5_packing": packing.op5_packing,
     "op6_warc": warc.op6_warc,
+    "op7_token_trees": token_trees.op7_token_trees,
     "op8_mixing": mixing.op8_mixing,
     "op9_language": language.op9_language,
     "op10_repeats": repeats.op10_repeats,
