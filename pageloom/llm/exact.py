@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, without_rows
 
 COUNTERS = 1024
 LEAST_FREQUENT = 32
@@ -69,6 +69,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns. Of rows with one id and one text the first in the table stays."""
+    scratch = Scratch(docs.sparkSession, "keep-exact")
+    groups = scratch.keep(exact_groups(docs, id_col, text_col), "groups")
+    bare = F.translate(F.coalesce(F.col(text_col), F.lit("")), WHITE, "")
+    keys = {"doc_id": F.col(id_col), "sha": F.unhex(F.sha2(bare, 256)), "n_chars": F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long")}
+    dropped = groups.where("NOT kept")
+    out = without_rows(docs, keys, scratch.keep(dropped.select(*keys).distinct(), "dropped"))
+    # A row that stays may share its keys with one that goes.
+    shared = scratch.keep(groups.where("kept").select(*keys).join(dropped.select(*keys).distinct(), [groups[k].eqNullSafe(dropped[k]) for k in keys], "left_semi"), "shared")
+    if shared.isEmpty():
+        return out
+    rows = docs.select(F.struct("*").alias("row"), *[key.alias(f"key_{name}") for name, key in keys.items()])
+    rows = rows.join(shared, [F.col(f"key_{k}").eqNullSafe(shared[k]) for k in keys], "left_semi")
+    one = rows.groupBy(*[f"key_{k}" for k in keys]).agg(F.first("row").alias("row")).select("row.*")
+    return out.unionByName(one)
+
+
 def _rank() -> Column:
     """The least of these is the row that stays."""
     return F.struct((-F.col("n_chars")).alias("shorter"), F.isnull("doc_id").alias("unnamed"), "doc_id", "row")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .graph import components
-from .scratch import Members, Scratch
+from .scratch import Members, Scratch, without_rows
 from .spans import text_batches
 
 WORDS = 4
@@ -124,7 +124,7 @@ def node_of(features: np.ndarray) -> int:
 def jaccard_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, num: int = NUMERATOR, den: int = DENOMINATOR, star_rounds: int = STAR_ROUNDS
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, text_hash``.
 
     Texts link when den x intersection >= num x union of their sets of ``size``-word shingles; a text of fewer words is one
     shingle, one without a word or null links with nothing. Texts with one set are one node. Of the sets with a common
@@ -206,7 +206,22 @@ def jaccard_groups(
     named = named.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     named = scratch.keep(named, "named")
     least = scratch.keep(named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
-    return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with all columns: of each group that of the smallest id, and every text without a word.
+
+    Of rows with that id, those of the smallest hash of their text stay.
+    """
+    scratch = Scratch(docs.sparkSession, "keep-one")
+    groups = scratch.keep(jaccard_groups(docs, id_col, text_col, **options).where("n_shingles > 0"), "groups")
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("text_hash").alias("first"))
+    marked = groups.join(first.withColumnRenamed("component_id", "group_id"), F.col("component_id").eqNullSafe(F.col("group_id")), "left")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("text_hash").eqNullSafe(F.col("first"))
+    dropped = scratch.keep(marked.where(~stays).select("doc_id", "text_hash").distinct(), "dropped")
+    keys = {"doc_id": F.col(id_col).cast("long"), "text_hash": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    return without_rows(docs, keys, dropped)
 
 
 def _sets(rows: DataFrame, texts: DataFrame, nodes: DataFrame, scratch: Scratch, size: int) -> DataFrame:
@@ -261,4 +276,4 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def op4_jaccard(spark, sf):
-    return jaccard_groups(spark.read.parquet(f"{sf}/documents.parquet"))
+    return jaccard_groups(spark.read.parquet(f"{sf}/documents.parquet")).select("doc_id", "n_shingles", "component_id")

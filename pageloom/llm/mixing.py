@@ -11,7 +11,7 @@ from .scratch import Scratch
 
 BLOCK = 16
 MAX_SOURCES = 256
-BUCKET_ROWS = 65_536
+BUCKET_ROWS = 4096
 
 
 def schedule(shares: list[int]) -> list[int]:
@@ -83,7 +83,7 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: dict[str | None, float] | None = None,
     block: int = BLOCK, slots: int = 1000, seed: int = 7,
 ) -> DataFrame:
-    """``doc_id, source, block, slot, position``: the place of every row in the mixture.
+    """``doc_id, source, block, slot, position, row``: the place of every row in the mixture, and the row itself as a struct.
 
     ``weights`` gives a positive target to each source, null included; without it all sources get the same, and a
     source that isn't named gets 1. Weights are rounded to ``slots`` parts of a period, or as many as there are sources.
@@ -94,7 +94,7 @@ def mix(
     may hold any share of the rows. The driver sees counts by source, at most ``MAX_SOURCES`` of them, and schedules periods, not blocks.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.struct("*").alias("row"))
     rows = rows.withColumn("place", F.xxhash64("doc_id", F.lit(seed)))
     session = docs.sparkSession
     counts = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()}
@@ -123,8 +123,14 @@ def mix(
     )
     nth = F.col("block") - F.col("from_block")
     slot = F.col("first_slot") + F.floor(nth / F.col("share")) * F.col("period") + F.get("at", F.pmod(nth, "share").cast("int"))
-    return placed.select("doc_id", "source", "block", slot.alias("slot"), (slot * block + F.pmod("rank", F.lit(block))).alias("position"))
+    return placed.select("doc_id", "source", "block", slot.alias("slot"), (slot * block + F.pmod("rank", F.lit(block))).alias("position"), "row")
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` in the order of the mixture."""
+    return mix(docs, **options).orderBy("position").select("row.*")
 
 
 def op8_mixing(spark, sf):
-    return mix(spark.read.parquet(f"{sf}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return mix(docs).select("doc_id", "source", "block", "slot", "position")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pageloom.staging import stage_path
 
@@ -59,3 +59,11 @@ class Members:
         """For an array of int64 keys; called inside tasks."""
         slot = keys.astype(np.int64) % self.bits
         return (self.table.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def without_rows(docs: DataFrame, keys: dict[str, Column], dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose keys, nulls equal to nulls, are in ``dropped``; all columns stay as they are."""
+    rows = docs.select(F.struct("*").alias("row"), *[key.alias(f"key_{name}") for name, key in keys.items()])
+    gone = dropped.select(*[F.col(name).alias(f"gone_{name}") for name in keys])
+    same = [F.col(f"key_{name}").eqNullSafe(F.col(f"gone_{name}")) for name in keys]
+    return rows.join(gone, same, "left_anti").select("row.*")
