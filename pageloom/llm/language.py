@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .scratch import Scratch
 
@@ -18,6 +19,7 @@ MODEL_GRAMS = 50_000
 LONGEST_GRAM = 5
 CACHE_WORDS = 200_000
 SMOOTHING = 0.5
+LEAST_SCORE = 0.4
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -48,7 +50,7 @@ class LanguageModel:
     def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], totals: dict[int, np.ndarray]) -> None:
         self.languages = languages
         self.cache: dict[str, int] = {}
-        self.rows: list[np.ndarray] = []
+        self.rows = np.zeros((1024, len(languages)), np.float32)
         self.places: list[dict[str, int]] = []
         self.logs: list[np.ndarray] = []
         for n in range(LONGEST_GRAM + 1):
@@ -67,10 +69,21 @@ class LanguageModel:
                 return self.logs[n][found].mean(axis=0)
         return np.zeros(len(self.languages), np.float32)
 
+    def _known(self, words: list[str]) -> list[int]:
+        """The rows of ``self.rows`` with the scores of the words."""
+        cache = self.cache
+        for w in set(words):
+            if w not in cache:
+                if len(cache) == len(self.rows):
+                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+                self.rows[len(cache)] = self.word(w)
+                cache[w] = len(cache)
+        return [cache[w] for w in words]
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and its share of the probability, all languages being alike before the text is seen."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache, self.rows = {}, []
+            self.cache.clear()
         labels, shares = [], []
         for text in texts:
             words = words_of(text)
@@ -78,13 +91,8 @@ class LanguageModel:
                 labels.append(UNKNOWN)
                 shares.append(0.0)
                 continue
-            total = np.zeros(len(self.languages))
-            for w, n in Counter(words).items():
-                at = self.cache.get(w)
-                if at is None:
-                    at = self.cache[w] = len(self.rows)
-                    self.rows.append(self.word(w))
-                total += n * self.rows[at] if n > 1 else self.rows[at]
+            known = self._known(words)
+            total = self.rows[known].sum(axis=0, dtype=np.float64)
             p = np.exp(total - total.max())
             best = int(p.argmax())
             labels.append(self.languages[best])
@@ -150,8 +158,15 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
             labels, scores = sent.value.predict(batch.column(place).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
 
-    fields = docs.select(*names).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*names).mapInArrow(predict, fields)
+    kept = docs.select(*names)
+    return kept.mapInArrow(predict, StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+
+
+def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text, lang`` and others) with a language of score ``least`` or more, by a model of all labelled rows."""
+    model = train(docs.select("doc_id", "text", "lang"))
+    found = identify(docs.select(F.col("text").alias("read"), F.struct("*").alias("row")), model, "read")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
 
 
 def op9_language(spark, sf):
