@@ -26,13 +26,12 @@ STOP_WORDS = ["the", "and", "that", "der", "die", "und", "que", "los", "les", "d
 VOCABULARY = 500
 SMALL_VOCABULARY = 40
 CONCEPTS = 5
-
-
-KEYS = {"documents": "doc_id", "conversations": "text", "pages": "page_id", "events": "event_id", "embeddings": "vec_id"}
+# Scores are compared with those of SQL to so many digits; the library ranks and gives them whole.
+DIGITS = 6
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", KEYS.get(name))
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 def _terms(spark: SparkSession, sf: str, **options) -> DataFrame:
@@ -88,7 +87,7 @@ def vocabulary(spark, sf):
 
 def tfidf(spark, sf):
     docs = _terms(spark, sf)
-    return tm.tfidf(docs, tm.vocabulary(docs)).select("doc_id", *_long("idx"), F.round("w", 9).alias("w"))
+    return tm.tfidf(docs, tm.vocabulary(docs, None)).select("doc_id", *_long("idx"), F.round("w", 9).alias("w"))
 
 
 def tfidf_capped(spark, sf):
@@ -210,6 +209,37 @@ def statements_job(spark, sf):
     return spark.read.parquet(f"{output}/quads")
 
 
+NAMES = ["pl Kategoria", "uk Категорія", "cs Kategorie", "ja カテゴリ", "el Κατηγορία", "eu Kategoria", "ca Categoria"]
+
+
+def statements_namespaces(spark, sf):
+    """Dumps of seven further languages, whose category names stand only in their headers."""
+    dumps, output = stage_path(spark, "dumps"), stage_path(spark, "statements")
+    listed = F.array(*[F.lit(n) for n in NAMES])
+    named = F.split(F.get(listed, (F.col("doc_id") % len(NAMES)).cast("int")), " ")
+    docs = _table(spark, sf, "documents").withColumn("name", named)
+    lang, name = F.get("name", F.lit(0)), F.get("name", F.lit(1))
+    page = F.format_string("<page><title>Doc %d</title><ns>0</ns><id>%d</id><revision><id>%d</id><text>[[%s:Source %s]]</text></revision></page>", "doc_id", "doc_id", "doc_id", name, "source")
+    head = F.format_string('<mediawiki><siteinfo><namespaces><namespace key="0"/><namespace key="14" case="first-letter">%s</namespace></namespaces></siteinfo>', name)
+    records = docs.groupBy(lang.alias("lang")).agg(F.concat(F.first(head), F.array_join(F.array_sort(F.collect_list(page)), "\n"), F.lit("</mediawiki>")).alias("xml"))
+    records.select(F.concat("lang", F.lit("wiki")).alias("wiki"), "xml").write.partitionBy("wiki").text(dumps)
+    jobs.extract_statements(spark, dumps, output)
+    return spark.read.parquet(f"{output}/quads").select("language", "subject", "value")
+
+
+def cut_dump_rejects(spark, sf):
+    """A dump for each source in bz2, cut off after the first revision of its last page."""
+    dumps = stage_path(spark, "dumps")
+    page = F.format_string("<page><title>Doc %d</title><ns>0</ns><id>%d</id><revision><id>1</id><text>x</text></revision>", "doc_id", "doc_id")
+    ended = F.concat(F.array_join(F.array_sort(F.collect_list(page)), "</page>\n"), F.lit("<revision><id>2</id>"))
+    _table(spark, sf, "documents").groupBy("source").agg(ended.alias("xml")).select(F.concat("source", F.lit("-enwiki")).alias("wiki"), "xml").write.partitionBy("wiki").option(
+        "compression", "bzip2"
+    ).text(dumps)
+    parsed = pg.parse_pages(read_pages(spark, dumps))
+    good, rejects = pg.split_rejects(parsed, "pages")
+    return good.agg(F.count("*").alias("good")).crossJoin(rejects.groupBy("reason").agg(F.count("*").alias("rejected")))
+
+
 def page_rejects(spark, sf):
     """Every record with doc_id 1 mod 4 is cut, 2 mod 4 has lost its revision."""
     records = _page_records(spark, sf)
@@ -298,6 +328,39 @@ def entity_rejects(spark, sf):
     return pg.split_rejects(ent.parse_entities(entity_lines(lines)), "entities")[1]
 
 
+def _mixed_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Good, null and mistyped members side by side, and a value that holds an empty array."""
+    good = '{"mainsnak":{"snaktype":"value","property":"P1","datatype":"other","datavalue":{"type":"other","value":{"labels":[],"n":%d}}}}'
+    line = F.format_string(
+        '{"id":"Q%d","type":"item","labels":{"en":{"language":"en","value":"%s"},"fr":"bad","de":null,"es":{"language":"es"}},'
+        '"sitelinks":{"enwiki":{"site":"enwiki","title":"T %d","url":"u"},"frwiki":{"site":"frwiki"},"dewiki":7},'
+        f'"claims":{{"P1":[{good},5],"P2":null,"P3":"junk"}}}}',
+        "doc_id", "source", "doc_id", "doc_id",
+    )
+    return _table(spark, sf, "documents").select(line.alias("value"))
+
+
+def entity_mixed_members(spark, sf):
+    """Claims and labels that stay beside mistyped ones."""
+    parsed = _parsed(_mixed_entities(spark, sf))
+    claims = ent.entity_claims(parsed).select("entity_id", F.col("property_id").alias("name"), "value")
+    return claims.unionByName(ent.entity_labels(parsed).select("entity_id", F.col("language").alias("name"), F.col("label").alias("value")))
+
+
+def label_rejects(spark, sf):
+    parsed = _parsed(_mixed_entities(spark, sf))
+    return ent.label_rejects(parsed).unionByName(ent.member_rejects(parsed).where("source = 'labels'"))
+
+
+def sitelink_rejects(spark, sf):
+    parsed = _parsed(_mixed_entities(spark, sf))
+    return ent.sitelink_rejects(parsed).unionByName(ent.member_rejects(parsed).where("source = 'sitelinks'"))
+
+
+def member_rejects(spark, sf):
+    return ent.member_rejects(_parsed(_mixed_entities(spark, sf))).where("source = 'claims'")
+
+
 def entities_job(spark, sf):
     """The job's claim table, from written lines."""
     lines, output = stage_path(spark, "lines"), stage_path(spark, "entities")
@@ -359,16 +422,16 @@ def lsa_term_energy(spark, sf):
 
 
 def lsa_doc_energy_iterative(spark, sf):
-    model = _full_rank(spark, sf, gram_terms=0)
+    model = _full_rank(spark, sf)
     return _energy(model.docs, model.sigma)
 
 
 def lsa_term_neighbors(spark, sf):
-    return term_neighbors(_full_rank(spark, sf), 10).select("id", "other", F.round("score", 6).alias("score"))
+    return term_neighbors(_full_rank(spark, sf), 10, DIGITS).select("id", "other", F.round("score", 6).alias("score"))
 
 
 def lsa_term_pairs(spark, sf):
-    return term_neighbors(_full_rank(spark, sf), None).select("id", "other", F.round("score", 6).alias("score"))
+    return term_neighbors(_full_rank(spark, sf), None, DIGITS).select("id", "other", F.round("score", 6).alias("score"))
 
 
 def _concepts(spark: SparkSession, sf: str) -> Lsa:
@@ -380,15 +443,15 @@ def lsa_concept_strength(spark, sf):
 
 
 def lsa_top_terms(spark, sf):
-    return top_terms(_concepts(spark, sf), 10)
+    return top_terms(_concepts(spark, sf), 10, digits=DIGITS)
 
 
 def lsa_top_docs(spark, sf):
-    return top_docs(_concepts(spark, sf), 10)
+    return top_docs(_concepts(spark, sf), 10, digits=DIGITS)
 
 
 def lsa_relevances(spark, sf):
-    return relevance_table(_concepts(spark, sf))
+    return relevance_table(_concepts(spark, sf), digits=DIGITS)
 
 
 def concepts_job(spark, sf):
@@ -397,11 +460,16 @@ def concepts_job(spark, sf):
     jobs.analyse_concepts(
         spark, _written_dumps(spark, sf), output, STOP_WORDS, n_concepts=CONCEPTS, n_terms=VOCABULARY, lang="en"
     )
-    return spark.read.parquet(output)
+    return spark.read.parquet(output).withColumn("score", F.round("score", DIGITS))
 
 
 def resampled(spark, sf):
-    return resample(_table(spark, sf, "orders").select("o_orderkey"), 4.0, seed=7)
+    """Invariants of a resample of mean multiplicity 4: all keys are of the table, and their mean number is near 4."""
+    orders = _table(spark, sf, "orders").select("o_orderkey")
+    drawn = resample(orders, 4.0, seed=7)
+    known = drawn.join(orders, "o_orderkey", "left_semi").count()
+    mean = drawn.agg((F.count("*") / orders.count()).alias("mean"))
+    return mean.select((F.lit(known) == drawn.count()).alias("keys_known"), F.col("mean").between(3.8, 4.2).alias("mean_near_4"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -427,9 +495,9 @@ def queries() -> dict[str, Query]:
             tokens, tokens_unicode, tokens_singular, term_counts, document_lengths, corpus_size,
             document_frequency, rarest_terms, vocabulary, tfidf, tfidf_capped, document_vectors,
             stop_words, stop_words_before_rule, stop_word_table, normalized_terms, union_all,
-            page_round_trip, dump_languages, page_words, filter_articles, statements, statements_job, page_rejects,
+            page_round_trip, dump_languages, page_words, filter_articles, statements, statements_job, statements_namespaces, cut_dump_rejects, page_rejects,
             entity_labels, entity_labels_strict, entity_sitelinks, entity_claims, entity_claims_strict,
-            claim_rejects, entity_rejects, entities_job,
+            claim_rejects, entity_rejects, entity_mixed_members, label_rejects, sitelink_rejects, member_rejects, entities_job,
             scale_rows, normalize_rows, matrix_row, top_entries,
             lsa_doc_energy, lsa_term_energy, lsa_doc_energy_iterative, lsa_term_neighbors, lsa_term_pairs,
             lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, concepts_job, resampled,
@@ -575,7 +643,7 @@ def oracle_sql() -> dict[str, str]:
         "document_frequency": f"{_counts_sql()} SELECT term, df FROM f",
         "rarest_terms": f"{_counts_sql()} SELECT term, df FROM f ORDER BY df, term LIMIT {VOCABULARY}",
         "vocabulary": f"{_weights_sql(VOCABULARY)} SELECT term, idx, df, round(idf, 9) AS idf FROM v",
-        "tfidf": f"{_weights_sql(50_000)} SELECT doc_id, idx, round(w, 9) AS w FROM w",
+        "tfidf": f"{_weights_sql(1 << 62)} SELECT doc_id, idx, round(w, 9) AS w FROM w",
         "tfidf_capped": f"{_weights_sql(VOCABULARY)} SELECT doc_id, idx, round(w, 9) AS w FROM w",
         "document_vectors": f"{_weights_sql(VOCABULARY)} SELECT doc_id, idx, round(w, 9) AS w FROM w WHERE w <> 0",
         "stop_words": f"""{_docs_sql(_WITHOUT_STOP)}
@@ -637,6 +705,19 @@ def oracle_sql() -> dict[str, str]:
         "lsa_doc_energy_iterative": doc_energy,
         "lsa_term_energy": f"{small} " + energy.format("term", "w"),
         "lsa_concept_strength": f"{_eigen_sql(VOCABULARY, CONCEPTS)} SELECT concept, round(sigma, 6) AS sigma FROM sf",
+        "entity_mixed_members": """SELECT 'Q' || doc_id AS entity_id, 'P1' AS name, '{"labels":[],"n":' || doc_id || '}' AS value FROM documents
+            UNION ALL SELECT 'Q' || doc_id, 'en', source FROM documents""",
+        "label_rejects": """SELECT 'labels' AS source, r AS reason, 'Q' || doc_id || ' ' || l AS head FROM documents,
+            (VALUES ('label without value', 'es'), ('mistyped member of labels', 'fr'), ('mistyped member of labels', 'de')) x(r, l)""",
+        "sitelink_rejects": """SELECT 'sitelinks' AS source, r AS reason, 'Q' || doc_id || ' ' || l AS head FROM documents,
+            (VALUES ('site link without title', 'frwiki'), ('mistyped member of sitelinks', 'dewiki')) x(r, l)""",
+        "member_rejects": """SELECT 'claims' AS source, r AS reason, 'Q' || doc_id || ' ' || l AS head FROM documents,
+            (VALUES ('mistyped statement', 'P1'), ('mistyped member of claims', 'P2'), ('mistyped member of claims', 'P3')) x(r, l)""",
+        "statements_namespaces": f"""WITH n AS (SELECT *, string_split({NAMES!r}[1 + doc_id % {len(NAMES)}], ' ') AS x FROM documents)
+            SELECT x[1] AS language, 'http://' || x[1] || '.dbpedia.org/resource/Doc_' || doc_id AS subject,
+                   'http://' || x[1] || '.dbpedia.org/resource/' || x[2] || ':Source_' || source AS value FROM n""",
+        "cut_dump_rejects": """SELECT count(*) - count(DISTINCT source) AS good, 'cut page' AS reason, count(DISTINCT source) AS rejected FROM documents""",
+        "resampled": "SELECT true AS keys_known, true AS mean_near_4",
         "lsa_top_terms": _top_sql("vf", "term", "v"),
         "lsa_top_docs": _top_sql("uf", "doc_id", "u"),
         "lsa_relevances": _RELEVANCES,

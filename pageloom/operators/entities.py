@@ -2,46 +2,109 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pageloom.functions.binding import bind
 from pageloom.operators.pages import REJECT_HEAD, split_rejects  # noqa: F401
 
-ENTITY_SCHEMA = """
-id string, type string,
-labels map<string, struct<language: string, value: string>>,
-descriptions map<string, struct<language: string, value: string>>,
-sitelinks map<string, struct<site: string, title: string, url: string>>,
-claims map<string, array<struct<mainsnak: struct<
-  snaktype: string, property: string, datatype: string,
-  datavalue: struct<type: string, value: string>>>>>,
-damaged string
-"""
-
-# Fields that are objects, and that dumps write as [] when empty.
-EMPTY_OBJECT = r'"(labels|descriptions|sitelinks|claims)"\s*:\s*\[\s*\]'
+# A line is taken apart step by step, so that a member of the wrong type costs itself and nothing beside it.
+ENTITY_SCHEMA = "id string, type string, labels string, descriptions string, sitelinks string, claims string, damaged string"
+TEXT = "struct<language: string, value: string>"
+LINK = "struct<site: string, title: string, url: string>"
+STATEMENT = "struct<mainsnak: struct<snaktype: string, property: string, datatype: string, datavalue: struct<type: string, value: string>>>"
+FAULT = "array<struct<source: string, reason: string, head: string>>"
 
 
 def parse_entities(lines: DataFrame) -> DataFrame:
-    """``id, type, labels, descriptions, sitelinks, claims, reason, head`` per line of ``value``.
+    """``id, type, labels, descriptions, sitelinks, claims, faults, reason, head`` per line of ``value``.
 
-    ``"labels": []`` means no labels. A field of any other unexpected type becomes
-    null and leaves the others usable; a line that is not JSON at all is rejected.
+    A field that is missing, null or ``[]`` is empty. A field, member or statement of another type than it should have
+    is left out and named in ``faults``; all others stay, with the text of their values as it is. A line that isn't JSON
+    at all is rejected.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "damaged"}
-    # An empty array in place of an object would cost an exception for each line.
-    line = F.when(F.contains("value", F.lit("[")), F.regexp_replace("value", EMPTY_OBJECT, r'"$1":{}')).otherwise(F.col("value"))
-    parsed = bind(lines.select("value"), "e", F.from_json(line, ENTITY_SCHEMA, options))
+    parsed = bind(lines.select("value"), "e", F.from_json("value", ENTITY_SCHEMA, options))
     broken = F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull()
     reason = (
         F.when(F.col("e").isNull() | broken, "malformed line")
         .when(F.col("e.id").isNull(), "entity without id")
         .when(F.col("e.type").isNull(), "entity without type")
     )
-    fields = [F.col(f"e.{name}") for name in ("id", "type", "labels", "descriptions", "sitelinks", "claims")]
-    return parsed.select(
-        *fields, reason.alias("reason"), F.when(reason.isNotNull(), F.left("value", F.lit(REJECT_HEAD))).alias("head")
-    )
+    names = ("labels", "descriptions", "sitelinks", "claims")
+    members = {n: F.from_json(F.when(F.startswith(f"e.{n}", F.lit("{")), F.col(f"e.{n}")), "map<string, string>") for n in names}
+    head = F.when(reason.isNotNull(), F.left("value", F.lit(REJECT_HEAD))).alias("head")
+    first = bind(parsed.select("value", "e", reason.alias("reason"), head), "m", F.struct(*[members[n].alias(n) for n in names]))
+    kinds = {"labels": TEXT, "descriptions": TEXT, "sitelinks": LINK}
+    good = {n: _parsed_members(f"m.{n}", kind) for n, kind in kinds.items()}
+    statements = F.transform_values("m.claims", lambda _, v: _statements(v))
+    return first.select(
+        F.col("e.id").alias("id"), F.col("e.type").alias("type"), *[v.alias(n) for n, v in good.items()], statements.alias("claims"),
+        F.when(F.col("reason").isNull(), _faults(names)).alias("faults"), "reason", "head",
+    )
+
+
+def _parsed_members(field: str, kind: str) -> Column:
+    return F.transform_values(F.map_filter(field, lambda _, v: _is_object(v)), lambda _, v: F.from_json(v, kind))
+
+
+def _is_object(value: Column) -> Column:
+    return F.coalesce(value.startswith("{"), F.lit(False))
+
+
+def _listed(value: Column) -> Column:
+    return F.coalesce(F.from_json(F.when(value.startswith("["), value), "array<string>"), F.array().cast("array<string>"))
+
+
+def _statements(value: Column) -> Column:
+    return F.transform(F.filter(_listed(value), _is_object), lambda x: F.from_json(x, STATEMENT))
+
+
+def _faults(names: tuple[str, ...]) -> Column:
+    """What has another type than it should have, by table."""
+
+    def fault(source: str, reason: str, what: Column) -> Column:
+        return F.struct(F.lit(source).alias("source"), F.lit(reason).alias("reason"), F.left(F.concat_ws(" ", F.col("e.id"), what), F.lit(REJECT_HEAD)).alias("head"))
+
+    def wrong(name: str) -> Column:
+        source, raw = ("labels" if name == "descriptions" else name), F.col(f"e.{name}")
+        field = F.when(raw.isNotNull() & ~_is_object(raw) & ~F.rlike(raw, F.lit(r"^\[\s*\]$")), F.array(fault(source, f"{name} is no object", F.lit(""))))
+        if name != "claims":
+            bad = F.map_keys(F.map_filter(f"m.{name}", lambda _, v: ~_is_object(v)))
+            inner = F.transform(bad, lambda k: fault(source, f"mistyped member of {name}", k))
+        else:
+            whole = F.map_keys(F.map_filter("m.claims", lambda _, v: ~F.coalesce(v.startswith("["), F.lit(False))))
+            part = F.map_keys(F.map_filter("m.claims", lambda _, v: F.exists(_listed(v), lambda x: ~_is_object(x))))
+            inner = F.concat(F.transform(whole, lambda k: fault(source, "mistyped member of claims", k)), F.transform(part, lambda k: fault(source, "mistyped statement", k)))
+        none = F.array().cast(FAULT)
+        return F.concat(F.coalesce(field, none), F.coalesce(inner, none))
+
+    return F.concat(*[wrong(n) for n in names])
+
+
+def _without_faults(entities: DataFrame, source: str) -> DataFrame:
+    return entities.where(~F.exists("faults", lambda f: f["source"] == source)) if "faults" in entities.columns else entities
+
+
+def member_rejects(entities: DataFrame) -> DataFrame:
+    """Mistyped fields, members and statements: ``source, reason, head``."""
+    return entities.select(F.inline("faults"))
+
+
+def label_rejects(entities: DataFrame) -> DataFrame:
+    """Labels without a value: ``source, reason, head``."""
+    rows = entities.select("id", F.explode("labels").alias("language", "label")).where("label.value IS NULL")
+    return _rejected(rows, "labels", "label without value", "language")
+
+
+def sitelink_rejects(entities: DataFrame) -> DataFrame:
+    """Site links without a title: ``source, reason, head``."""
+    rows = entities.select("id", F.explode("sitelinks").alias("site", "link")).where("link.title IS NULL")
+    return _rejected(rows, "sitelinks", "site link without title", "site")
+
+
+def _rejected(rows: DataFrame, source: str, reason: str, what: str) -> DataFrame:
+    head = F.left(F.concat_ws(" ", "id", what), F.lit(REJECT_HEAD))
+    return rows.select(F.lit(source).alias("source"), F.lit(reason).alias("reason"), head.alias("head"))
 
 
 def entity_labels(entities: DataFrame, strict: bool = False) -> DataFrame:
@@ -51,6 +114,7 @@ def entity_labels(entities: DataFrame, strict: bool = False) -> DataFrame:
     any label or description without language or value.
     """
     if strict:
+        entities = _without_faults(entities, "labels")
         incomplete = lambda _, text: text["language"].isNull() | text["value"].isNull()
         faulty = [F.size(F.map_filter(c, incomplete)) > 0 for c in ("labels", "descriptions")]
         entities = entities.where(F.col("labels").isNotNull() & F.col("descriptions").isNotNull() & ~(faulty[0] | faulty[1]))
@@ -67,6 +131,7 @@ def entity_labels(entities: DataFrame, strict: bool = False) -> DataFrame:
 def entity_sitelinks(entities: DataFrame, strict: bool = False) -> DataFrame:
     """One row per site link. ``strict`` gives up all links of an entity with an incomplete one."""
     if strict:
+        entities = _without_faults(entities, "sitelinks")
         incomplete = lambda _, link: link["site"].isNull() | link["title"].isNull() | link["url"].isNull()
         entities = entities.where(F.size(F.map_filter("sitelinks", incomplete)) == 0)
     rows = entities.select("id", "type", F.explode_outer("sitelinks").alias("site", "link"))
@@ -100,6 +165,7 @@ def entity_claims(entities: DataFrame, strict: bool = False) -> DataFrame:
     claims of an entity that has such a claim.
     """
     if strict:
+        entities = _without_faults(entities, "claims")
         incomplete = lambda c: (
             c["mainsnak"]["property"].isNull()
             | c["mainsnak"]["datatype"].isNull()

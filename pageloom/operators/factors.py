@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK_ROWS = 2048
+PROJECT_ROWS = 64
 
 
 def scale_rows(rows: DataFrame, diagonal: list[float]) -> DataFrame:
@@ -43,18 +44,22 @@ def entries(rows: DataFrame) -> DataFrame:
 def top_entries(rows: DataFrame, n: int, concepts: int | None = None, digits: int | None = None) -> DataFrame:
     """The ``n`` rows with the largest entry in each of the first ``concepts`` columns.
 
-    ``concept, rank, id, score``, ties by id. Each task keeps its own best ``n``
-    of a column before the shuffle, so a column held by all rows is no hot key.
+    ``concept, rank, id, score``, ties by id. The rows of each scan task are ranked by themselves
+    first, for any ``n``, so a column held by all rows is no hot key.
     """
     vec = F.col("vec") if concepts is None else F.slice("vec", 1, concepts)
     long = entries(rows.select("id", vec.alias("vec")))
     if digits is not None:
         long = long.withColumn("score", F.round("score", digits))
-    best = Window.partitionBy("concept").orderBy(F.desc("score"), "id")
-    return long.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+    # Spark's own early cut stops above a limit; two ranks with a salt keep any column of any length out of one task.
+    order = [F.desc("score"), "id"]
+    part = Window.partitionBy("concept", "_part").orderBy(*order)
+    long = long.withColumn("_part", F.spark_partition_id()).withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= n)
+    best = Window.partitionBy("concept").orderBy(*order)
+    return long.drop("_part", "_rank").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
 
 
-def neighbors(rows: DataFrame, top_n: int | None = 20, digits: int = 6, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def neighbors(rows: DataFrame, top_n: int | None = 20, digits: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Cosine of every row with its nearest rows: ``id, other, score``.
 
     A row is its own first neighbour. ``top_n=None`` gives every pair. Rows of
@@ -63,7 +68,7 @@ def neighbors(rows: DataFrame, top_n: int | None = 20, digits: int = 6, block_ro
     The product is cut into blocks of about ``block_rows`` rows on each side. A task
     holds two blocks, multiplies them and hands on the ``top_n`` best of each row in
     that block pair, which are ranked once more across pairs. The row count, here
-    a vocabulary cap, sets the number of blocks.
+    a vocabulary cap, sets the number of blocks. ``digits`` rounds the scores before they are ranked.
     """
     unit = normalize_rows(rows.select("id", "vec")).where(F.get("vec", F.lit(0)).isNotNull())
     blocks = max(1, ceil(rows.count() / block_rows))
@@ -81,14 +86,16 @@ def neighbors(rows: DataFrame, top_n: int | None = 20, digits: int = 6, block_ro
         if a.empty or b.empty:
             return pd.DataFrame({"id": a["id"][:0], "other": a["id"][:0], "score": np.empty(0)})
         n, m = len(b) if top_n is None else min(top_n, len(b)), len(b)
-        # One whole number per pair that falls with the rounded score, then rises with the id.
-        order = np.stack(a["vec"]) @ np.stack(b["vec"]).T
-        order *= -(10**digits)
-        np.rint(order, out=order)
-        order *= m
-        order += np.arange(m)
-        best = np.sort(np.partition(order, n - 1, axis=1)[:, :n] if n < m else order, axis=1)
-        score, position = -np.floor_divide(best, m) / 10**digits, np.mod(best, m).astype(np.int64)
+        score = np.stack(a["vec"]) @ np.stack(b["vec"]).T
+        if digits is not None:
+            np.round(score, digits, out=score)
+        # Of equal scores the lower ids come first, so those beyond the n-th score need no ranking.
+        least = np.partition(score, m - n, axis=1)[:, m - n] if n < m else np.full(len(a), -np.inf)
+        position = np.empty((len(a), n), np.int64)
+        for i, row in enumerate(score):
+            near = np.flatnonzero(row >= least[i])
+            position[i] = near[np.argsort(-row[near], kind="stable")[:n]]
+        score = np.take_along_axis(score, position, axis=1)
         return pd.DataFrame({
             "id": np.repeat(a["id"].to_numpy(), n),
             "other": b["id"].to_numpy()[position.ravel()],
@@ -113,8 +120,15 @@ def project(rows: DataFrame, keep: list[str], matrix: np.ndarray) -> DataFrame:
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        for batch in batches:
-            vec = [v @ m[i] for i, v in zip(batch["indices"], batch["values"])]
-            yield batch[keep].assign(vec=vec)
+        for whole in batches:
+            for at in range(0, len(whole), PROJECT_ROWS):
+                batch = whole.iloc[at : at + PROJECT_ROWS]
+                sizes = batch["indices"].map(len).to_numpy()
+                starts = np.cumsum(sizes) - sizes
+                vec = np.zeros((len(batch), m.shape[1]))
+                if sizes.sum():
+                    weighted = m[np.concatenate(batch["indices"].to_list())] * np.concatenate(batch["values"].to_list())[:, None]
+                    vec[sizes > 0] = np.add.reduceat(weighted, starts[sizes > 0], axis=0)
+                yield batch[keep].assign(vec=list(vec))
 
     return rows.select(*keep, "indices", "values").mapInPandas(multiply, f"{kept}, vec array<double>")

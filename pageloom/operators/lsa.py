@@ -8,23 +8,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import VectorUDT
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix, RowMatrix
+from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pageloom.operators.factors import entries, neighbors, project, scale_rows, top_entries
 from pageloom.operators.terms import document_vectors, vocabulary
-from pageloom.staging import stage, stage_path
+from pageloom.staging import drop_path, stage_path
 
-# Up to this many terms the Gram matrix (numTerms² / 2 doubles, 64 MB) is summed
-# in one pass over the rows and solved on the driver. More terms go to MLlib's
-# iterative solver, which sends vectors of that length only but makes many passes.
-GRAM_TERMS = 4_000
-
-# Both solvers work on the squared matrix, so smaller values are rounding noise.
+# The solver works on the squared matrix, so smaller values are rounding noise.
 RELATIVE_RANK = 1e-7
 
-DIGITS = 6
-
 
 @dataclass
 class Lsa:
@@ -37,9 +30,15 @@ class Lsa:
     terms: DataFrame
     docs: DataFrame
     sigma: list[float]
+    path: str = ""
 
+    def close(self) -> None:
+        """Delete the staged rows, once ``docs`` is no longer read."""
+        if self.path:
+            drop_path(self.terms.sparkSession, self.path)
 
-def lsa(docs: DataFrame, n_concepts: int = 100, n_terms: int = 50_000, keep: tuple[str, ...] = (), gram_terms: int = GRAM_TERMS) -> Lsa:
+
+def lsa(docs: DataFrame, n_concepts: int = 100, n_terms: int = 50_000, keep: tuple[str, ...] = ()) -> Lsa:
     """Decompose the TF-IDF matrix of ``doc_id, terms``.
 
     ``docs`` is read twice, once for the vocabulary and once for the matrix rows:
@@ -55,7 +54,7 @@ def lsa(docs: DataFrame, n_concepts: int = 100, n_terms: int = 50_000, keep: tup
     path = stage_path(spark, "rows")
     vectors.write.parquet(path)
     rows = spark.read.schema(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("w", VectorUDT())])).parquet(path)
-    v, sigma = _right_factor(rows, len(vocab), n_concepts, gram_terms)
+    v, sigma = _right_factor(rows, len(vocab), n_concepts)
 
     stored = "w struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
     others = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
@@ -68,25 +67,20 @@ def lsa(docs: DataFrame, n_concepts: int = 100, n_terms: int = 50_000, keep: tup
     doc_factor = project(sparse, ["id", *keep], v / sigma)
     vec = pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1], v.ravel())
     term_factor = spark.createDataFrame(pa.table({"id": vocab["term"], "idx": vocab["idx"], "vec": vec}))
-    return Lsa(term_factor, doc_factor, sigma.tolist())
-
-
-def _right_factor(rows: DataFrame, n_terms: int, n_concepts: int, gram_terms: int) -> tuple[np.ndarray, np.ndarray]:
-    """Term factor (terms × concepts) and strengths, largest first."""
-    k = min(n_concepts, n_terms)
-    if n_terms <= gram_terms:
-        # One Gram matrix per task: as many tasks as can run, however many files there are.
-        merged = rows.select("w").coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
-        gram = RowMatrix(merged, 0, n_terms).computeGramianMatrix().toArray()
-        values, vectors = np.linalg.eigh(gram)
-        sigma, v = np.sqrt(np.maximum(values[::-1][:k], 0.0)), vectors[:, ::-1][:, :k]
-    else:
-        cached = rows.select("doc_id", "w").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            svd = IndexedRowMatrix(cached, 0, n_terms).computeSVD(k)
-            sigma, v = svd.s.toArray(), svd.V.toArray()
-        finally:
-            cached.unpersist()
+    return Lsa(term_factor, doc_factor, sigma.tolist(), path)
+
+
+def _right_factor(rows: DataFrame, n_terms: int, n_concepts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Term factor (terms × concepts) and strengths, largest first, by MLlib's solver.
+
+    It reads the rows many times, so they are persisted; what an executor loses is read from the staged files again.
+    """
+    cached = rows.select("doc_id", "w").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        svd = IndexedRowMatrix(cached, 0, n_terms).computeSVD(min(n_concepts, n_terms))
+        sigma, v = svd.s.toArray(), svd.V.toArray()
+    finally:
+        cached.unpersist()
     real = sigma > RELATIVE_RANK * sigma[0] if len(sigma) and sigma[0] > 0 else np.zeros(len(sigma), bool)
     sigma, v = sigma[real], v[:, real]
     return v * _signs(v), sigma
@@ -106,26 +100,26 @@ def concept_strength(model: Lsa) -> DataFrame:
     return spark.createDataFrame(rows, "concept int, sigma double")
 
 
-def top_terms(model: Lsa, n: int = 10, concepts: int | None = None) -> DataFrame:
-    """``concept, rank, term, score`` for the first ``concepts`` concepts."""
-    return top_entries(model.terms.select("id", "vec"), n, concepts, DIGITS).withColumnRenamed("id", "term")
+def top_terms(model: Lsa, n: int = 10, concepts: int | None = None, digits: int | None = None) -> DataFrame:
+    """``concept, rank, term, score`` for the first ``concepts`` concepts; ``digits`` rounds the scores before they are ranked."""
+    return top_entries(model.terms.select("id", "vec"), n, concepts, digits).withColumnRenamed("id", "term")
 
 
-def top_docs(model: Lsa, n: int = 10, concepts: int | None = None) -> DataFrame:
-    """``concept, rank, doc_id, score`` for the first ``concepts`` concepts."""
-    return top_entries(model.docs.select("id", "vec"), n, concepts, DIGITS).withColumnRenamed("id", "doc_id")
+def top_docs(model: Lsa, n: int = 10, concepts: int | None = None, digits: int | None = None) -> DataFrame:
+    """``concept, rank, doc_id, score`` for the first ``concepts`` concepts; ``digits`` rounds the scores before they are ranked."""
+    return top_entries(model.docs.select("id", "vec"), n, concepts, digits).withColumnRenamed("id", "doc_id")
 
 
-def term_neighbors(model: Lsa, top_n: int | None = 20) -> DataFrame:
+def term_neighbors(model: Lsa, top_n: int | None = 20, digits: int | None = None) -> DataFrame:
     """Cosine of terms in concept space: ``id, other, score``; ``top_n=None`` gives all pairs."""
-    return neighbors(scale_rows(model.terms.select("id", "vec"), model.sigma), top_n, DIGITS)
+    return neighbors(scale_rows(model.terms.select("id", "vec"), model.sigma), top_n, digits)
 
 
-def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id") -> DataFrame:
+def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id", digits: int | None = None) -> DataFrame:
     """All relevances as ``data_type, ref, key, score``.
 
     Strengths have no key. ``doc_key`` names the column of ``model.docs`` that
-    identifies a document to readers, such as a title.
+    identifies a document to readers, such as a title. Scores are whole unless ``digits`` rounds them.
     """
 
     def kind(name: str, df: DataFrame, ref: str, key: str | None, score: str) -> DataFrame:
@@ -134,7 +128,7 @@ def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id") ->
             F.lit(name).alias("data_type"),
             F.col(ref).cast("string").alias("ref"),
             key_col.alias("key"),
-            F.round(score, DIGITS).alias("score"),
+            (F.col(score) if digits is None else F.round(score, digits)).alias("score"),
         )
 
     keyed_docs = model.docs.select(F.col(doc_key).alias("id"), "vec")
@@ -142,7 +136,7 @@ def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id") ->
         kind("concept_strength", concept_strength(model), "concept", None, "sigma"),
         kind("term_to_concept", entries(model.terms), "concept", "id", "score"),
         kind("doc_to_concept", entries(keyed_docs), "concept", "id", "score"),
-        kind("term_to_term", term_neighbors(model, top_n), "id", "other", "score"),
+        kind("term_to_term", term_neighbors(model, top_n, digits), "id", "other", "score"),
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -25,8 +25,10 @@ def parse_pages(pages: DataFrame, words_only: bool = False) -> DataFrame:
     texts = F.transform("page.revision", lambda r: F.coalesce(r["text"], F.lit("")))
     text = F.array_join(texts, "")
     reason = (
-        F.when(F.col("page").isNull() | F.col("page.damaged").isNotNull(), "malformed page")
+        F.when(F.startswith("page_xml", F.lit("<page>")) & ~F.endswith("page_xml", F.lit("</page>")), "cut page")
+        .when(F.col("page").isNull() | F.col("page.damaged").isNotNull(), "malformed page")
         .when(F.col("page.revision").isNull(), "page without revision")
+        .when(F.col("page.id").isNull(), "page without id")
     )
     rest = [c for c in pages.columns if c != "page_xml"]
     return parsed.select(

@@ -32,18 +32,22 @@ CATEGORY_NAMESPACES = {
 }
 
 
-def marked_lines(pages: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
+def marked_lines(pages: DataFrame, namespaces: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """Heading and category lines of each page's first revision, in place of its text.
 
     Needs ``lang, revision_text``. Lines are numbered from 1 and told apart inside
-    the row, so a page never leaves its task; the only join is against the small
-    namespace table. What is left of a page is small enough to stage.
+    the row, so a page never leaves its task; the only join is against the namespace table of a
+    row per language. What is left of a page is small enough to stage. ``namespaces`` may be a table ``lang,
+    namespace`` from the dumps' headers, which goes before the built-in names, or a dictionary, which takes their place.
     """
-    table = pages.sparkSession.createDataFrame(
-        list((namespaces or CATEGORY_NAMESPACES).items()), "lang string, namespace string"
-    )
-    namespace = F.coalesce("namespace", F.lit("Category")) if namespaces is None else F.col("namespace")
-    pattern = F.concat(F.lit(r"(?iu)\[\[\s*(?:Category|"), namespace, F.lit(r")\s*:\s*([^\]\[|#]+)"))
+    named = isinstance(namespaces, DataFrame)
+    listed = CATEGORY_NAMESPACES if named or namespaces is None else namespaces
+    table = pages.sparkSession.createDataFrame(list(listed.items()), "lang string, namespace string")
+    if named:
+        found = namespaces.select("lang", "namespace")
+        table = found.unionByName(table.join(found, "lang", "left_anti"))
+    namespace = F.coalesce("namespace", F.lit("Category")) if named or namespaces is None else F.col("namespace")
+    pattern = F.concat(F.lit(r"(?iu)\[\[\s*(?:Category|\Q"), namespace, F.lit(r"\E)\s*:\s*([^\]\[|#]+)"))
     numbered = F.transform(F.split("revision_text", "\n"), lambda line, i: F.struct((i + 1).alias("n"), line.alias("line")))
     rest = [c for c in pages.columns if c != "revision_text"]
     lines = pages.join(F.broadcast(table), "lang", "left").select(
@@ -56,10 +60,10 @@ def marked_lines(pages: DataFrame, namespaces: dict[str, str] | None = None) ->
     )
 
 
-def category_quads(pages: DataFrame, namespaces: dict[str, str] | None = None) -> DataFrame:
+def category_quads(pages: DataFrame, namespaces: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """One row per category link of an article's first revision.
 
-    Needs ``lang, title, ns, revision_id, revision_text``. With ``namespaces``,
+    Needs ``lang, title, ns, revision_id, revision_text``. With a dictionary ``namespaces``,
     pages of other languages are skipped. The context counts lines from 1, overall
     and from the last heading. Links with a leading colon only mention a category.
     The plan has no shuffle.

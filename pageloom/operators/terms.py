@@ -7,12 +7,18 @@ count a term over the corpus, and they carry partial sums.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction, StopWordsRemover, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pageloom.functions.binding import bind
 from pageloom.functions.text import singular_english, tokenize
+from pageloom.staging import stage
 
 # Tables up to this size are broadcast; a row is a term or two and a few numbers, so
 # the broadcast stays within tens of MB. Larger ones go through a shuffle join.
@@ -22,12 +28,13 @@ SALTS = 16
 
 
 def is_small(table: DataFrame, rows: int | None = None) -> bool:
-    """Whether a table may be broadcast: by the caller's bound on its rows, else by measuring.
+    """Whether a table may be broadcast, by measuring.
 
-    Measuring stops after ``BROADCAST_ROWS`` rows and also counts the text they hold.
+    A caller's bound on its rows spares the measure only where it says that the table is large. Measuring
+    stops after ``BROADCAST_ROWS`` rows and also counts the text they hold.
     """
-    if rows is not None:
-        return rows <= BROADCAST_ROWS
+    if rows is not None and rows > BROADCAST_ROWS:
+        return False
     texts = [F.coalesce(F.length(c), F.lit(0)) for c, kind in table.dtypes if kind == "string"]
     size = F.sum(sum(texts, F.lit(0)).cast("long"))
     found = table.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("rows"), F.coalesce(size, F.lit(0)).alias("chars")).first()
@@ -95,23 +102,50 @@ def drop_stop_terms(rows: DataFrame, stop_table: DataFrame, stop_rows: int | Non
 
 
 def normalize_terms(docs: DataFrame, lemmas: DataFrame, lemma_rows: int | None = None) -> DataFrame:
-    """Map ``terms`` through a table ``lang, term, lemma``; unlisted terms stay.
+    """Map ``terms`` through a table ``lang, term, lemma``; unlisted terms stay, and so does the order of all.
 
-    Needs ``doc_id, lang, terms``; a ``doc_id`` must be unique, and further columns
-    stay. Each distinct term of a document is looked up once and repeated
-    afterwards, and documents with no terms are kept. The terms of a document come
-    out sorted by the term looked up.
+    Needs ``lang, terms``; further columns stay. Of several lemmas of a term the lowest counts. A small table is sent to
+    every task, which maps the terms of a whole batch at once, so nothing of a document is shuffled. A large one is
+    joined to the terms, which are brought together again by ``doc_id``; that must then be unique.
     """
+    table = lemmas.where("lemma IS NOT NULL").groupBy("lang", "term").agg(F.min("lemma").alias("lemma"))
     rest = [c for c in docs.columns if c != "terms"]
-    rows = _run_starts(docs, rest).select(*rest, F.inline_outer(_runs()).alias("term", "tf"))
-    table = lemmas.select("lang", "term", "lemma").dropDuplicates(["lang", "term"])
-    found = F.when(
-        F.col("term").isNotNull(), F.struct("term", F.coalesce("lemma", "term").alias("lemma"), "tf")
-    )
-    looked_up = lookup(rows, table, ["lang", "term"], "left", lemma_rows)
-    gathered = looked_up.groupBy(*rest).agg(F.sort_array(F.collect_list(found)).alias("found"))
-    repeated = F.flatten(F.transform("found", lambda x: F.array_repeat(x["lemma"], x["tf"])))
-    return gathered.select(*rest, repeated.alias("terms"))
+    if is_small(table, lemma_rows):
+        return _map_terms(docs.select(*rest, "terms"), table)
+    rows = docs.select(*rest, F.posexplode_outer("terms").alias("pos", "term"))
+    found = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("lemma", "term").alias("lemma")))
+    gathered = lookup(rows, table, ["lang", "term"], "left", lemma_rows).groupBy(*rest).agg(F.sort_array(F.collect_list(found)).alias("found"))
+    return gathered.select(*rest, F.transform("found", lambda x: x["lemma"]).alias("terms"))
+
+
+def _map_terms(docs: DataFrame, table: DataFrame) -> DataFrame:
+    by_lang: dict[str, tuple[list[str], list[str]]] = {}
+    for r in table.toArrow().to_pylist():  # at most BROADCAST_ROWS, as is_small has measured
+        terms, mapped = by_lang.setdefault(r["lang"], ([], []))
+        terms.append(r["term"])
+        mapped.append(r["lemma"])
+    shared = docs.sparkSession.sparkContext.broadcast(by_lang)
+    lang_at, terms_at = docs.columns.index("lang"), docs.columns.index("terms")
+
+    def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {lang: (pa.array(a, pa.string()), pa.array(b, pa.string())) for lang, (a, b) in shared.value.items()}
+        for batch in batches:
+            lists = batch.column(terms_at)
+            sizes = np.array(pc.fill_null(pc.list_value_length(lists), 0))
+            flat = lists.flatten()
+            langs = batch.column(lang_at).take(pa.array(np.repeat(np.arange(batch.num_rows), sizes)))
+            for lang in set(batch.column(lang_at).to_pylist()) & set(known):
+                terms, mapped = known[lang]
+                at = pc.index_in(flat, value_set=terms)
+                hit = pc.and_(pc.is_valid(at), pc.fill_null(pc.equal(langs, lang), False))
+                flat = pc.if_else(hit, mapped.take(at), flat)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            columns = batch.columns
+            columns[terms_at] = pa.ListArray.from_arrays(offsets, flat, mask=pc.is_null(lists))
+            yield pa.RecordBatch.from_arrays(columns, docs_columns)
+
+    docs_columns = docs.columns
+    return docs.mapInArrow(change, docs.schema)
 
 
 def _run_starts(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -155,7 +189,7 @@ def document_frequency(docs: DataFrame, keep: int | None = None, order: str = "m
     if keep is None:
         return df
     if order == "rarest":
-        return df.orderBy("df", "term").limit(keep)
+        return _rare_enough(df, keep).orderBy("df", "term").limit(keep)
     return _frequent_enough(df, keep).orderBy(F.desc("df"), "term").limit(keep)
 
 
@@ -172,33 +206,54 @@ def _frequent_enough(counted: DataFrame, n: int) -> DataFrame:
     return counted.where(F.col("df") >= F.coalesce(nth.scalar(), F.lit(0)))
 
 
+def _rare_enough(counted: DataFrame, n: int) -> DataFrame:
+    """The terms that can be among the ``n`` rarest: those at or below the n-th frequency from the rarest."""
+    shared = counted.groupBy("df").agg(F.count("*").alias("n_terms"))
+    reached = F.sum("n_terms").over(Window.orderBy("df"))
+    nth = shared.withColumn("reached", reached).where(F.col("reached") >= n).agg(F.min("df"))
+    return counted.where(F.col("df") <= F.coalesce(nth.scalar(), F.lit((1 << 63) - 1)))
+
+
 def idf(n_docs: Column, df: Column | str) -> Column:
     """Unsmoothed inverse document frequency, ln(N / df)."""
     return F.log(n_docs / F.col(df) if isinstance(df, str) else n_docs / df)
 
 
-def vocabulary(docs: DataFrame, n_terms: int = 50_000) -> DataFrame:
+def vocabulary(docs: DataFrame, n_terms: int | None = 50_000) -> DataFrame:
     """The most frequent terms: ``term, idx, df, idf``, with idx from 0 by falling df, then term.
 
     One pass: every document also counts for a null term, whose frequency is the
     corpus size and which therefore comes first. The index is drawn over the
-    ``n_terms`` rows that are left.
+    ``n_terms`` rows that are left. ``n_terms=None`` keeps all terms: they are sorted over
+    all tasks and written, and each task's rows are moved up by those of the tasks before it.
     """
     seen = F.array_append(F.array_distinct("terms"), F.lit(None).cast("string"))
     counted = docs.select(F.explode(seen).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     order = [F.desc("df"), F.asc_nulls_first("term")]
     by_rank = Window.orderBy(*order)
+    if n_terms is None:
+        return _numbered(counted, order)
     ranked = _frequent_enough(counted, n_terms + 1).orderBy(*order).limit(n_terms + 1).select(
         "term", (F.row_number().over(by_rank) - 2).alias("idx"), "df", idf(F.first("df").over(by_rank), "df").alias("idf")
     )
     return ranked.where("term IS NOT NULL")
 
 
-def tfidf(docs: DataFrame, vocab: DataFrame, n_terms: int | None = 50_000) -> DataFrame:
+def _numbered(counted: DataFrame, order: list[Column]) -> DataFrame:
+    """All terms as ``term, idx, df, idf``; the null term, which holds the corpus size, comes first."""
+    placed = stage(counted.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "vocabulary")
+    task, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = placed.groupBy(task.alias("_task")).agg(F.count("*").alias("n")).select("_task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    n_docs = placed.where("term IS NULL").agg(F.max("df")).scalar()
+    joined = placed.withColumn("_task", task).join(F.broadcast(tasks), "_task")  # a row per task of the sort
+    return joined.where("term IS NOT NULL").select("term", (F.col("_before") + place - 1).alias("idx"), "df", idf(n_docs, "df").alias("idf"))
+
+
+def tfidf(docs: DataFrame, vocab: DataFrame, n_terms: int | None = None) -> DataFrame:
     """``doc_id, idx, w`` with w = idf · tf / terms of the document; other terms are dropped.
 
-    ``n_terms`` bounds the rows of ``vocab`` and decides whether it is broadcast; without
-    it the table is measured.
+    ``vocab`` is measured before it is broadcast; ``n_terms``, a bound on its rows, may spare that.
     """
     joined = lookup(term_counts(docs), vocab.select("term", "idx", "idf"), ["term"], "inner", n_terms)
     return joined.select("doc_id", "idx", (F.col("idf") * F.col("tf") / F.col("n_terms")).alias("w"))

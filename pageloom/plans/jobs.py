@@ -15,8 +15,9 @@ from pageloom.operators import entities as ent
 from pageloom.operators.lsa import Lsa, lsa, relevance_table
 from pageloom.operators.pages import filter_articles, parse_pages, split_rejects
 from pageloom.operators.quads import marked_lines, quads_of_lines
-from pageloom.operators.terms import drop_stop_words, keep_documents, normalize_terms, tokenize_documents
-from pageloom.sources.dumps import list_languages, read_pages
+from pageloom.functions.text import singular_english, tokenize
+from pageloom.operators.terms import drop_stop_words, keep_documents, normalize_terms
+from pageloom.sources.dumps import category_names, list_languages, read_pages
 from pageloom.sources.entities import read_entities
 from pageloom.sources.tables import write_tables
 from pageloom.sources.words import read_words
@@ -28,15 +29,23 @@ def extract_statements(
 ) -> None:
     """Page dumps to ``output/quads`` and ``output/rejects``.
 
-    Dumps are decompressed and parsed once; only headings and category lines are staged.
+    Dumps are parsed once; only headings and category lines are staged. Before that the category
+    names are looked up in the dumps' headers, unless a dictionary gives them.
     """
     if list_languages(spark, dumps).isEmpty():
         raise ValueError(f"no dump with a language in its name under {dumps}")
     columns = ["lang", "title", "ns", "revision_id", "revision_text", "reason", "head"]
-    marked = stage(marked_lines(parse_pages(read_pages(spark, dumps)).select(columns), namespaces), "lines")
-    good, rejects = split_rejects(marked, "pages")
-    write_tables({"quads": quads_of_lines(good), "rejects": rejects}, output, mode)
-    drop_staged(marked)
+    names = stage(category_names(spark, dumps), "names") if namespaces is None else None
+    marked = None
+    try:
+        pages = parse_pages(read_pages(spark, dumps)).select(columns)
+        marked = stage(marked_lines(pages, namespaces if names is None else names), "lines")
+        good, rejects = split_rejects(marked, "pages")
+        write_tables({"quads": quads_of_lines(good), "rejects": rejects}, output, mode)
+    finally:
+        for table in (names, marked):
+            if table is not None:
+                drop_staged(table)
 
 
 def entity_tables(parsed: DataFrame, strict: bool = False) -> dict[str, DataFrame]:
@@ -45,7 +54,8 @@ def entity_tables(parsed: DataFrame, strict: bool = False) -> dict[str, DataFram
         "labels": ent.entity_labels(good, strict),
         "sitelinks": ent.entity_sitelinks(good, strict),
         "claims": ent.entity_claims(good, strict),
-        "rejects": rejects.unionByName(ent.claim_rejects(good)),
+        "rejects": rejects.unionByName(ent.label_rejects(good)).unionByName(ent.sitelink_rejects(good))
+        .unionByName(ent.claim_rejects(good)).unionByName(ent.member_rejects(good)),
     }
 
 
@@ -58,33 +68,42 @@ def extract_entities(
     each table then reads only the columns it needs.
     """
     parsed = stage(ent.parse_entities(read_entities(spark, lines)), "entities")
-    write_tables(entity_tables(parsed, strict), output, mode)
-    drop_staged(parsed)
+    try:
+        write_tables(entity_tables(parsed, strict), output, mode)
+    finally:
+        drop_staged(parsed)
+
+
+def article_tokens(spark: SparkSession, dumps: str | list[str], lang: str | None = None, token_mode: str = "ascii") -> DataFrame:
+    """Pages of one language as ``doc_id, title, lang, terms, reason, head``: the tokens of articles, and why a record is rejected."""
+    languages = [r["lang"] for r in list_languages(spark, dumps).limit(2).collect()] if lang is None else [lang]
+    if len(languages) != 1:
+        raise ValueError(f"exactly one language is expected, pass lang= to pick one; found {languages}")
+    pages = parse_pages(read_pages(spark, dumps, languages[0])).select(F.col("page_id").alias("doc_id"), "title", "lang", "text", "reason", "head")
+    rejected = pages.where("reason IS NOT NULL").withColumn("text", F.lit(None).cast("string"))
+    both = filter_articles(pages.where("reason IS NULL")).unionByName(rejected)
+    return both.withColumn("terms", tokenize("text", token_mode)).drop("text")
 
 
 def article_terms(
-    spark: SparkSession,
-    dumps: str | list[str],
+    tokens: DataFrame,
     stop_words: list[str] | None = None,
-    lang: str | None = None,
     lemmas: DataFrame | None = None,
     lemma_rows: int | None = None,
     singular: bool = False,
     stop_first: bool = False,
 ) -> DataFrame:
-    """Articles of one language as ``doc_id, title, terms``."""
-    languages = [r["lang"] for r in list_languages(spark, dumps).limit(2).collect()] if lang is None else [lang]
-    if len(languages) != 1:
-        raise ValueError(f"exactly one language is expected, pass lang= to pick one; found {languages}")
-    good, _ = split_rejects(parse_pages(read_pages(spark, dumps, languages[0])), "pages")
-    docs = filter_articles(good).select(F.col("page_id").alias("doc_id"), "title", "lang", "text")
-    if lemmas is None:
-        return tokenize_documents(docs, stop_words, singular=singular, stop_first=stop_first).drop("lang")
-    tokens = tokenize_documents(docs, stop_words if stop_first else None, min_terms=1)
-    mapped = normalize_terms(tokens, lemmas, lemma_rows)
+    """Articles as ``doc_id, title, terms`` from the good rows of :func:`article_tokens`."""
+    docs = tokens.where("reason IS NULL").drop("reason", "head")
+    if stop_words and stop_first:
+        docs = drop_stop_words(docs, stop_words)
+    if lemmas is not None:
+        docs = normalize_terms(docs, lemmas, lemma_rows)
+    if singular:
+        docs = docs.withColumn("terms", singular_english("terms"))
     if stop_words and not stop_first:
-        mapped = drop_stop_words(mapped, stop_words)
-    return keep_documents(mapped.drop("lang"))
+        docs = drop_stop_words(docs, stop_words)
+    return keep_documents(docs.drop("lang"))
 
 
 def analyse_concepts(
@@ -97,19 +116,28 @@ def analyse_concepts(
     neighbors: int | None = 20,
     lang: str | None = None,
     mode: str = "errorifexists",
+    token_mode: str = "ascii",
     **options,
 ) -> Lsa:
-    """Page dumps of one language to one relevance table at ``output``.
+    """Page dumps of one language to one relevance table at ``output``, and rejected records at ``<output>_rejects``.
 
-    ``stop_words`` is a file or a list. Articles are staged as terms, so dumps are
-    parsed once for the vocabulary and the matrix.
+    ``stop_words`` is a file or a list. Articles are staged as tokens, so dumps are
+    parsed once for the vocabulary, the matrix and the rejects.
     """
     if isinstance(stop_words, str):
         stop_words = [r["term"] for r in read_words(spark, stop_words).collect()]
-    docs = stage(article_terms(spark, dumps, stop_words, lang, **options), "terms")
-    model = lsa(docs, n_concepts, n_terms, keep=("title",))
-    write_tables({"": relevance_table(model, neighbors, doc_key="title")}, output, mode)
-    return model
+    tokens = stage(article_tokens(spark, dumps, lang, token_mode), "tokens")
+    docs = None
+    try:
+        write_tables({"": split_rejects(tokens, "pages")[1]}, f"{output.rstrip('/')}_rejects", mode)
+        docs = stage(article_terms(tokens, stop_words, **options), "terms")
+        model = lsa(docs, n_concepts, n_terms, keep=("title",))
+        write_tables({"": relevance_table(model, neighbors, doc_key="title")}, output, mode)
+        return model
+    finally:
+        for table in (tokens, docs):
+            if table is not None:
+                drop_staged(table)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -128,6 +156,10 @@ def main(argv: list[str] | None = None) -> None:
             job.add_argument("--terms", type=int, default=50_000)
             job.add_argument("--neighbors", type=int, default=20, help="per term; 0 for all pairs")
             job.add_argument("--lang")
+            job.add_argument("--token-mode", choices=("ascii", "unicode"), default="ascii")
+            job.add_argument("--singular", action="store_true", help="the light English plural rule")
+            job.add_argument("--stop-first", action="store_true", help="drop stop words before terms are normalised")
+            job.add_argument("--lemmas", help="tab-separated file of language, term and lemma")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"pageloom {args.job}").getOrCreate()
     if args.job == "statements":
@@ -135,9 +167,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "entities":
         extract_entities(spark, args.input, args.output, args.strict, args.mode)
     else:
+        lemmas = spark.read.csv(args.lemmas, sep="\t", schema="lang string, term string, lemma string") if args.lemmas else None
         analyse_concepts(
-            spark, args.input, args.output, args.stop_words, args.concepts, args.terms, args.neighbors or None, args.lang, args.mode
-        )
+            spark, args.input, args.output, args.stop_words, args.concepts, args.terms, args.neighbors or None, args.lang, args.mode,
+            args.token_mode, lemmas=lemmas, singular=args.singular, stop_first=args.stop_first,
+        )
 
 
 if __name__ == "__main__":

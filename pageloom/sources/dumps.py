@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed value: a dump is named after its language, e.g. ``enwiki-…``.
 LANGUAGE_PATTERN = r"([a-z]{2,})wiki"
+# How a dump begins, and key 14, the category namespace, in its header.
+HEAD_PATTERN = r"^\s*(<\?xml|<mediawiki|<siteinfo)"
+CATEGORY_PATTERN = r'<namespace\b[^>]*\bkey="14"[^>]*>([^<]+)</namespace>'
 
 
 def language_of_path(path: Column | str) -> Column:
@@ -28,26 +31,36 @@ def list_languages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return list_dumps(spark, path).select("lang").distinct()
 
 
+def _chunks(spark: SparkSession, path: str | list[str], lang: str | None) -> DataFrame:
+    """``lang, path, value``: what stands between two ``<page>``, and the head of each file before the first.
+
+    The text source splits plain and bz2 files at any byte and hands out each chunk once.
+    """
+    chunks = spark.read.option("recursiveFileLookup", "true").option("lineSep", "<page>").text(path)
+    chunks = chunks.select(language_of_path("_metadata.file_path").alias("lang"), F.col("_metadata.file_path").alias("path"), "value")
+    chunks = chunks.where("lang IS NOT NULL")
+    return chunks if lang is None else chunks.where(F.col("lang") == lang)
+
+
 def read_pages(spark: SparkSession, path: str | list[str], lang: str | None = None) -> DataFrame:
     """All page records under ``path``: ``lang, path, page_xml``.
 
-    The text source splits plain and bz2 files at any byte and still hands out
-    each record once, because a record ends at its separator. Files without a
-    language, and with ``lang`` those of other languages, are left out when the scan is
-    planned and never opened. ``spark.sql.files.maxPartitionBytes`` sets the split size.
-    A record cut off at the end of a file comes out with its end tag added and is
-    left for :func:`pageloom.operators.pages.parse_pages` to reject.
+    Files without a language, and with ``lang`` those of other languages, are left out when the scan is
+    planned and never opened. ``spark.sql.files.maxPartitionBytes`` sets the split size. A record that its file
+    cuts off has no end tag and is left for :func:`pageloom.operators.pages.parse_pages` to reject.
+    """
+    end = F.locate("</page>", F.col("value"))
+    head = F.trim("value").isin("", "\n") | F.rlike("value", F.lit(HEAD_PATTERN))
+    record = F.concat(F.lit("<page>"), F.when(end > 0, F.substr("value", F.lit(1), end + 6)).otherwise(F.col("value")))
+    return _chunks(spark, path, lang).where((end > 0) | ~head).select("lang", "path", record.alias("page_xml"))
+
+
+def category_names(spark: SparkSession, path: str | list[str], lang: str | None = None) -> DataFrame:
+    """``lang, namespace``: the category namespace that each dump's header names, one for a language.
+
+    Only the chunk before the first page of each file can hold it, but every file is read for it: stage the
+    result, a row per language.
     """
-    chunks = (
-        spark.read.option("recursiveFileLookup", "true").option("lineSep", "</page>").text(path)
-        .select(
-            language_of_path("_metadata.file_path").alias("lang"),
-            F.col("_metadata.file_path").alias("path"),
-            "value",
-            F.locate("<page>", F.col("value")).alias("start"),
-        )
-        .where("lang IS NOT NULL AND start > 0")
-    )
-    if lang is not None:
-        chunks = chunks.where(F.col("lang") == lang)
-    return chunks.select("lang", "path", F.concat(F.substr("value", "start"), F.lit("</page>")).alias("page_xml"))
+    name = F.regexp_extract("value", CATEGORY_PATTERN, 1)
+    heads = _chunks(spark, path, lang).where(F.contains("value", F.lit("<siteinfo"))).select("lang", name.alias("namespace"))
+    return heads.where("namespace <> ''").groupBy("lang").agg(F.min("namespace").alias("namespace"))

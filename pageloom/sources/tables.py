@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-# A table of fewer bytes than this per core may sit in fewer row groups than there
-# are cores. Rows of text expand, so even this little is worth spreading.
-SPREAD_BYTES_PER_CORE = 32 << 20
 
-
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, partitions: int | None = None, key: str | None = None) -> DataFrame:
     """Scan a Parquet table.
 
-    A row group is read by one task, so a small file would keep a costly parse on
-    one core. With ``key``, a column of mostly distinct values, such a table is
-    spread over all cores. A large one is never shuffled.
+    A row group is read by one task. A caller who knows that a file is small and the work on its rows
+    is costly may ask for ``partitions``, dealt by ``key``; nothing is shuffled otherwise.
     """
     df = spark.read.parquet(path)
-    if key is None:
+    if partitions is None:
         return df
-    cores = spark.sparkContext.defaultParallelism
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    size = files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
-    return df.repartition(cores, key) if size < cores * SPREAD_BYTES_PER_CORE else df
+    return df.repartition(partitions, key) if key else df.repartition(partitions)
 
 
 def write_tables(tables: dict[str, DataFrame], output: str, mode: str = "errorifexists") -> None:

@@ -33,21 +33,20 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and return a scan of it."""
+    """Write ``df`` as Parquet to the shared folder and return a scan of it, which knows its ``staged_path``."""
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(schema or df.schema).parquet(path)
+    out = spark.read.schema(schema or df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_staged(df: DataFrame) -> None:
-    """Delete the files behind staged tables once nothing reads them any more."""
-    spark = df.sparkSession
-    root = shared_dir(spark)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        base = jvm.org.apache.hadoop.fs.Path(root)
-        if path.toUri().getPath().startswith(base.toUri().getPath() + "/"):
-            path.getFileSystem(conf).delete(path, True)
+    """Delete the files behind a table from :func:`stage` once nothing reads it any more."""
+    drop_path(df.sparkSession, df.staged_path)

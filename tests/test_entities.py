@@ -120,3 +120,18 @@ def test_many_labels(spark):
     entity = {"id": "Q5", "type": "item", "labels": {f"l{i}": {"language": f"l{i}", "value": str(i)} for i in range(249)}, "descriptions": {}}
     df = spark.createDataFrame([(json.dumps(entity),)], "value string")
     assert ent.entity_labels(ent.parse_entities(df)).count() == 249
+
+
+def test_a_bad_member_costs_itself_only(spark):
+    good = '{"mainsnak":{"snaktype":"value","property":"P1","datatype":"other","datavalue":{"type":"other","value":{"labels":[]}}}}'
+    line = f'{{"id":"Q1","type":"item","labels":{{"en":{{"language":"en","value":"a"}},"fr":"bad","de":null,"es":{{"language":"es"}}}},"sitelinks":3,"claims":{{"P1":[{good},"x"],"P2":null,"P3":"junk"}}}}'
+    parsed = ent.parse_entities(spark.createDataFrame([(line,)], "value string"))
+    assert [r["value"] for r in ent.entity_claims(parsed).collect()] == ['{"labels":[]}']
+    assert [r["label"] for r in ent.entity_labels(parsed).collect()] == ["a"]
+    assert ent.entity_labels(parsed, strict=True).isEmpty() and ent.entity_claims(parsed, strict=True).isEmpty()
+    assert [r["head"] for r in ent.label_rejects(parsed).collect()] == ["Q1 es"]
+    faults = sorted((r["source"], r["reason"], r["head"].strip()) for r in ent.member_rejects(parsed).collect())
+    assert faults == [
+        ("claims", "mistyped member of claims", "Q1 P2"), ("claims", "mistyped member of claims", "Q1 P3"), ("claims", "mistyped statement", "Q1 P1"),
+        ("labels", "mistyped member of labels", "Q1 de"), ("labels", "mistyped member of labels", "Q1 fr"), ("sitelinks", "sitelinks is no object", "Q1"),
+    ]

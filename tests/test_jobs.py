@@ -52,6 +52,7 @@ def test_concepts(spark, dumps, tmp_path):
     table = spark.read.parquet(str(tmp_path / "out"))
     counts = {r["data_type"]: r["count"] for r in table.groupBy("data_type").count().collect()}
     k = len(model.sigma)
+    assert spark.read.parquet(str(tmp_path / "out_rejects")).count() == 2
     assert counts["concept_strength"] == k == 3
     assert counts["doc_to_concept"] == 54 * k, "six pages are in another namespace"
     terms = {r["key"] for r in table.where("data_type = 'term_to_concept'").select("key").distinct().collect()}
@@ -62,7 +63,7 @@ def test_concepts(spark, dumps, tmp_path):
 
 def test_concepts_with_lemmas(spark, dumps):
     lemmas = spark.createDataFrame([("en", "song", "music")], "lang string, term string, lemma string")
-    docs = jobs.article_terms(spark, dumps, ["goal"], lemmas=lemmas)
+    docs = jobs.article_terms(jobs.article_tokens(spark, dumps), ["goal"], lemmas=lemmas)
     assert docs.count() == 54
     terms = {r["term"] for r in docs.select(F.explode("terms").alias("term")).distinct().collect()}
     assert "music" in terms and "song" not in terms and "goal" not in terms
@@ -72,5 +73,5 @@ def test_one_language_is_needed(spark, dumps, tmp_path):
     (tmp_path / "enwiki.xml").write_bytes(dump(5))
     (tmp_path / "frwiki.xml").write_bytes(dump(5))
     with pytest.raises(ValueError, match="one language"):
-        jobs.article_terms(spark, str(tmp_path))
-    assert jobs.article_terms(spark, str(tmp_path), lang="fr").count() == 4
+        jobs.article_tokens(spark, str(tmp_path))
+    assert jobs.article_terms(jobs.article_tokens(spark, str(tmp_path), lang="fr")).count() == 4

@@ -4,7 +4,7 @@ import gzip
 import pytest
 
 from pageloom.operators.pages import filter_articles, parse_pages, split_rejects
-from pageloom.sources.dumps import language_of_path, list_dumps, list_languages, read_pages
+from pageloom.sources.dumps import category_names, language_of_path, list_dumps, list_languages, read_pages
 
 PAGE = (
     "  <page>\n    <title>{title}</title>\n    <ns>0</ns>\n    <id>{id}</id>\n    <revision>\n      <id>{rev}</id>\n"
@@ -61,7 +61,23 @@ def test_page_cut_off_at_the_end_is_rejected(spark, tmp_path):
     good, rejects = split_rejects(parse_pages(read_pages(spark, str(tmp_path))), "pages")
     assert sorted(r["title"] for r in good.collect()) == ["T0", "T1"]
     (row,) = rejects.collect()
-    assert row["reason"] == "malformed page" and row["head"].startswith("<page>") and len(row["head"]) == 100
+    assert row["reason"] == "cut page" and row["head"].startswith("<page>") and len(row["head"]) == 100
+
+
+def test_a_page_cut_after_its_first_revision_is_no_good_page(spark, tmp_path):
+    page = "<page><title>T</title><id>1</id><revision><id>1</id><text>x</text></revision>"
+    (tmp_path / "enwiki.xml").write_text(f"<mediawiki>{page}</page>{page.replace('<id>1</id><rev', '<rev')}</page>{page}")
+    good, rejects = split_rejects(parse_pages(read_pages(spark, str(tmp_path))), "pages")
+    assert good.count() == 1
+    assert sorted(r["reason"] for r in rejects.collect()) == ["cut page", "page without id"]
+
+
+def test_category_names_come_from_the_headers(spark, tmp_path):
+    for lang, name in (("pl", "Kategoria"), ("uk", "Категорія")):
+        head = f'<mediawiki><siteinfo><namespaces><namespace key="1">Talk</namespace><namespace key="14" case="x">{name}</namespace></namespaces></siteinfo>'
+        (tmp_path / f"{lang}wiki.xml").write_text(f"{head}\n<page><title>T</title></page></mediawiki>", encoding="utf-8")
+    assert {(r["lang"], r["namespace"]) for r in category_names(spark, str(tmp_path)).collect()} == {("pl", "Kategoria"), ("uk", "Категорія")}
+    assert read_pages(spark, str(tmp_path)).count() == 2
 
 
 def test_malformed_pages_do_not_stop_the_others(spark):
