@@ -55,7 +55,7 @@ class LanguageModel:
         self.logs: list[np.ndarray] = []
         for n in range(LONGEST_GRAM + 1):
             own = {g: c for g, c in grams.items() if len(g) == n} if n else words
-            logs = np.log((np.array(list(own.values())).reshape(-1, len(languages)) + SMOOTHING) / (totals[n] + 1))
+            logs = np.log((np.array(list(own.values())).reshape(len(own), len(languages)) + SMOOTHING) / (totals[n] + 1))
             self.places.append({g: i for i, g in enumerate(own)})
             self.logs.append((logs - logs.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float32))
 

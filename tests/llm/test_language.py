@@ -1,0 +1,49 @@
+import zlib
+
+from pageloom.llm.language import LanguageModel, grams_of, held_out, identify, keep_identified, train, words_of
+from pyspark.sql import functions as F
+
+
+def test_words_and_grams():
+    assert words_of(None) == words_of("12 !! _ ²") == []
+    assert words_of("Été 3x d'A") == ["été", "x", "d", "a"]
+    assert grams_of("ab", 3) == ["<ab", "ab>"] and grams_of("ab", 1) == ["a", "b"]
+
+
+def test_backoff(make_docs):
+    docs = make_docs([(1, "der die das und nicht " * 5, "de", "a"), (2, "the and that with from " * 5, "en", "a"), (3, "the", None, "a")])
+    model = train(docs)
+    assert model.languages == ["de", "en"]
+    assert model.word("und")[0] > model.word("und")[1]
+    assert model.word("undt")[0] > model.word("undt")[1]  # unseen: its n-grams
+    assert not model.word("żż").any()  # nothing known
+    assert model.predict(["und", None, "", "7", "THE that"])[0] == ["de", "und", "und", "und", "en"]
+
+
+def test_held_out(spark, sample):
+    got = sample[1].select("doc_id", held_out(F.col("doc_id")).alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    assert not spark.range(1).select(held_out(F.lit(None).cast("long")).alias("h")).first()["h"]
+
+
+def test_accuracy_on_held_out_rows(sample):
+    docs = sample[1].withColumn("out", held_out(F.col("doc_id")))
+    found = identify(docs, train(docs.where("NOT out"))).where("out").collect()
+    assert len(found) > 20
+    assert sum(r["lang_pred"] == r["lang"] for r in found) >= 0.95 * len(found)
+    assert all(0 <= r["score"] <= 1 for r in found)
+
+
+def test_odd_rows(odd_docs):
+    found = identify(odd_docs, train(odd_docs))
+    assert found.columns == [*[c for c in odd_docs.columns if c != "score"], "lang_pred", "score"]
+    for r in found.collect():
+        assert (r["lang_pred"] == "und") == (not words_of(r["text"])) and 0 <= r["score"] <= 1
+    out = keep_identified(odd_docs)
+    assert out.columns == odd_docs.columns and out.count() == sum(bool(words_of(r["text"])) for r in odd_docs.collect())
+
+
+def test_nothing_to_learn(no_docs, odd_docs):
+    model = train(no_docs)
+    assert isinstance(model, LanguageModel) and identify(no_docs, model).count() == 0
+    assert {r["lang_pred"] for r in identify(odd_docs, model).collect()} == {"und"}
