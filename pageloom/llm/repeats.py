@@ -15,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Members, Scratch
-from .spans import cut_texts, gather, text_batches
+from .spans import cut_texts, gather, merge, text_batches
 
 LENGTH = 400
 GRAM = 32
@@ -26,6 +27,8 @@ PIECE_BYTES = 1 << 19
 COLLECTION_ROWS = 8192
 HOT_ROWS = 16_384
 HOT_KEYS = 4096
+SEEN_SNIPPETS = 50_000
+KNOWN = -1
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,7 +136,9 @@ def _line_up(rows: list[tuple], length: int) -> list[tuple]:
 def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``key, start, end``: bytes covered by strings of ``length`` that start elsewhere too, in a text with another key or in the same one.
 
-    Rows with one key are one text. A task leaves out texts that it has met before.
+    Rows with one key are one text. A task leaves out texts that it has met before, and of the windows around an anchor that it
+    has met before it passes on no more than the place, so a passage that very many texts or periods share reaches
+    a collection once from each task.
     """
     rows = docs.select(F.col(key_col).alias("key"), text_col)
 
@@ -150,17 +155,31 @@ def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratc
     hot = np.sort(np.array([r["anchor"] for r in counted.where(F.col("n") > hot_rows).select("anchor").collect()], np.int64))
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list] = {}
         for batch, texts in text_batches(batches, 1, 1 << 20):
             out = []
             keys = batch.column(0).to_pylist()
             for i, text in _once(batch, texts, numbered=True):
                 h, place, first, last = anchors(text, length, gram)
                 is_hot = np.isin(h, hot) if len(hot) else np.zeros(len(h), bool)
+                known = []
                 for j in np.flatnonzero(members.has(h)):
                     p, a, b = int(place[j]), int(first[j]), int(last[j])
+                    data = text[a : b + length]
+                    # What this task has met before is repeated; only the first is compared with what others have met.
+                    former = seen.setdefault((p - a, xxhash.xxh3_128_digest(data)), [keys[i], a, b + length])
+                    if former[:2] != [keys[i], a]:
+                        known.append((a, b + length))
+                        if len(former) == 3:
+                            out.append((former[1], KNOWN, b"", *former, b""))
+                            former.append(True)
+                        continue
                     for side, low, high in _sides(p, a, b, length, bool(is_hot[j])):
                         mark = text[p + length // 2 - gram : p + length // 2] if side == 2 else text[p - length // 2 : p - length // 2 + gram] if side == 1 else b""
                         out.append((int(h[j]), side, mark, keys[i], low, p - low, text[low : high + length]))
+                out += [(start, KNOWN, b"", keys[i], start, end, b"") for start, end in merge(known)]
+                if len(seen) > SEEN_SNIPPETS:
+                    seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, types, strict=True)], names)
 
     names = ["anchor", "side", "mark", "key", "from", "at", "bytes"]
@@ -175,7 +194,11 @@ def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratc
 
         ready, group, last = [], [], None
         for batch in batches:
+            done = []
             for anchor, side, mark, key, start, at, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if side == KNOWN:
+                    done.append((key, start, at))
+                    continue
                 name = (anchor, side, mark)
                 if name != last:
                     if len(group) > 1:
@@ -185,6 +208,7 @@ def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratc
                         yield emit(_line_up(ready, length))
                         ready = []
                 group.append((name, key, start, at, data))
+            yield emit(done)
         if len(group) > 1:
             ready += group
         if ready:
