@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Scratch
 
 
+def forest(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix, the smallest id of its component within it."""
+    root, todo = ids.copy(), linked.any(axis=1)
+    while todo.any():
+        reached = np.zeros(len(ids), bool)
+        new = np.zeros(len(ids), bool)
+        new[todo.argmax()] = True
+        while new.any():
+            reached |= new
+            new = linked[new].any(axis=0) & ~reached
+        root[reached] = ids[reached].min()
+        todo &= ~reached
+    return root
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``id, component`` for every id of ``links`` (``a, b`` long): the smallest id it is linked with over any path.
 
@@ -17,13 +33,16 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges, seen = scratch.keep(edges, "edges"), None
     while True:
+        n = edges.count() if seen is None else seen[0]
+        if not n:
+            return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.keep(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "large-minima")
-        large = scratch.keep(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        minima = scratch.keep(large.groupBy("u").agg(F.min("v").alias("m")), "small-minima")
+        least = scratch.keep(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "large-minima", n)
+        large = scratch.keep(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large", n)
+        minima = scratch.keep(large.groupBy("u").agg(F.min("v").alias("m")), "small-minima", n)
         small = large.join(minima, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = scratch.keep(small.unionByName(minima.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
+        new = scratch.keep(small.unionByName(minima.select("u", F.col("m").alias("v"))).distinct(), "edges", n)
+        state = tuple(new.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first())
         scratch.drop(edges, least, large, minima)
         edges = new
         if state == seen:

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .graph import components
+from .graph import components, forest
 from .scratch import Members, Scratch, without_rows
 from .spans import text_batches
 
@@ -30,7 +30,8 @@ BAND_WIDTH = 1.5
 SMALL_SET = 64
 SLACK = 0.15
 BUCKETS = 32
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
+BLOCK_SETS, BLOCK_FEATURES = 1024, 1_000_000
 CACHE_WORDS = 300_000
 FILTER_BITS = 1 << 25
 EMPTY_NODE = np.int64(0)
@@ -129,7 +130,7 @@ def jaccard_groups(
     Texts link when den x intersection >= num x union of their sets of ``size``-word shingles; a text of fewer words is one
     shingle, one without a word or null links with nothing. Texts with one set are one node. Of the sets with a common
     signature, the one with most shared signatures is compared with all others first, which joins most copies of a text in as
-    many comparisons; in further rounds only those still apart are compared, and at last every pair that is. Null ids name a component only if all of its
+    many comparisons; sets that are still apart are then compared in blocks, which give trees and not pairs. Null ids name a component only if all of its
     ids are null; textless rows with a null id have a null component.
     """
     scratch = Scratch(docs.sparkSession, "jaccard")
@@ -174,33 +175,31 @@ def jaccard_groups(
     scores = scratch.keep(buckets.groupBy("node").agg(F.count("*").alias("score")), "scores")
     sets = _sets(rows, texts, scores, scratch, size)
 
-    tested = scratch.keep(buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), "tested")
-    links = tested
     open_ = scratch.keep(buckets.join(scores, "node").withColumns({"component": F.col("node"), "done": F.lit(False)}), "open")
     scratch.drop(buckets)
+    rows_open, rows_nodes = open_.count(), scores.count()
+    groups = scratch.keep(scores.select(F.col("node").alias("id"), F.col("node").alias("component")), "groups")
     for turn in range(star_rounds + 1):
+        # The best place in the order is the one of the highest score; sets that have been compared with all are out.
+        best = F.max(F.when(~F.col("done"), F.struct("score", "node", "component"))).alias("hub")
+        apart = open_.groupBy("sig").agg(best, F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2 AND hub IS NOT NULL")
+        hubs = scratch.keep(apart.select("sig", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")), "hubs", rows_open)
+        stars = open_.join(hubs, "sig").where("NOT done AND node <> hub")
         if turn < star_rounds:
-            # The best place in the order is the one of the highest score; sets that have been compared with all are out.
-            best = F.max(F.when(~F.col("done"), F.struct("score", "node", "component"))).alias("hub")
-            apart = open_.groupBy("sig").agg(best, F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-            hubs = scratch.keep(apart.select("sig", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")), "hubs")
-            found = open_.join(hubs, "sig").where("NOT done AND component <> hub_component").select("node", "hub")
-            pairs = found.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+            pairs = stars.where("component <> hub_component").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+            new = _verified(scratch.keep(pairs, "pairs", rows_open), sets, num, den)
         else:
-            left = open_.where("NOT done")
-            right = left.select("sig", F.col("node").alias("other"), F.col("component").alias("other_component"))
-            found = left.join(right, "sig").where("node < other AND component <> other_component")
-            pairs = found.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-        pairs = scratch.keep(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = scratch.keep(_verified(pairs, sets, num, den), "links")
-        links = scratch.keep(links.unionByName(new), "all-links")
-        groups = scratch.keep(components(links, scratch), "groups")
+            new = _within(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), groups, sets, scratch, rows_nodes, num, den)
+        new = scratch.keep(new, "links", rows_nodes)
+        # What is joined already counts as a link from its component, so the graph stays small.
+        known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        groups = scratch.keep(components(known.unionByName(new), scratch), "groups", rows_nodes)
         if turn < star_rounds:
-            tested = scratch.keep(tested.unionByName(pairs), "tested")
             now = open_.drop("component").join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-            now = now.join(hubs.select("sig", F.col("hub")), "sig").withColumn("done", F.col("done") | (F.col("node") == F.col("hub"))).drop("hub")
-            open_ = scratch.keep(now.select("node", "sig", "score", "component", "done"), "open")
-            if open_.isEmpty():
+            now = now.join(hubs.select("sig", "hub"), "sig").withColumn("done", F.col("done") | (F.col("node") == F.col("hub")))
+            open_ = scratch.keep(now.select("node", "sig", "score", "component", "done"), "open", rows_open)
+            rows_open = open_.count()
+            if not rows_open:
                 break
     named = texts.join(groups.withColumnRenamed("id", "node"), "node", "left")
     named = named.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
@@ -224,6 +223,52 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     return without_rows(docs, keys, dropped)
 
 
+def _within(stars: DataFrame, groups: DataFrame, sets: DataFrame, scratch: Scratch, rows: int, num: int, den: int) -> DataFrame:
+    """Links ``a, b`` that join what ``stars``, over any path, leave apart.
+
+    All sets of such a cluster are compared in blocks, each pair of blocks in a task of its own that counts common features by
+    matrix products and gives no more than a tree of what it has joined. Blocks are bounded in sets and in features.
+    """
+    cluster = scratch.keep(components(stars, scratch).select(F.col("id").alias("node"), F.col("component").alias("cluster")), "clusters", rows)
+    members = cluster.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = members.join(sets.select("node", "n"), "node")
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_FEATURES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks")
+    split = members.groupBy("cluster").agg(blocks, F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("cluster", "blocks")
+    placed = members.join(scratch.keep(split, "blocks", rows), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = placed.join(sets.select("node", "features"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "features")
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        nodes = table.column("node").to_numpy()
+        features = [np.frombuffer(f.as_buffer(), np.uint64) for f in table.column("features")]
+        common, sizes = common_features(features), np.array([len(f) for f in features])
+        linked = den * common >= num * (sizes[:, None] + sizes - common)
+        np.fill_diagonal(linked, False)
+        root = forest(linked, nodes)
+        hit = root != nodes
+        return pa.table({"a": nodes[hit], "b": root[hit]})
+
+    return placed.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def common_features(features: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many features each two sets have in common, some columns of the incidence matrix at a time."""
+    owner = np.repeat(np.arange(len(features)), [len(f) for f in features])
+    _, column, count = np.unique(np.concatenate(features), return_inverse=True, return_counts=True)
+    shared = np.cumsum(count > 1) - 1
+    keep = count[column] > 1
+    owner, column = owner[keep], shared[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(features), len(features)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        part = slice(*np.searchsorted(column, [low, low + columns]))
+        incidence = np.zeros((len(features), columns), np.float32)
+        incidence[owner[part], column[part] - low] = 1
+        out += incidence @ incidence.T
+    return out.astype(np.int64)
+
+
 def _sets(rows: DataFrame, texts: DataFrame, nodes: DataFrame, scratch: Scratch, size: int) -> DataFrame:
     """``node, n, counts, features`` of the sets that share a signature; only texts that may have one are read as words again."""
     wanted = Members(texts.join(nodes, "node", "left_semi").select("text_hash"), "text_hash")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pageloom.staging import stage_path
 
 FILTER_BITS = 1 << 24
+LEAST_FILES, FILE_ROWS = 6, 100_000
 
 
 class Scratch:
@@ -25,8 +26,11 @@ class Scratch:
         self.count += 1
         return f"{self.path}/{self.count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write a table and return a scan of it; ``rows``, about how many it has, spares tasks for next to nothing."""
         path = self.new_path(name)
+        if rows is not None:
+            df = df.coalesce(LEAST_FILES + rows // FILE_ROWS)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path

@@ -8,12 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .graph import components
+from .graph import components, forest
 from .scratch import Scratch
 
-CELL_ROWS = 512
+CELL_ROWS = 128
 MAX_CELLS = 4096
-SAMPLE_PER_CELL = 16
+SAMPLE_PER_CELL = 32
 BLOCK_ROWS = 2048
 ROUNDS = 8
 
@@ -43,26 +43,18 @@ def near_cells(vectors: np.ndarray, centres: np.ndarray, cosine: float) -> tuple
     """
     near = vectors @ centres.T
     home = near.argmax(axis=1)
-    apart = np.linalg.norm(centres[home][:, None, :] - centres[None], axis=2) if len(centres) <= 256 else np.sqrt(np.maximum(2 - 2 * (centres @ centres.T)[home], 0))
+    used, row = np.unique(home, return_inverse=True)
+    apart = np.sqrt(np.maximum(2 - 2 * (centres[used] @ centres.T), 0))[row]
     gap = near[np.arange(len(near)), home][:, None] - near
     copy = gap <= apart * (np.sqrt(max(0.0, 2 - 2 * cosine)) / 2) + 1e-6
     copy[np.arange(len(near)), home] = False
     return home, copy
 
 
-def forest(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For each row of a symmetric matrix, the smallest id of its component within it."""
-    root, todo = ids.copy(), linked.any(axis=1)
-    while todo.any():
-        reached = np.zeros(len(ids), bool)
-        new = np.zeros(len(ids), bool)
-        new[todo.argmax()] = True
-        while new.any():
-            reached |= new
-            new = linked[new].any(axis=0) & ~reached
-        root[reached] = ids[reached].min()
-        todo &= ~reached
-    return root
+def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Lists of ``width`` numbers as the rows of a matrix."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 def compare_block(a: dict, b: dict, cell: int, cosine: float) -> np.ndarray:
@@ -72,7 +64,7 @@ def compare_block(a: dict, b: dict, cell: int, cosine: float) -> np.ndarray:
         view = linked.T if turned else linked
         for other in np.unique(copies["home"][copies["home"] != cell]):
             rows = copies["home"] == other
-            also = np.array([cell > other and other in c for c in homes["copies"]], bool)
+            also = np.array([cell > other and other in (c or ()) for c in homes["copies"]], bool)
             view[rows] &= (homes["home"] == cell) & ~also
     return linked
 
@@ -98,12 +90,13 @@ def near_vectors(
     classes = rows.where("usable").groupBy("label", "x").agg(F.count("*").alias("n"), F.min("vec_id").alias("least_id"))
     classes = scratch.keep(classes.withColumn("class", F.monotonically_increasing_id()).withColumn("size", F.size("x")), "classes")
 
-    sizes = {r["size"]: r["count"] for r in classes.groupBy("size").count().orderBy(F.desc("count"), "size").limit(1).collect()}
-    size, total = next(iter(sizes.items()), (0, 0))
-    cells = max(1, min(max_cells, total // CELL_ROWS))
+    # Centres serve all labels; the label with most vectors decides how many there are.
+    most = classes.groupBy("size", "label").count().groupBy("size").agg(F.sum("count").alias("total"), F.max("count").alias("label"))
+    size, total, largest = most.orderBy(F.desc("total"), "size").first() or (1, 0, 0)
+    cells = max(1, min(max_cells, largest // CELL_ROWS))
     share = min(1.0, cells * SAMPLE_PER_CELL / max(1, total))
     sample = classes.where((F.col("size") == size) & (F.pmod(F.xxhash64("class"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)).select("x").toArrow()
-    points = unit(np.array(sample.column("x").to_pylist()).reshape(-1, max(size, 1))) if sample.num_rows else np.ones((1, max(size, 1)))
+    points = unit(matrix(sample.column("x"), size)) if sample.num_rows else np.ones((1, size))
     sent = vectors.sparkSession.sparkContext.broadcast(spherical_kmeans(points, cells))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,14 +107,15 @@ def near_vectors(
                 home, copies = np.zeros(batch.num_rows, int), [[] for _ in range(batch.num_rows)]
                 fits = np.flatnonzero(batch.column("size").to_numpy() == centres.shape[1])
                 if len(fits):
-                    x = unit(np.array(batch.column("x").take(pa.array(fits)).to_pylist()))
+                    x = unit(matrix(batch.column("x").take(pa.array(fits)), centres.shape[1]))
                     home[fits], mask = near_cells(x, centres, cosine)
                     for i, m in zip(fits, mask, strict=True):
                         copies[i] = np.flatnonzero(m).tolist()
+                # The list of copies goes with the row in its own cell only.
                 take = np.repeat(np.arange(len(home)), [1 + len(c) for c in copies])
                 cell = [c for h, own in zip(home, copies, strict=True) for c in (h, *own)]
                 out = batch.select(["label", "x", "n", "class", "size"]).take(pa.array(take))
-                more = [pa.array(cell, pa.int32()), pa.array(home[take], pa.int32()), pa.array([copies[i] for i in take], pa.list_(pa.int32()))]
+                more = [pa.array(cell, pa.int32()), pa.array(home[take], pa.int32()), pa.array([own for c in copies for own in (c, *[None] * len(c))], pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays([*out.columns, *more], [*out.schema.names, "cell", "home", "copies"])
 
     placed = classes.select("label", "x", "n", "class", "size").mapInArrow(assign, "label string, x array<double>, n long, class long, size int, cell int, home int, copies array<int>")
@@ -132,12 +126,12 @@ def near_vectors(
     placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
 
     def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        cell, i, j = (k.as_py() for k in key[2:])
+        size, cell, i, j = (k.as_py() for k in key[1:])
         block = table.column("block").to_numpy()
         sides = []
         for b in (i, j):
             t = table.filter(pa.array(block == b))
-            sides.append({"x": np.array(t.column("x").to_pylist()).reshape(t.num_rows, -1), "n": t.column("n").to_numpy(), "class": t.column("class").to_numpy(), "home": t.column("home").to_numpy(), "copies": t.column("copies").to_pylist()})
+            sides.append({"x": matrix(t.column("x"), size), "n": t.column("n").to_numpy(), "class": t.column("class").to_numpy(), "home": t.column("home").to_numpy(), "copies": t.column("copies").to_pylist()})
         a, b = sides
         if not len(a["n"]) or not len(b["n"]):
             return pa.table({"class": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "peer": pa.array([], pa.int64())})
