@@ -17,6 +17,7 @@ from pageloom.plans import jobs
 from pageloom.sources.dumps import list_languages, read_pages
 from pageloom.sources.entities import entity_lines
 from pageloom.sources.tables import read_table
+from pageloom.sources.words import read_words
 from pageloom.functions.text import tokenize
 from pageloom.staging import stage, stage_path
 
@@ -451,7 +452,48 @@ def lsa_top_docs(spark, sf):
 
 
 def lsa_relevances(spark, sf):
-    return relevance_table(_concepts(spark, sf), digits=DIGITS)
+    return relevance_table(_concepts(spark, sf), digits=DIGITS, block_rows=200)
+
+
+def lsa_invariants(spark, sf):
+    """2,000 terms, 10 concepts: whether A'A v = sigma² v and v'v = 1 hold for each."""
+    docs = _staged_terms(spark, sf)
+    model = lsa(docs, 10, 2000)
+    projected = factors.scale_rows(model.docs.select("id", "vec"), model.sigma).withColumnRenamed("id", "doc_id")
+    weights = tm.tfidf(docs, tm.vocabulary(docs, 2000)).join(projected, "doc_id")
+    back = weights.select("idx", F.posexplode("vec").alias("concept", "x"), "w").groupBy("idx", "concept").agg(F.sum(F.col("w") * F.col("x")).alias("got"))
+    squared = F.element_at(F.array(*[F.lit(s * s) for s in model.sigma]), F.col("concept") + 1)
+    own = model.terms.select("idx", F.posexplode("vec").alias("concept", "v"))
+    error = F.sqrt(F.sum(F.pow(F.coalesce("got", F.lit(0.0)) - squared * F.col("v"), 2)))
+    checked = own.join(back, ["idx", "concept"], "left").groupBy("concept").agg((error <= 1e-6 * F.max(squared)).alias("solved"), (F.abs(F.sum(F.col("v") * F.col("v")) - 1) < 1e-9).alias("unit"))
+    return checked.select(*_long("concept"), "solved", "unit")
+
+
+def concepts_job_rejects(spark, sf):
+    """Records that the job's tables leave out: every page of this dump has lost its id or its end."""
+    dumps, output = stage_path(spark, "dumps"), stage_path(spark, "relevances")
+    page = F.format_string("<page><title>Doc %d</title><id>%d</id><revision><id>1</id><text>%s music song guitar</text></revision>", "doc_id", "doc_id", "source")
+    broken = F.when(F.col("doc_id") % 2 == 0, F.replace(page, F.concat(F.lit("<id>"), F.col("doc_id").cast("string"), F.lit("</id><rev")), F.lit("<rev"))).otherwise(page)
+    line = F.when(F.col("doc_id") % 2 == 0, F.concat(broken, F.lit("</page>"))).otherwise(broken)
+    _table(spark, sf, "documents").select(line.alias("xml")).union(_table(spark, sf, "documents").select(F.concat(page, F.lit("</page>")))).coalesce(1).write.text(f"{dumps}/enwiki")
+    jobs.analyse_concepts(spark, dumps, output, n_concepts=2, n_terms=50, lang="en")
+    return spark.read.parquet(f"{output}_rejects").groupBy("reason").agg(F.count("*").alias("rejected"))
+
+
+def stop_word_file(spark, sf):
+    """Stop words from a written file."""
+    path = stage_path(spark, "words")
+    spark.createDataFrame([(w,) for w in STOP_WORDS], "value string").write.text(path)
+    words = [r["term"] for r in read_words(spark, path).collect()]
+    return _terms(spark, sf, stop_words=words).select("doc_id", _joined())
+
+
+def null_pages(spark, sf):
+    """Records that are null are left out."""
+    records = _page_records(spark, sf)
+    number = F.regexp_extract("page_xml", r"<id>(\d+)</id>", 1).cast("long")
+    some = records.select("lang", F.when(number % 3 != 0, F.col("page_xml")).alias("page_xml"))
+    return pg.parse_pages(some).select("page_id", "title", "reason")
 
 
 def concepts_job(spark, sf):
@@ -500,7 +542,7 @@ def queries() -> dict[str, Query]:
             claim_rejects, entity_rejects, entity_mixed_members, label_rejects, sitelink_rejects, member_rejects, entities_job,
             scale_rows, normalize_rows, matrix_row, top_entries,
             lsa_doc_energy, lsa_term_energy, lsa_doc_energy_iterative, lsa_term_neighbors, lsa_term_pairs,
-            lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, concepts_job, resampled,
+            lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, lsa_invariants, concepts_job, concepts_job_rejects, stop_word_file, null_pages, resampled,
         )
     }
     for module in _optional():
@@ -717,6 +759,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT x[1] AS language, 'http://' || x[1] || '.dbpedia.org/resource/Doc_' || doc_id AS subject,
                    'http://' || x[1] || '.dbpedia.org/resource/' || x[2] || ':Source_' || source AS value FROM n""",
         "cut_dump_rejects": """SELECT count(*) - count(DISTINCT source) AS good, 'cut page' AS reason, count(DISTINCT source) AS rejected FROM documents""",
+        "lsa_invariants": "SELECT unnest(range(10)) AS concept, true AS solved, true AS unit",
+        "concepts_job_rejects": """SELECT r AS reason, count(*) AS rejected FROM (
+            SELECT CASE doc_id % 2 WHEN 0 THEN 'page without id' ELSE 'cut page' END AS r FROM documents) GROUP BY r""",
+        "stop_word_file": f"{_docs_sql(_WITHOUT_STOP)} SELECT doc_id, array_to_string(terms, ' ') AS terms FROM d",
+        "null_pages": f"SELECT doc_id AS page_id, {_TITLE} AS title, NULL::VARCHAR AS reason FROM documents WHERE doc_id % 3 <> 0",
         "resampled": "SELECT true AS keys_known, true AS mean_near_4",
         "lsa_top_terms": _top_sql("vf", "term", "v"),
         "lsa_top_docs": _top_sql("uf", "doc_id", "u"),

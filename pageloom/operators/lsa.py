@@ -11,7 +11,7 @@ from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pageloom.operators.factors import entries, neighbors, project, scale_rows, top_entries
+from pageloom.operators.factors import BLOCK_ROWS, entries, neighbors, project, scale_rows, top_entries
 from pageloom.operators.terms import document_vectors, vocabulary
 from pageloom.staging import drop_path, stage_path
 
@@ -110,12 +110,12 @@ def top_docs(model: Lsa, n: int = 10, concepts: int | None = None, digits: int |
     return top_entries(model.docs.select("id", "vec"), n, concepts, digits).withColumnRenamed("id", "doc_id")
 
 
-def term_neighbors(model: Lsa, top_n: int | None = 20, digits: int | None = None) -> DataFrame:
+def term_neighbors(model: Lsa, top_n: int | None = 20, digits: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Cosine of terms in concept space: ``id, other, score``; ``top_n=None`` gives all pairs."""
-    return neighbors(scale_rows(model.terms.select("id", "vec"), model.sigma), top_n, digits)
+    return neighbors(scale_rows(model.terms.select("id", "vec"), model.sigma), top_n, digits, block_rows)
 
 
-def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id", digits: int | None = None) -> DataFrame:
+def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id", digits: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All relevances as ``data_type, ref, key, score``.
 
     Strengths have no key. ``doc_key`` names the column of ``model.docs`` that
@@ -136,7 +136,7 @@ def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id", dig
         kind("concept_strength", concept_strength(model), "concept", None, "sigma"),
         kind("term_to_concept", entries(model.terms), "concept", "id", "score"),
         kind("doc_to_concept", entries(keyed_docs), "concept", "id", "score"),
-        kind("term_to_term", term_neighbors(model, top_n, digits), "id", "other", "score"),
+        kind("term_to_term", term_neighbors(model, top_n, digits, block_rows), "id", "other", "score"),
     ]
     out = parts[0]
     for part in parts[1:]:
