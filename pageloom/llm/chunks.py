@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 from .scratch import Members, Scratch
 from .spans import cut_texts, merge, text_batches
 
-LEAST, MOST = 24, 256
-MASK_BITS = 5
-RUN_BYTES = 120
+LEAST, MOST = 16, 256
+MASK_BITS = 4
+RUN_BYTES = 100
 GEAR = np.random.Generator(np.random.PCG64(20_240_601)).integers(0, 1 << 32, 256, dtype=np.uint32)
 FILTER_BITS = 1 << 25
 
