@@ -75,3 +75,44 @@ def test_empty(no_docs):
 def test_too_many_sources(make_docs):
     with pytest.raises(ValueError, match="sources"):
         mix(make_docs([(i, "t", "en", f"s{i}") for i in range(300)]))
+
+
+def test_exact_weights_over_many_periods(spark):
+    """Against the target weights themselves, in far more slots than any period; the slots stand in the tables that mix() reads."""
+    from pageloom.llm.mixing import block_slots, whole_weights
+    from pageloom.llm.scratch import Scratch
+
+    for weights in ([1, 1, 1], [1] * 7, [1e-5, 1.0], [0.3, 0.3, 0.1, 1.7]):
+        whole, _ = whole_weights(dict(enumerate(weights)))
+        total, n = sum(whole.values()), 9000
+        blocks = [max(1, n * w // total) for w in whole.values()]
+        df = spark.createDataFrame([(f"={i}", str(w), b) for (i, w), b in zip(whole.items(), blocks, strict=True)], "name string, weight string, blocks long")
+        got = sorted((r["slot"], int(r["planned"][1:]), r["planned_block"]) for r in block_slots(df, Scratch(spark, "test")).collect())
+        assert [g[0] for g in got] == list(range(sum(blocks)))
+        done = [0] * len(weights)
+        for t, (_, i, j) in enumerate(got, 1):
+            assert j == done[i]
+            done[i] += 1
+            if any(blocks[k] * total < t * w for k, w in whole.items()):
+                break  # the target of one has run out
+            assert all(abs(Fraction(w * t, total) - done[k]) < 1 for k, w in whole.items())
+        assert t > 8000
+
+
+@given(st.lists(st.tuples(st.integers(1, 12), st.integers(0, 12)), min_size=1, max_size=8))
+@settings(deadline=None, max_examples=60)
+def test_lag_where_sources_run_out(sources):
+    """Against a target that moves on block by block of time, the weights of what has run out shared by the others."""
+    shares, left = [s for s, _ in sources], [min(s, n) for s, n in sources]
+    slots, done, at, target = schedule(shares, left), [0] * len(left), Fraction(0), [Fraction(0)] * len(left)
+    for t, i in enumerate(slots, 1):
+        done[i] += 1
+        room = Fraction(t) - sum(target)
+        while room:
+            active = [k for k in range(len(left)) if target[k] < left[k]]
+            step = min(room / sum(shares[k] for k in active), min((left[k] - target[k]) / shares[k] for k in active))
+            for k in active:
+                target[k] += step * shares[k]
+            room = Fraction(t) - sum(target)
+        assert all(abs(x - d) < 1 for x, d in zip(target, done, strict=True))
+    assert done == left
