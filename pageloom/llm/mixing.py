@@ -166,7 +166,7 @@ def block_slots(sources: DataFrame, scratch: Scratch) -> DataFrame:
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: dict[str | None, float] | Column | None = None,
-    block: int = BLOCK, seed: int = 7,
+    block: int = BLOCK, seed: int = 7, max_sources: int | None = MAX_SOURCES,
 ) -> DataFrame:
     """``doc_id, source, block, slot, position, row``: the place of every row in the mixture, and the row itself as a struct.
 
@@ -177,7 +177,8 @@ def mix(
     runs out, the others share its weight, so every row has a place. Repeated rows have neighbouring places.
 
     A source is cut in buckets of its hash, each numbered by itself and moved up by the rows before it, so one source
-    may hold any share of the rows. Counts, weights and slots are tables; see ``block_slots``.
+    may hold any share of the rows. Counts, weights and slots are tables, see ``block_slots``, so any number of sources
+    fits; more than ``max_sources``, often a sign of a wrong column, are refused, unless that is None.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.struct("*").alias("row"))
@@ -192,8 +193,8 @@ def mix(
         weighed = counts.join(F.broadcast(listed), F.col("name") == F.col("given_name"), "left").withColumn("weight", F.coalesce("given", F.lit(str(one))))
     sources = scratch.keep(weighed.select("name", "weight", "n", F.expr(f"(n + {block - 1}) div {block}").alias("blocks")), "sources")
     found, total = sources.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if found > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: name groups of them in one column and mix those")
+    if max_sources is not None and found > max_sources:
+        raise ValueError(f"more than {max_sources} sources: name groups of them in one column and mix those")
     bits = (total // BUCKET_ROWS).bit_length()
     bucket = F.shiftrightunsigned("place", 64 - bits) if bits else F.lit(0).cast("long")
     rows = rows.withColumn("bucket", bucket)
@@ -213,11 +214,22 @@ def _name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
+def damped() -> Column:
+    """Weights for ``mix``: 1, and 1 more each time that a source has twice the rows."""
+    return F.length(F.bin("n"))
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in the order of the mixture."""
-    return mix(docs, **options).orderBy("position").select("row.*")
+    return mix(docs, **{"max_sources": None, **options}).orderBy("position").select("row.*")
 
 
 def op8_mixing(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    return mix(docs).select("doc_id", "source", "block", "slot", "position")
+    return mix(docs, max_sources=None).select("doc_id", "source", "block", "slot", "position")
+
+
+def op8_mixing_weighted(spark, sf):
+    """The same with unequal targets, from the number of rows of each source."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return mix(docs, weights=damped(), max_sources=None).select("doc_id", "source", "block", "slot", "position")

@@ -13,6 +13,7 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op7_token_trees": token_trees.op7_token_trees,
     "op8_mixing": mixing.op8_mixing,
+    "op8_mixing_weighted": mixing.op8_mixing_weighted,
     "op9_language": language.op9_language,
     "op10_repeats": repeats.op10_repeats,
 }

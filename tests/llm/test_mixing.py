@@ -116,3 +116,22 @@ def test_lag_where_sources_run_out(sources):
             room = Fraction(t) - sum(target)
         assert all(abs(x - d) < 1 for x, d in zip(target, done, strict=True))
     assert done == left
+
+
+def test_any_number_of_sources_and_weights_of_the_table(make_docs):
+    """1,200 sources of one to forty rows, one of 2,000, and null; weights by the number of rows."""
+    from pageloom.llm.mixing import damped
+
+    names = [f"s{k}" for k in range(1200) for _ in range(1 + k % 40)] + ["hot"] * 2000 + [None] * 50
+    docs = make_docs([(i, "t", "en", s) for i, s in enumerate(names)])
+    got, by_slot = check(docs, block=4, weights=damped(), max_sources=None)
+    assert sorted(by_slot) == list(range(len(by_slot))) and len(set(by_slot.values())) == 1202
+    rows = {s: names.count(s) for s in ("hot", None, "s39")}
+    weight = {s: names.count(s).bit_length() for s in set(names)}
+    total, first_out = sum(weight.values()), min(Fraction(-(-names.count(s) // 4), w) for s, w in weight.items())
+    for s in rows:
+        done = 0
+        for t in range(1, int(first_out * total) + 1):
+            done += by_slot[t - 1] == s
+            assert abs(Fraction(weight[s] * t, total) - done) < 1
+    assert len(mixed(docs).collect()) == len(names)
