@@ -11,7 +11,7 @@ to a task one after the other, as files sorted by anchor that Spark's shuffle ha
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,10 @@ COLLECTION_ROWS = 8192
 HOT_ROWS = 16_384
 HOT_KEYS = 4096
 SEEN_SNIPPETS = 50_000
-KNOWN = -1
+# Sides of an anchor: a place known to be repeated, all windows, windows to the left and to the right, single windows; above it, ranges of windows.
+KNOWN, SINGLE = -1, 3
+SNIPPETS = "anchor long, side int, mark binary, key binary, from long, at long, bytes binary"
+ROW = pa.schema({"anchor": pa.int64(), "side": pa.int32(), "mark": pa.binary(), "key": pa.binary(), "from": pa.int64(), "at": pa.int64(), "bytes": pa.binary()})
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -133,13 +136,71 @@ def _line_up(rows: list[tuple], length: int) -> list[tuple]:
     return [(rows[r][1], int(rows[r][2] + s - low[r]), int(rows[r][2] + e - 1 - low[r]) + length) for r, s, e in zip(at, start, end, strict=True)]
 
 
-def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, hot_rows: int = HOT_ROWS) -> DataFrame:
+def bounded_groups(rows: DataFrame, scratch: Scratch, length: int, gram: int, group_rows: int) -> DataFrame:
+    """The rows of ``snippets``, those of groups of more than ``group_rows`` dealt again by ever more of their bytes.
+
+    Each round halves the range of window starts, by their distance before the anchor, and marks a half by the digest of the bytes that
+    all its windows cover. Windows that are equal stay together. Half of a snippet that a task has met before is passed on
+    as a place. At the last, a row is one window and its mark is the digest of all of it: such a group has equal rows only, and is not cut.
+    """
+    kept, level = [], (length - gram).bit_length()
+    keys = ["anchor", "side", "mark"]
+    while level:
+        large = rows.where(~F.col("side").isin(KNOWN, SINGLE)).groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > group_rows)
+        large = F.broadcast(scratch.keep(large.select(*keys), "large"))
+        if not large.limit(1).count():
+            break
+        level -= 1
+        kept.append(rows.join(large, keys, "left_anti").select(*ROW.names))
+        split = rows.join(large, keys, "left_semi").select(*ROW.names).mapInArrow(_halves(level, length), SNIPPETS)
+        rows = scratch.keep(split, "halves")
+    for part in kept:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def _halves(level: int, length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows cut where the distance of a window's start from the anchor, over 2 ** ``level``, changes."""
+
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list] = {}
+        for batch in batches:
+            for part in (batch.slice(at, 1024) for at in range(0, batch.num_rows, 1024)):
+                out = []
+                for anchor, _, _, key, start, at, data in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    least = at - (len(data) - length)  # windows start from ``at`` down to ``least`` bytes before the anchor
+                    for half in range(least >> level, (at >> level) + 1):
+                        near, far = max(least, half << level), min(at, (half + 1 << level) - 1)
+                        low, window = start + at - far, data[at - far : at - near + length]
+                        former = seen.setdefault((anchor, far, xxhash.xxh3_128_digest(window)), [key, low, low + len(window)])
+                        if former[:2] != [key, low]:
+                            out.append((low, KNOWN, b"", key, low, low + len(window), b""))
+                            if len(former) == 3:
+                                out.append((former[1], KNOWN, b"", *former, b""))
+                                former.append(True)
+                            continue
+                        # What all windows of the half cover, whatever this row has of them.
+                        common = data[at - (half << level) : at - (half + 1 << level) + 1 + length]
+                        side = SINGLE + 1 + (level << 20) + half if level else SINGLE
+                        mark = xxhash.xxh3_128_digest(common) + (b"" if level else far.to_bytes(4, "big"))
+                        out.append((anchor, side, mark, key, low, far, window))
+                if len(seen) > SEEN_SNIPPETS:
+                    seen.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, ROW.types, strict=True)], ROW.names)
+
+    return halves
+
+
+def repeated_spans(
+    docs: DataFrame, key_col: str, text_col: str, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """``key, start, end``: bytes covered by strings of ``length`` that start elsewhere too, in a text with another key or in the same one.
 
     Rows with one key are one text. A task leaves out texts that it has met before, and of the windows around an anchor that it
     has met before it passes on no more than the place, so a passage that very many texts or periods share reaches
-    a collection once from each task.
+    a collection once from each task. No group of over ``hot_rows`` rows is lined up, see ``bounded_groups``.
     """
+    group_rows = hot_rows
     rows = docs.select(F.col(key_col).alias("key"), text_col)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,9 +243,10 @@ def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratc
                     seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 7, types, strict=True)], names)
 
-    names = ["anchor", "side", "mark", "key", "from", "at", "bytes"]
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-    rows = rows.mapInArrow(snippets, "anchor long, side int, mark binary, key binary, from long, at long, bytes binary")
+    names, types = ROW.names, ROW.types
+    rows = rows.mapInArrow(snippets, SNIPPETS)
+    if counted.where(F.col("n") > group_rows).limit(1).count():  # no group is larger than its anchor's count
+        rows = bounded_groups(scratch.keep(rows, "snippets"), scratch, length, gram, group_rows)
     dealt = rows.repartition("anchor", "side", "mark").sortWithinPartitions("anchor", "side", "mark")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +262,14 @@ def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratc
                     done.append((key, start, at))
                     continue
                 name = (anchor, side, mark)
+                if name == last and side == SINGLE:  # all rows of such a group are equal, and one of them is held
+                    if len(group) == 1:
+                        done.append((group[0][1], group[0][2], group[0][2] + length))
+                        group.append(None)
+                    done.append((key, start, start + length))
+                    continue
                 if name != last:
-                    if len(group) > 1:
+                    if len(group) > 1 and last[1] != SINGLE:
                         ready += group
                     group, last = [], name
                     if len(ready) >= COLLECTION_ROWS:
@@ -209,7 +277,7 @@ def repeated_spans(docs: DataFrame, key_col: str, text_col: str, scratch: Scratc
                         ready = []
                 group.append((name, key, start, at, data))
             yield emit(done)
-        if len(group) > 1:
+        if len(group) > 1 and last[1] != SINGLE:
             ready += group
         if ready:
             yield emit(_line_up(ready, length))

@@ -87,3 +87,24 @@ def test_column_wise_construction():
                 full = low[r] <= c and c + length <= high[r]
                 same = [q for q in range(rows) if q != r and group[q] == group[r] and low[q] <= c and c + length <= high[q] and (symbols[q, c : c + length] == symbols[r, c : c + length]).all()]
                 assert got[r, c] == bool(full and same)
+
+
+def test_groups_are_bounded(make_docs, monkeypatch):
+    """A passage with other bytes before and after it in each text: at its edges, snippets share anchor, side and mark."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    passage, seen = word(110), []
+    docs = make_docs([(i, word(rng.randrange(30, 90)) + passage + word(rng.randrange(30, 90)), "en", "a") for i in range(300)])
+    deal = repeats.bounded_groups
+
+    def dealt(rows, *args):
+        out = deal(rows, *args)
+        seen.extend([rows.collect(), out.collect()])
+        return out
+
+    monkeypatch.setattr(repeats, "bounded_groups", dealt)
+    check(docs, 40, gram=8, hot_rows=20)
+    before, after = (Counter((r["anchor"], r["side"], bytes(r["mark"])) for r in rows if r["side"] not in (repeats.KNOWN, repeats.SINGLE)) for rows in seen)
+    assert max(before.values()) > 200 and max(after.values()) <= 20
+    single = {(r["anchor"], bytes(r["mark"]), bytes(r["bytes"])) for r in seen[1] if r["side"] == repeats.SINGLE}
+    assert single and len({s[:2] for s in single}) == len(single) and {len(s[2]) for s in single} == {40}
