@@ -107,25 +107,36 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _number(group: int, count: int) -> int:
+    """A sequence's number without its last bit: 18 bits for the task, 16 for the group in it, 28 for the count."""
+    task, group = group >> 40 - GROUP_BITS, group & (1 << 40 - GROUP_BITS) - 1
+    if task >> 18 or group >> 16 or count >> 28:
+        raise ValueError("too many tasks, documents in a task or sequences in a group for numbers of 64 bits")
+    return (task << 16 | group) << 28 | count
+
+
 def cut_documents(docs: DataFrame, tokenizer: str | None, sequence: int = SEQUENCE) -> DataFrame:
     """Pieces of every document: full ones fill a sequence each, the rest of a document carries its ids.
 
-    Sequence numbers of full pieces are odd; they join the task's number and a count within it.
+    Sequence numbers of full pieces are odd; they join the task's number, the group of the document's end and a count within it,
+    so that all numbers follow the order of the rows from group to group.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer or default_tokenizer())
-        task, full, row = TaskContext.get().partitionId(), 0, 0
+        task, group, full, row = TaskContext.get().partitionId(), 0, 0, 0
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part, out = batch.slice(at, 64), []
                 for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1).to_pylist()), strict=True):
                     total = len(ids) // 4
+                    if row >> GROUP_BITS != group:
+                        group, full = row >> GROUP_BITS, 0
                     for start in range(0, total, sequence):
                         piece = ids[4 * start : 4 * (start + sequence)]
                         length = len(piece) // 4
                         if length == sequence:
-                            out.append((doc_id, start, length, zlib.crc32(piece), total, (task << 40 | full) * 2 + 1, 0, None, None))
+                            out.append((doc_id, start, length, zlib.crc32(piece), total, _number(task << 40 - GROUP_BITS | group, full) * 2 + 1, 0, None, None))
                             full += 1
                         else:
                             out.append((doc_id, start, length, None, total, None, None, piece, task << 40 | row))
@@ -216,7 +227,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
             for name, start, length in members:
                 r = rows[name]
                 ids = r["ids"][4 * start : 4 * (start + length)]
-                out.append((r["doc_id"], r["start"] + start, length, zlib.crc32(ids), r["doc_tokens"], (key[0].as_py() << GROUP_BITS + 1 | i) * 2, offset))
+                out.append((r["doc_id"], r["start"] + start, length, zlib.crc32(ids), r["doc_tokens"], _number(key[0].as_py(), i) * 2, offset))
                 offset += length
         return pa.table([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=NAMES)
 

@@ -53,3 +53,27 @@ def test_stages(spark, sample, tmp_path):
     for p in docs.collect():
         sums[p["sequence_id"]] += p["length"]
     assert all(s == 1024 or s & (s - 1) == 0 for s in sums.values())
+
+
+def test_packing_follows_the_mixture(spark, make_docs, tmp_path):
+    """Sequences by number hold the documents in the order of the mixture, though its files come back in another one."""
+    from pageloom.llm.mixing import damped, mix
+
+    rows = [(i, f"text number {i} " * (1 + i % 7 + 400 * (i % 50 == 0)), "en", "abc"[min(2, i % 10)]) for i in range(20_000)]
+    docs = make_docs(rows)
+    place = {r["doc_id"]: r["position"] for r in mix(docs, weights=damped()).select("doc_id", "position").collect()}
+    path = str(tmp_path / "mixture")
+    # Later parts have more bytes each, and larger files are read first.
+    corpus_pipeline.mixture(spark, docs, "").repartitionByRange(6, "n_chars").write.parquet(path)
+    pieces = corpus_pipeline.packing(spark, spark.read.parquet(path), "").select("doc_id", "sequence_id").collect()
+    rank = {d: n for n, d in enumerate(sorted(place, key=place.get))}
+    own = {}
+    for p in pieces:
+        own.setdefault(p["sequence_id"], []).append(rank[p["doc_id"]])
+    # A sequence mixes at most 4,096 documents that follow one another, and those of later sequences don't lie before its group.
+    latest = 0
+    for s in sorted(own):
+        assert max(own[s]) - min(own[s]) < 4400
+        assert min(own[s]) > latest - 4400
+        latest = max(latest, *own[s])
+    assert latest > 19_000 and any(s & 1 for s in own)
