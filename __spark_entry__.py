@@ -222,20 +222,23 @@ def statements_namespaces(spark, sf):
     lang, name = F.get("name", F.lit(0)), F.get("name", F.lit(1))
     page = F.format_string("<page><title>Doc %d</title><ns>0</ns><id>%d</id><revision><id>%d</id><text>[[%s:Source %s]]</text></revision></page>", "doc_id", "doc_id", "doc_id", name, "source")
     head = F.format_string('<mediawiki><siteinfo><namespaces><namespace key="0"/><namespace key="14" case="first-letter">%s</namespace></namespaces></siteinfo>', name)
-    records = docs.groupBy(lang.alias("lang")).agg(F.concat(F.first(head), F.array_join(F.array_sort(F.collect_list(page)), "\n"), F.lit("</mediawiki>")).alias("xml"))
-    records.select(F.concat("lang", F.lit("wiki")).alias("wiki"), "xml").write.partitionBy("wiki").text(dumps)
+    wiki = F.concat(lang, F.lit("wiki")).alias("wiki")
+    docs.select(wiki, page).write.partitionBy("wiki").text(dumps)
+    docs.select(wiki, head).distinct().write.mode("append").partitionBy("wiki").text(dumps)  # a row per language
     jobs.extract_statements(spark, dumps, output)
     return spark.read.parquet(f"{output}/quads").select("language", "subject", "value")
 
 
 def cut_dump_rejects(spark, sf):
-    """A dump for each source in bz2, cut off after the first revision of its last page."""
+    """A dump for each source in bz2, in several files, cut off after the first revision of its last page."""
     dumps = stage_path(spark, "dumps")
     page = F.format_string("<page><title>Doc %d</title><ns>0</ns><id>%d</id><revision><id>1</id><text>x</text></revision>", "doc_id", "doc_id")
-    ended = F.concat(F.array_join(F.array_sort(F.collect_list(page)), "</page>\n"), F.lit("<revision><id>2</id>"))
-    _table(spark, sf, "documents").groupBy("source").agg(ended.alias("xml")).select(F.concat("source", F.lit("-enwiki")).alias("wiki"), "xml").write.partitionBy("wiki").option(
-        "compression", "bzip2"
-    ).text(dumps)
+    docs = _table(spark, sf, "documents").select("doc_id", page.alias("page"), F.concat("source", F.lit("-enwiki")).alias("wiki"))
+    last = docs.groupBy("wiki").agg(F.max_by("page", "doc_id").alias("page"), F.max("doc_id").alias("doc_id"))
+    whole = docs.join(last, "doc_id", "left_anti").select(F.concat("page", F.lit("</page>")), "wiki")
+    cut = last.select(F.concat("page", F.lit("<revision><id>2</id>")), "wiki")
+    whole.write.partitionBy("wiki").option("compression", "bzip2").text(dumps)
+    cut.write.mode("append").partitionBy("wiki").option("compression", "bzip2").text(dumps)  # a row per source, in a file of its own
     parsed = pg.parse_pages(read_pages(spark, dumps))
     good, rejects = pg.split_rejects(parsed, "pages")
     return good.agg(F.count("*").alias("good")).crossJoin(rejects.groupBy("reason").agg(F.count("*").alias("rejected")))
@@ -475,7 +478,7 @@ def concepts_job_rejects(spark, sf):
     page = F.format_string("<page><title>Doc %d</title><id>%d</id><revision><id>1</id><text>%s music song guitar</text></revision>", "doc_id", "doc_id", "source")
     broken = F.when(F.col("doc_id") % 2 == 0, F.replace(page, F.concat(F.lit("<id>"), F.col("doc_id").cast("string"), F.lit("</id><rev")), F.lit("<rev"))).otherwise(page)
     line = F.when(F.col("doc_id") % 2 == 0, F.concat(broken, F.lit("</page>"))).otherwise(broken)
-    _table(spark, sf, "documents").select(line.alias("xml")).union(_table(spark, sf, "documents").select(F.concat(page, F.lit("</page>")))).coalesce(1).write.text(f"{dumps}/enwiki")
+    _table(spark, sf, "documents").select(line.alias("xml")).union(_table(spark, sf, "documents").select(F.concat(page, F.lit("</page>")))).write.text(f"{dumps}/enwiki")
     jobs.analyse_concepts(spark, dumps, output, n_concepts=2, n_terms=50, lang="en")
     return spark.read.parquet(f"{output}_rejects").groupBy("reason").agg(F.count("*").alias("rejected"))
 

@@ -44,3 +44,14 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
+
+
+@pytest.mark.parametrize("name", ["cut_dump_rejects", "statements_namespaces", "concepts_job_rejects"])
+def test_dumps_have_several_files(spark, monkeypatch, name):
+    """No dump is made in one group or one task."""
+    paths, path_of = [], driver.stage_path
+    monkeypatch.setattr(driver, "stage_path", lambda s, n: paths.append((n, path_of(s, n))) or paths[-1][1])
+    driver.queries()[name](spark, SF).collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(dict(paths)["dumps"]).select("path").collect()
+    folders = [f["path"].rsplit("/", 1)[0] for f in files]
+    assert folders and all(folders.count(f) > 1 for f in folders)
