@@ -80,7 +80,10 @@ EDGES = band_edges()
 
 @lru_cache(maxsize=256)
 def band_cut(band: int, num: int, den: int) -> dict:
-    """How the domain is cut for the sets of one band."""
+    """How the domain is cut for the sets of one band.
+
+    Parts are enumerated up to ``SMALL_SET`` only: for larger sets that about doubles the signatures, and whole partitions are exact too.
+    """
     high = EDGES[band][1]
     most = (den - num) * 2 * high // (den + num)
     k, parts = (1, 3) if most and high <= SMALL_SET else (0, 1)
