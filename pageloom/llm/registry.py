@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunks, exact, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc
+from . import chunks, exact, infill, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
@@ -16,5 +16,6 @@ QUERIES = {
     "op8_mixing_weighted": mixing.op8_mixing_weighted,
     "op9_language": language.op9_language,
     "op10_repeats": repeats.op10_repeats,
+    "op12_infill": infill.op12_infill,
 }
-ORACLES = {"op3_exact_dedup": exact.OP3_SQL, "op6_warc": warc.OP6_SQL}
+ORACLES = {"op3_exact_dedup": exact.OP3_SQL, "op6_warc": warc.OP6_SQL, "op12_infill": infill.OP12_SQL}
