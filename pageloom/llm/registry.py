@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunks, exact, infill, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc
+from . import chunks, exact, infill, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc, whitening
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
@@ -17,5 +17,6 @@ QUERIES = {
     "op9_language": language.op9_language,
     "op10_repeats": repeats.op10_repeats,
     "op12_infill": infill.op12_infill,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {"op3_exact_dedup": exact.OP3_SQL, "op6_warc": warc.OP6_SQL, "op12_infill": infill.OP12_SQL}
