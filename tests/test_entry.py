@@ -1,8 +1,8 @@
 """Every registered query against its SQL counterpart on the smallest tables."""
 
-import math
 import os
 
+import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
@@ -24,7 +24,7 @@ def con():
 
 def canonical(frame):
     columns = sorted(frame.columns)
-    clean = lambda v: None if v is None or (isinstance(v, float) and math.isnan(v)) else v
+    clean = lambda v: None if pd.api.types.is_scalar(v) and pd.isna(v) else v
     return columns, sorted((tuple(clean(v) for v in row) for row in frame[columns].astype(object).values.tolist()), key=repr)
 
 
