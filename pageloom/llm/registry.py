@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunks, exact, infill, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc, whitening
+from . import chunks, exact, infill, interpolation, jaccard, language, mixing, packing, repeats, token_trees, vectors, warc, whitening
 
 QUERIES = {
     "op1_near_vectors": vectors.op1_near_vectors,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_mixing_weighted": mixing.op8_mixing_weighted,
     "op9_language": language.op9_language,
     "op10_repeats": repeats.op10_repeats,
+    "op11_interpolation": interpolation.op11_interpolation,
     "op12_infill": infill.op12_infill,
     "op13_whitening": whitening.op13_whitening,
 }
