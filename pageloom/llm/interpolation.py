@@ -17,14 +17,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .scratch import Scratch
 from .spans import text_batches
 
 ORDER = 2
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 21
 PART_BYTES = 4 << 20
 RUN_BYTES = 4 << 20
 ROUNDS = 30
@@ -400,18 +400,23 @@ def score_texts(
             both = (b for source in ([batch], batches) for b in source)
             yield from chunk_rows(both, order, parts, TaskContext.get().partitionId(), batch.schema.field("id").type)
 
-    chunks = scratch.keep(rows.mapInArrow(cut, CHUNK_FIELDS.format(id=id_type.simpleString())), "chunks")
-    asked_for = chunks.where("part >= 0").select("chunk", "part", "keys", "counts")
+    # Two folders, so that the n-grams can go before the answers meet the tokens.
+    path, schema = scratch.new_path("chunks"), CHUNK_FIELDS.format(id=id_type.simpleString())
+    made = rows.mapInArrow(cut, schema).withColumn("kind", F.when(F.col("part") < 0, "tokens").otherwise("grams"))
+    made.write.partitionBy("kind").parquet(path)
+    chunks, grams = (_read(spark, f"{path}/kind={kind}", made.drop("kind").schema) for kind in ("tokens", "grams"))
+    asked_for = grams.select("chunk", "part", "keys", "counts")
     answers = scratch.keep(asked_for.groupBy("part").applyInArrow(total_counts, "chunk long, part long, counts binary"), "answers")
-    own = chunks.where("part < 0").select("chunk", "part", "tokens", "docs", F.lit(None).cast("binary").alias("counts"))
+    scratch.drop(f"{path}/kind=grams")
+    own = chunks.select("chunk", "part", "tokens", "docs", F.lit(None).cast("binary").alias("counts"))
     nothing = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("tokens", "docs")]
     both = own.unionByName(answers.select("chunk", "part", *nothing, "counts"))
     names = ["chunk", "tokens", "docs", "counts"]
     whole = both.repartition("chunk").sortWithinPartitions("chunk", "part").mapInArrow(lambda batches: answered(batches, names), own.select(*names).schema)
     whole = scratch.keep(whole, "answered")
-    scratch.drop(chunks, answers)
+    scratch.drop(path, answers)
 
-    # Words in training texts: all of them, and how many different ones. Each word is counted where it is met in one part.
+    # What the mixture learns from, and the words of training texts: all of them, and how many different ones.
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for tokens, pieces, answer in zip(*(batch.column(c).to_pylist() for c in ("tokens", "docs", "counts")), strict=True):
@@ -464,6 +469,13 @@ def score_texts(
     return out.withColumnRenamed("id", "doc_id"), model
 
 
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A folder of a written table; without a row in it there is no folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return spark.read.schema(schema).parquet(path) if found else spark.createDataFrame([], schema)
+
+
 def scored(chunk: Chunk, answer: bytes, model: Model, sizes: list[int]) -> tuple[np.ndarray, ...]:
     """Tokens, known tokens, base score and score of each piece of a chunk."""
     found = Estimates.of(chunk, answer, model.order)
