@@ -12,23 +12,24 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from .scratch import Scratch
 from .spans import text_batches
 
 ORDER = 2
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 PART_BYTES = 4 << 20
 RUN_BYTES = 4 << 20
-ROUNDS = 30
-LEAST_GAIN = 1e-6
+ROUNDS = 20
+LEAST_GAIN = 1e-5
 PRIOR_EVENTS = 1.0
 BITS = 7
 # Keys of the end of a text and of the place before its start; no word has these bytes.
@@ -131,6 +132,10 @@ class Chunk:
         kind = np.repeat(np.array([p["kind"] for p in pieces], np.int8), [p["n"] for p in pieces])
         return cls(words.view(np.uint64), numbers, first.astype(bool), own.astype(bool), kind)
 
+    def starting(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first tokens of texts, and the first after those that lead up to them."""
+        return self.first & self.own, self.own & ~self.first & np.r_[True, ~self.own[:-1]]
+
     def grams(self, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
         return gram_keys(self.words[self.tokens], self.first, order)
 
@@ -145,7 +150,7 @@ def word_runs(text: bytes) -> Iterator[list[bytes]]:
 
 
 def chunk_rows(batches: Iterator[pa.RecordBatch], order: int, parts: int, task: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """For each chunk a row with its tokens (part -1) and a row for each part of the key range that it has n-grams in."""
+    """For each chunk a row with its tokens, in any part, and a row for each part of the key range that it has n-grams in."""
     number = task << 31
     row = task << 40
     words, ids, pieces, marks = _Words(), [], [], []
@@ -167,7 +172,7 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], order: int, parts: int, task:
         keys = word_keys(list(words))[by_count]
         tokens = pack_numbers(rank[numbers], first, own, keys)
         chunk = Chunk(keys, rank[numbers], first, own, np.repeat([p["kind"] for p in pieces], [p["n"] for p in pieces]))
-        out = [(number, -1, None, None, tokens, list(pieces))]
+        out = [(number, number % parts, None, None, tokens, list(pieces))]
         out += [(number, part, k, c, None, None) for part, k, c in asked(chunk, order, parts)]
         number += 1
         words, held = _Words(), 0
@@ -219,8 +224,7 @@ def table_keys(chunk: Chunk, grams: list[np.ndarray], contexts: list[np.ndarray]
     An n-gram counts at its last token. Contexts are n-grams of the token before; only those of starts alone are none
     of any token, and count where a text begins.
     """
-    begins = chunk.first & chunk.own
-    led = chunk.own & ~chunk.first & np.r_[True, ~chunk.own[:-1]]  # the first after those that lead up to it
+    begins, led = chunk.starting()
     keys = [g[chunk.own] for g in grams] + [c[begins] for c in contexts] + [c[led] for c in contexts]
     kinds = [chunk.kind[chunk.own]] * len(grams) + [chunk.kind[begins]] * len(contexts) + [np.full(led.sum(), TEST, np.int8)] * len(contexts)
     return np.concatenate(keys), np.concatenate(kinds)
@@ -230,23 +234,43 @@ def table_keys(chunk: Chunk, grams: list[np.ndarray], contexts: list[np.ndarray]
 
 
 def total_counts(key: tuple, table: pa.Table) -> pa.Table:
-    """For one part of the key range: every chunk's keys with the counts of all chunks, in the chunk's order."""
-    rows = [(c, unpack_numbers(n), k) for c, n, k in zip(table.column("chunk").to_pylist(), table.column("counts").to_pylist(), table.column("keys").to_pylist(), strict=True)]
-    keys = [unpack(k, len(n[0])) for _, n, k in rows]
+    """For one part of the key range: every chunk's keys with the counts of all chunks, in the chunk's order; rows of tokens pass, as part -1."""
+    asked_for = table.filter(table.column("tokens").is_null())
+    passed = table.filter(table.column("tokens").is_valid())
+    passed = passed.set_column(1, "part", pa.array([-1] * len(passed), pa.int64()))
+    numbers = [unpack_numbers(n) for n in asked_for.column("counts").to_pylist()]
+    keys = [unpack(k, len(n[0])) for k, n in zip(asked_for.column("keys").to_pylist(), numbers, strict=True)]
+    if not keys:
+        return passed.drop_columns(["keys"])
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = [np.bincount(place, np.concatenate([n[kind] for _, n, _ in rows]), len(distinct)).astype(np.int64) for kind in (0, 1)]
+    sums = [np.bincount(place, np.concatenate([n[kind] for n in numbers]), len(distinct)).astype(np.int64) for kind in (0, 1)]
     ends = np.cumsum([len(k) for k in keys])
     out = [pack_numbers(*(s[place[e - len(k) : e]] for s in sums)) for k, e in zip(keys, ends, strict=True)]
-    return pa.table({"chunk": [r[0] for r in rows], "part": pa.array([key[0].as_py()] * len(rows), pa.int64()), "counts": pa.array(out, pa.binary())})
+    answers = asked_for.set_column(asked_for.column_names.index("counts"), "counts", pa.array(out, pa.binary()))
+    return pa.concat_tables([passed, answers]).drop_columns(["keys"])
+
 
+COUNTED = "docs {docs}, counts binary, events binary, kept long, words array<struct<count:long,times:long>>"
 
-def answered(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Chunks, sorted with the answers to them by part behind each, as rows with all answers in one."""
+
+def counted_chunks(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[pa.RecordBatch]:
+    """Chunks, sorted with the answers to them by part behind each, as rows of counts for each token: no word and no key is needed from here on."""
     held, kept = None, []
 
     def close() -> pa.RecordBatch:
-        answer = pack_numbers(*(np.concatenate(c) for c in zip(*map(unpack_numbers, kept), strict=True)))
-        return pa.RecordBatch.from_arrays([*held.select(["chunk", "tokens", "docs"]).columns, pa.array([answer], pa.binary())], names)
+        answer = [np.concatenate(c) for c in zip(*map(unpack_numbers, kept), strict=True)]
+        pieces = held.column("docs").to_pylist()[0]
+        chunk = Chunk.read(held.column("tokens")[0].as_py(), pieces)
+        own = np.add.reduceat(chunk.own, np.cumsum([0, *(p["n"] for p in pieces[:-1])]), dtype=np.int64)
+        found = Estimates.of(chunk, answer, order)
+        docs = [{**p, "n": n} for p, n in zip(pieces, own.tolist(), strict=True)]
+        kinds = chunk.kind[chunk.own]
+        # A word that occurs c times is met c times in all chunks, so every token is one c-th of a word.
+        every, times = np.unique(found.grams[0][0][kinds != TEST], return_counts=True)
+        words = [{"count": c, "times": t} for c, t in zip(every.tolist(), times.tolist(), strict=True)]
+        columns = [[docs], [found.packed(own)], [found.events(kinds == DELETED)], [int((kinds == TRAIN).sum())], [words]]
+        types = [held.schema.field("docs").type, pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.struct([("count", pa.int64()), ("times", pa.int64())]))]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["docs", "counts", "events", "kept", "words"])
 
     for batch in batches:
         for at, (part, counts) in enumerate(zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True)):
@@ -264,20 +288,39 @@ def answered(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
 class Estimates:
     """Counts for each own token of a chunk: of its n-grams and their contexts, from all training texts and from those not deleted."""
 
-    chunk: Chunk
     grams: list[list[np.ndarray]]  # by set of texts (all, not deleted) and order
     contexts: list[list[np.ndarray]]
 
     @classmethod
-    def of(cls, chunk: Chunk, answer: bytes, order: int) -> Estimates:
+    def of(cls, chunk: Chunk, answer: list[np.ndarray], order: int) -> Estimates:
         grams, contexts = chunk.grams(order)
-        distinct = np.unique(table_keys(chunk, grams, contexts)[0])
-        kept, deleted = unpack_numbers(answer)
-        sets = [kept + deleted, kept]
-        own = chunk.own
-        places = [np.searchsorted(distinct, g[own]) for g in grams]
-        before = [np.searchsorted(distinct, c[own]) for c in contexts]
-        return cls(chunk, [[s[p] for p in places] for s in sets], [[s[p] for p in before] for s in sets])
+        # The answers follow the distinct keys in ascending order.
+        place = np.unique(table_keys(chunk, grams, contexts)[0], return_inverse=True)[1]
+        sets = [answer[0] + answer[1], answer[0]]
+        begins, led = chunk.starting()
+        n, at = int(chunk.own.sum()), order * int(chunk.own.sum())
+        places = [place[k * n : (k + 1) * n] for k in range(order)]
+        before = [np.roll(p, 1) for p in places[:-1]]  # the context of a token is the n-gram of the token before it
+        for mask in (begins, led):
+            where = np.flatnonzero(mask[chunk.own])
+            for context in before:
+                context[where] = place[at : at + len(where)]
+                at += len(where)
+        return cls([[s[p] for p in places] for s in sets], [[s[p] for p in before] for s in sets])
+
+    def packed(self, own: np.ndarray) -> bytes:
+        """The counts from all training texts; of the contexts only the first of each piece, whose sizes are given, as others follow from the n-grams."""
+        return pack_numbers(*self.grams[0], *(c[np.cumsum(own) - own] for c in self.contexts[0]))
+
+    def events(self, chosen: np.ndarray) -> bytes | None:
+        """How often each set of counts without the deleted texts comes up among some tokens, and these counts."""
+        if not chosen.any():
+            return None
+        columns = [c[chosen] for c in (*self.grams[1], *self.contexts[1])]
+        by = np.lexsort(columns)
+        columns = [c[by] for c in columns]
+        new = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+        return pack_numbers(np.diff(np.r_[new, len(by)]), *(c[new] for c in columns))
 
 
 def buckets(contexts: list[np.ndarray], n: int) -> np.ndarray:
@@ -313,10 +356,13 @@ class Model:
     weights: dict[int, np.ndarray]
     gains: list[float]
 
+    @cached_property
+    def table(self) -> np.ndarray:
+        """Weights by component and bucket; a bucket without events takes those of the nearest one of its order."""
+        return np.array([self._of(b) for b in range((self.order + 1) << BITS)]).T.copy()
+
     def shares(self, bucket: np.ndarray) -> np.ndarray:
-        """Weights by component and token; a bucket without events takes those of the nearest one of its order."""
-        used, place = np.unique(bucket, return_inverse=True)
-        return np.array([self._of(int(b)) for b in used]).reshape(len(used), self.order + 1)[place].T
+        return self.table[:, bucket]
 
     def _of(self, bucket: int) -> np.ndarray:
         if bucket in self.weights:
@@ -345,7 +391,8 @@ def learn(events: DataFrame, order: int, total: int, vocabulary: int, rounds: in
         model = Model(order, total, vocabulary, dict(weights), [])
 
         def expect(batches: Iterator[pa.RecordBatch], model: Model = model) -> Iterator[pa.RecordBatch]:
-            shares: dict[int, np.ndarray] = {}
+            n = (order + 1) << BITS
+            sums = np.zeros((order + 3, n))
             for batch in batches:
                 for data in batch.column(0).to_pylist():
                     weight, *counts = unpack_numbers(data)
@@ -353,11 +400,10 @@ def learn(events: DataFrame, order: int, total: int, vocabulary: int, rounds: in
                     bucket = buckets(contexts, len(weight))
                     mixed = likelihoods(grams, contexts, total, vocabulary) * model.shares(bucket)
                     p = mixed.sum(axis=0)
-                    used, place = np.unique(bucket, return_inverse=True)
-                    sums = [np.bincount(place, weight * m / p, len(used)) for m in mixed] + [np.bincount(place, weight, len(used)), np.bincount(place, weight * np.log(p), len(used))]
-                    for b, s in zip(used.tolist(), np.array(sums).T, strict=True):
-                        shares[b] = shares.get(b, 0) + s
-            yield pa.RecordBatch.from_arrays([pa.array(list(shares), pa.int64()), pa.array([s.tolist() for s in shares.values()], pa.list_(pa.float64()))], ["bucket", "sums"])
+                    for k, part in enumerate((*(weight * m / p for m in mixed), weight, weight * np.log(p))):
+                        sums[k] += np.bincount(bucket, part, n)
+            used = np.flatnonzero(sums[order + 1])
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(sums[:, used].T.tolist(), pa.list_(pa.float64()))], ["bucket", "sums"])
 
         expected = events.mapInArrow(expect, "bucket long, sums array<double>")
         found = expected.groupBy("bucket").agg(*[F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(order + 3)]).collect()  # at most 64 buckets an order
@@ -400,50 +446,17 @@ def score_texts(
             both = (b for source in ([batch], batches) for b in source)
             yield from chunk_rows(both, order, parts, TaskContext.get().partitionId(), batch.schema.field("id").type)
 
-    # Two folders, so that the n-grams can go before the answers meet the tokens.
-    path, schema = scratch.new_path("chunks"), CHUNK_FIELDS.format(id=id_type.simpleString())
-    made = rows.mapInArrow(cut, schema).withColumn("kind", F.when(F.col("part") < 0, "tokens").otherwise("grams"))
-    made.write.partitionBy("kind").parquet(path)
-    chunks, grams = (_read(spark, f"{path}/kind={kind}", made.drop("kind").schema) for kind in ("tokens", "grams"))
-    asked_for = grams.select("chunk", "part", "keys", "counts")
-    answers = scratch.keep(asked_for.groupBy("part").applyInArrow(total_counts, "chunk long, part long, counts binary"), "answers")
-    scratch.drop(f"{path}/kind=grams")
-    own = chunks.select("chunk", "part", "tokens", "docs", F.lit(None).cast("binary").alias("counts"))
-    nothing = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("tokens", "docs")]
-    both = own.unionByName(answers.select("chunk", "part", *nothing, "counts"))
-    names = ["chunk", "tokens", "docs", "counts"]
-    whole = both.repartition("chunk").sortWithinPartitions("chunk", "part").mapInArrow(lambda batches: answered(batches, names), own.select(*names).schema)
-    whole = scratch.keep(whole, "answered")
-    scratch.drop(path, answers)
-
-    # What the mixture learns from, and the words of training texts: all of them, and how many different ones.
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tokens, pieces, answer in zip(*(batch.column(c).to_pylist() for c in ("tokens", "docs", "counts")), strict=True):
-                yield from events_of(Chunk.read(tokens, pieces), answer)
-
-    def events_of(chunk: Chunk, answer: bytes) -> Iterator[pa.RecordBatch]:
-        found = Estimates.of(chunk, answer, order)
-        kinds = chunk.kind[chunk.own]
-        event = np.flatnonzero(kinds == DELETED)
-        columns = [c[event] for c in (*found.grams[1], *found.contexts[1])]
-        packed = None
-        if len(event):
-            by = np.lexsort(columns)
-            columns = [c[by] for c in columns]
-            new = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
-            packed = pack_numbers(np.diff(np.r_[new, len(by)]), *(c[new] for c in columns))
-        # A word that occurs c times is met c times in all chunks, so every token is one c-th of a word.
-        count = found.grams[0][0][kinds != TEST]
-        every, times = np.unique(count, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([packed], pa.binary()), pa.array([int((kinds == TRAIN).sum())]), *(pa.array([x.tolist()], pa.list_(pa.int64())) for x in (every, times))],
-            ["events", "kept", "counts", "times"],
-        )
-
-    met = scratch.keep(whole.mapInArrow(sizes, "events binary, kept long, counts array<long>, times array<long>"), "events")
-    by_count = met.select(F.explode(F.arrays_zip("counts", "times")).alias("c")).groupBy("c.counts").agg(F.sum("c.times").alias("times"))
-    total, vocabulary = by_count.agg(F.coalesce(F.sum("times"), F.lit(0)), F.coalesce(F.sum(F.expr("times div counts")), F.lit(0))).first()
+    # To the parts of the key range, and back to the chunks. Either way is a job of its own, whose shuffle files go when its result is written.
+    fields = CHUNK_FIELDS.format(id=id_type.simpleString())
+    summed = rows.mapInArrow(cut, fields).groupBy("part").applyInArrow(total_counts, fields.replace("keys binary, ", ""))
+    summed = scratch.keep(summed, "summed", release=True)
+    dealt = summed.repartition("chunk").sortWithinPartitions("chunk", "part")
+    schema = COUNTED.format(docs=summed.schema["docs"].dataType.simpleString())
+    met = scratch.keep(dealt.mapInArrow(lambda batches: counted_chunks(batches, order), schema), "counted", release=True)
+    scratch.drop(summed)
+
+    by_count = met.select(F.inline("words")).groupBy("count").agg(F.sum("times").alias("times"))
+    total, vocabulary = by_count.agg(F.coalesce(F.sum("times"), F.lit(0)), F.coalesce(F.sum(F.expr("times div count")), F.lit(0))).first()
     events = met.where("events IS NOT NULL").select("events")
     kept = met.agg(F.coalesce(F.sum("kept"), F.lit(0))).first()[0]
     weights, gains = learn(events, order, kept, vocabulary, rounds)
@@ -453,40 +466,34 @@ def score_texts(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            for at, (tokens, pieces, answer) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("tokens", "docs", "counts")), strict=True)):
-                figures = scored(Chunk.read(tokens, pieces), answer, model, [p["n"] for p in pieces])
-                docs = batch.column("docs").slice(at, 1).flatten()
-                columns = [docs.field(docs.type.get_field_index(c)) for c in ("doc", "id", "split")]
-                yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, figures)], fields.names)
+            for at, data in enumerate(batch.column(1).to_pylist()):
+                docs = batch.column(0).slice(at, 1).flatten()
+                doc, doc_id, split, n = (docs.field(docs.type.get_field_index(c)) for c in ("doc", "id", "split", "n"))
+                yield pa.RecordBatch.from_arrays([doc, doc_id, split, *map(pa.array, scored(data, model, n.to_numpy()))], fields.names)
 
     figures = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
-    fields = StructType([*own.schema["docs"].dataType.elementType.fields[:2], StructField("split", BooleanType())])
+    fields = StructType([*met.schema["docs"].dataType.elementType.fields[:2], StructField("split", BooleanType())])
     for name, sort in figures.items():
         fields = fields.add(name, sort)
-    scores = scratch.keep(whole.mapInArrow(score, fields), "scores")
+    scores = scratch.keep(met.select("docs", "counts").mapInArrow(score, fields), "scores")
     pieces = scores.where("split").groupBy("doc").agg(F.first("id").alias("id"), *[F.sum(c).alias(c) for c in figures])
     out = scores.where("NOT split").select("id", *figures).unionByName(pieces.select("id", *figures))
     return out.withColumnRenamed("id", "doc_id"), model
 
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A folder of a written table; without a row in it there is no folder."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    return spark.read.schema(schema).parquet(path) if found else spark.createDataFrame([], schema)
-
-
-def scored(chunk: Chunk, answer: bytes, model: Model, sizes: list[int]) -> tuple[np.ndarray, ...]:
+def scored(data: bytes, model: Model, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
     """Tokens, known tokens, base score and score of each piece of a chunk."""
-    found = Estimates.of(chunk, answer, model.order)
-    grams, contexts = found.grams[0], found.contexts[0]
+    counts = unpack_numbers(data)
+    grams, contexts = counts[: model.order], []
+    for gram, first in zip(grams, counts[model.order :], strict=False):
+        contexts.append(np.roll(gram, 1))
+        contexts[-1][np.cumsum(sizes) - sizes] = first
     bucket = buckets(contexts, len(grams[0]))
     p = (likelihoods(grams, contexts, model.total, model.vocabulary) * model.shares(bucket)).sum(axis=0)
     base = np.log10((grams[0] + 1) / (model.total + model.vocabulary + 1))
-    piece = np.repeat(np.arange(len(sizes)), sizes)[chunk.own]
-    n = len(sizes)
-    sums = [np.bincount(piece, w, n) for w in (base, np.log10(p))]
-    return np.bincount(piece, minlength=n), np.bincount(piece, grams[0] > 0, n).astype(np.int64), *sums
+    piece, n = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
+    known = np.bincount(piece, grams[0] > 0, n).astype(np.int64)
+    return sizes.astype(np.int64), known, np.bincount(piece, base, n), np.bincount(piece, np.log10(p), n)
 
 
 def remainder(doc_id: Column, by: int) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,6 +13,7 @@ from pageloom.staging import stage_path
 
 FILTER_BITS = 1 << 24
 LEAST_FILES, FILE_ROWS = 6, 100_000
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Scratch:
@@ -26,16 +30,30 @@ class Scratch:
         self.count += 1
         return f"{self.path}/{self.count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
-        """Write a table and return a scan of it; ``rows``, about how many it has, spares tasks for next to nothing."""
+    def keep(self, df: DataFrame, name: str, rows: int | None = None, release: bool = False) -> DataFrame:
+        """Write a table and return a scan of it; ``rows``, about how many it has, spares tasks for next to nothing.
+
+        With ``release`` Spark deletes the shuffle files that led to it as soon as it is written, not at the driver's next collection of garbage.
+        """
         path = self.new_path(name)
         if rows is not None:
             df = df.coalesce(LEAST_FILES + rows // FILE_ROWS)
-        df.write.parquet(path)
+        with self._released(release):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out
 
+    @contextmanager
+    def _released(self, release: bool) -> Iterator[None]:
+        """The session's setting as the caller wishes, and afterwards as it was."""
+        before = self.spark.conf.get(RELEASE)
+        self.spark.conf.set(RELEASE, "true" if release else before)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(RELEASE, before)
+
     def drop(self, *tables: DataFrame | str) -> None:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for table in tables:

@@ -95,7 +95,7 @@ class Plain:
         return len(tokens(text)), known, base, score
 
 
-def check(docs, order=2, rounds=6, by=7):
+def check(docs, order=2, rounds=3, by=7):
     rest = lambda: F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(by))
     out, model = score_texts(docs, train=rest() != 2, deleted=rest() == 3, order=order, rounds=rounds)
     rows = docs.collect()
@@ -129,7 +129,7 @@ def test_against_dictionaries(babble, order):
     assert all(np.diff(model.gains) > -1e-9)  # expectation-maximisation never loses likelihood, but for the prior
 
 
-@pytest.mark.parametrize(("order", "chunk"), [(2, 50), (3, 7), (4, 1), (1, 13)])
+@pytest.mark.parametrize(("order", "chunk"), [(2, 50), (3, 7), (4, 1)])
 def test_small_chunks(babble, monkeypatch, order, chunk):
     """Texts cut over many chunks, and a part of the key range for every few bytes."""
     text = babble.where("doc_id < 12")
@@ -141,11 +141,11 @@ def test_small_chunks(babble, monkeypatch, order, chunk):
     chunk_rows = ip.chunk_rows
     monkeypatch.setattr(ip, "chunk_rows", small)
     monkeypatch.setattr(ip, "PART_BYTES", 100)
-    check(text, order)
+    check(text, order, rounds=2)
 
 
 def test_table(sample):
-    check(sample[1], rounds=3)
+    check(sample[1].where("n_chars < 300"), rounds=3)
 
 
 def test_odd_rows(odd_docs, no_docs):
@@ -153,7 +153,7 @@ def test_odd_rows(odd_docs, no_docs):
     out, model = score_texts(no_docs, train=F.lit(True), deleted=F.lit(False))
     assert out.count() == 0 and (model.total, model.vocabulary) == (0, 0)
     for train in (F.lit(False), F.lit(None).cast("boolean")):  # nothing learnt: every word is the unknown one
-        out, model = score_texts(odd_docs, train=train, deleted=F.lit(True))
+        out, model = score_texts(odd_docs, train=train, deleted=F.lit(True), rounds=1)
         assert model.weights == {} and all((r["n_known"], r["base_score"]) == (0, 0.0) for r in out.collect())
     out, model = score_texts(odd_docs, train=F.lit(True), deleted=F.lit(None).cast("boolean"))
     assert model.weights == {} and all(r["n_known"] == r["n_tokens"] and math.isfinite(r["score"]) for r in out.collect())
