@@ -30,8 +30,14 @@ class Counter:
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.encoder, self.known = Encoder(path, end=b""), {}
 
-    def split(self, text: str) -> list[str]:
-        return self.pattern.findall(text)
+    def split(self, text: str, follow: str = "") -> list[str]:
+        """The pre-tokens of a text after which ``follow`` comes: one character is as far as the pattern looks ahead."""
+        found = self.pattern.findall(text + follow)
+        if follow:
+            found[-1] = found[-1][: -len(follow)]
+            if not found[-1]:
+                found.pop()
+        return found
 
     def counts(self, pretokens: list[str]) -> list[int]:
         known = self.known
@@ -127,7 +133,8 @@ class TokenTree:
         left, right = max(0, first - 1), min(len(self.pieces) - 1, last + 1)
         while True:
             head, tail = "".join(self.pieces[left:first]), "".join(self.pieces[last + 1 : right + 1])
-            new, old_head, old_tail = count.split(head + after + tail), count.split(head), count.split(tail)
+            follow = self.pieces[right + 1][:1] if right + 1 < len(self.pieces) else ""
+            new, old_head, old_tail = count.split(head + after + tail, follow), count.split(head), count.split(tail, follow)
             if left and not (old_head and len(old_head[0]) < len(head) and new and new[0] == old_head[0]):
                 left -= 1
             elif right < len(self.pieces) - 1 and not (old_tail and len(old_tail[-1]) < len(tail) and new and new[-1] == old_tail[-1]):

@@ -79,3 +79,20 @@ def test_odd_rows(odd_docs, whole):
 def test_empty(no_docs):
     docs = no_docs.withColumn("edits", sample_edits(F.col("text"), F.col("doc_id")))
     assert apply_edits(with_trees(docs)).count() == 0
+
+
+def test_white_space_before_a_leaf_border():
+    """White space at the end of a leaf splits as it does before what the next leaf begins with, however leaves and edits fall."""
+    from pageloom.llm.token_trees import Counter as PreTokens, TokenTree
+
+    count = PreTokens(default_tokenizer())
+    rng = random.Random(9)
+    parts = ["\n\n \n", "\n", "'s", " a", "b", "  ", "12", "\r\n", "!?", " \t"]
+    for _ in range(120):
+        text = "".join(rng.choices(parts, k=rng.randrange(60, 400)))
+        tree = TokenTree.build(text, count)
+        for _ in range(6):
+            at, gone, new = rng.randrange(len(text) + 1), rng.randrange(12), "".join(rng.choices(parts, k=rng.randrange(5)))
+            text = text[:at] + new + text[at + gone :]
+            tree.edit(at, gone, new, count)
+            assert tree.text == text and tree.tokens == sum(count.counts(count.split(text)))
