@@ -19,7 +19,6 @@ MODEL_GRAMS = 50_000
 LONGEST_GRAM = 5
 CACHE_WORDS = 200_000
 SMOOTHING = 0.5
-LEAST_SCORE = 0.4
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -162,11 +161,15 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     return kept.mapInArrow(predict, StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
-def keep_identified(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` (``doc_id, text, lang`` and others) with a language of score ``least`` or more, by a model of all labelled rows."""
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (``doc_id, text, lang`` and others) with a language, by a model of all labelled rows.
+
+    Only rows that are ``und`` go: those without a letter, null and empty ones among them, and all rows where there is no label to learn from.
+    A score, however low, drops nothing. An empty table gives an empty one.
+    """
     model = train(docs.select("doc_id", "text", "lang"))
     found = identify(docs.select(F.col("text").alias("read"), F.struct("*").alias("row")), model, "read")
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    return found.where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
 def op9_language(spark, sf):
