@@ -7,11 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pageloom.functions.binding import bind
 from pageloom.operators.pages import REJECT_HEAD, split_rejects  # noqa: F401
 
-# A line is taken apart step by step, so that a member of the wrong type costs itself and nothing beside it.
-ENTITY_SCHEMA = "id string, type string, labels string, descriptions string, sitelinks string, claims string, damaged string"
 TEXT = "struct<language: string, value: string>"
 LINK = "struct<site: string, title: string, url: string>"
 STATEMENT = "struct<mainsnak: struct<snaktype: string, property: string, datatype: string, datavalue: struct<type: string, value: string>>>"
+NAMES = ("labels", "descriptions", "sitelinks", "claims")
+# A well-formed line is parsed as it is.
+TYPED_SCHEMA = f"id string, type string, labels map<string, {TEXT}>, descriptions map<string, {TEXT}>, sitelinks map<string, {LINK}>, claims map<string, array<{STATEMENT}>>, damaged string"
+# Any other is taken apart step by step, so that a member of the wrong type costs itself and nothing beside it.
+ENTITY_SCHEMA = "id string, type string, labels string, descriptions string, sitelinks string, claims string, damaged string"
+EMPTY_FIELD = r'"(?:labels|descriptions|sitelinks|claims)"\s*:\s*\[\s*\]'
+OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "damaged"}
 FAULT = "array<struct<source: string, reason: string, head: string>>"
 
 
@@ -20,27 +25,51 @@ def parse_entities(lines: DataFrame) -> DataFrame:
 
     A field that is missing, null or ``[]`` is empty. A field, member or statement of another type than it should have
     is left out and named in ``faults``; all others stay, with the text of their values as it is. A line that isn't JSON
-    at all is rejected.
+    at all is rejected. A line whose members are all of the right type is parsed once (twice with a field that is ``[]``), and only others are
+    taken apart member by member.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "damaged"}
-    parsed = bind(lines.select("value"), "e", F.from_json("value", ENTITY_SCHEMA, options))
-    broken = F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull()
+    typed = bind(lines.select("value"), "t", F.from_json(_with_objects("value"), TYPED_SCHEMA, OPTIONS))
+    whole = typed.select("value", "t", F.coalesce(F.col("t.damaged").isNull() & _no_null_member(), F.lit(False)).alias("whole"))
+    parsed = bind(whole, "e", F.when(~F.col("whole"), F.from_json("value", ENTITY_SCHEMA, OPTIONS)))
+    broken = F.col("e").isNull() | (F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull())
+    own = lambda n: F.when(F.col("whole"), F.col(f"t.{n}")).otherwise(F.col(f"e.{n}"))
     reason = (
-        F.when(F.col("e").isNull() | broken, "malformed line")
-        .when(F.col("e.id").isNull(), "entity without id")
-        .when(F.col("e.type").isNull(), "entity without type")
+        F.when(~F.col("whole") & broken, "malformed line")
+        .when(own("id").isNull(), "entity without id")
+        .when(own("type").isNull(), "entity without type")
     )
-    names = ("labels", "descriptions", "sitelinks", "claims")
-    members = {n: F.from_json(F.when(F.startswith(f"e.{n}", F.lit("{")), F.col(f"e.{n}")), "map<string, string>") for n in names}
+    members = {n: F.from_json(F.when(F.startswith(f"e.{n}", F.lit("{")), F.col(f"e.{n}")), "map<string, string>") for n in NAMES}
     head = F.when(reason.isNotNull(), F.left("value", F.lit(REJECT_HEAD))).alias("head")
-    first = bind(parsed.select("value", "e", reason.alias("reason"), head), "m", F.struct(*[members[n].alias(n) for n in names]))
+    apart = F.when(~F.col("whole"), F.struct(*[members[n].alias(n) for n in NAMES]))
+    first = bind(parsed.select("t", "e", "whole", own("id").alias("id"), own("type").alias("type"), reason.alias("reason"), head), "m", apart)
     kinds = {"labels": TEXT, "descriptions": TEXT, "sitelinks": LINK}
     good = {n: _parsed_members(f"m.{n}", kind) for n, kind in kinds.items()}
-    statements = F.transform_values("m.claims", lambda _, v: _statements(v))
+    good["claims"] = F.transform_values("m.claims", lambda _, v: _statements(v))
+    faults = F.when(F.col("reason").isNull(), F.when(F.col("whole"), F.array().cast(FAULT)).otherwise(_faults(NAMES)))
     return first.select(
-        F.col("e.id").alias("id"), F.col("e.type").alias("type"), *[v.alias(n) for n, v in good.items()], statements.alias("claims"),
-        F.when(F.col("reason").isNull(), _faults(names)).alias("faults"), "reason", "head",
-    )
+        "id", "type", *[F.when(F.col("whole"), F.col(f"t.{n}")).otherwise(good[n]).alias(n) for n in NAMES], faults.alias("faults"), "reason", "head"
+    )
+
+
+def _with_objects(value: str) -> Column:
+    """A line with nothing in place of its fields that are ``[]``; lines without such a field, most of them, stay as they are.
+
+    Text that only looks like such a field may stand inside of a value, so the fields are told apart by parsing, and what they hold stays as it is.
+    """
+    fields = F.from_json(value, ENTITY_SCHEMA, OPTIONS)
+    texts = F.map_from_arrays(F.array(*[F.lit(n) for n in ("id", "type")]), F.array(*[fields[n] for n in ("id", "type")]))
+    parts = [F.nullif(F.btrim(F.to_json(F.map_filter(texts, lambda _, v: v.isNotNull())), F.lit("{}")), F.lit(""))]
+    for n in NAMES:
+        parts.append(F.when(fields[n].isNotNull() & ~F.rlike(fields[n], F.lit(r"^\[\s*\]$")), F.concat(F.lit(f'"{n}":'), fields[n])))
+    rebuilt = F.when(fields["damaged"].isNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    return F.when(F.rlike(value, F.lit(EMPTY_FIELD)), rebuilt).otherwise(F.col(value))
+
+
+def _no_null_member() -> Column:
+    """Whether every member and statement has come out of the typed parse; a field without members has none to lose."""
+    present = [F.coalesce(F.forall(F.map_values(f"t.{n}"), lambda v: v.isNotNull()), F.lit(True)) for n in NAMES[:3]]
+    listed = F.forall(F.map_values("t.claims"), lambda v: F.coalesce(F.forall(v, lambda x: x.isNotNull()), F.lit(False)))
+    return present[0] & present[1] & present[2] & F.coalesce(listed, F.lit(True))
 
 
 def _parsed_members(field: str, kind: str) -> Column:
