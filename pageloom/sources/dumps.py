@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Fixed value: a dump is named after its language, e.g. ``enwiki-…``.
@@ -9,6 +13,8 @@ LANGUAGE_PATTERN = r"([a-z]{2,})wiki"
 # How a dump begins, and key 14, the category namespace, in its header.
 HEAD_PATTERN = r"^\s*(<\?xml|<mediawiki|<siteinfo)"
 CATEGORY_PATTERN = r'<namespace\b[^>]*\bkey="14"[^>]*>([^<]+)</namespace>'
+HEADER_ENDS = (b"</siteinfo>", b"<page>")
+HEADER_BYTES, HEADER_STEP, HEADER_THREADS = 1 << 20, 1 << 14, 16
 
 
 def language_of_path(path: Column | str) -> Column:
@@ -56,11 +62,45 @@ def read_pages(spark: SparkSession, path: str | list[str], lang: str | None = No
 
 
 def category_names(spark: SparkSession, path: str | list[str], lang: str | None = None) -> DataFrame:
-    """``lang, namespace``: the category namespace that each dump's header names, one for a language.
+    """``lang, namespace``: the category namespace that a dump's header names, one for a language.
 
-    Only the chunk before the first page of each file can hold it, but every file is read for it: stage the
-    result, a row per language.
+    Only the first bytes of a file are read, through its codec, up to the end of the header: ``HEADER_BYTES`` at most, however large the
+    dumps are. Of a language's files, in the order of their paths, the first that names the namespace counts, so that one or
+    two files of each language are opened. Spark's own file systems open them, whatever store they are in.
     """
-    name = F.regexp_extract("value", CATEGORY_PATTERN, 1)
-    heads = _chunks(spark, path, lang).where(F.contains("value", F.lit("<siteinfo"))).select("lang", name.alias("namespace"))
-    return heads.where("namespace <> ''").groupBy("lang").agg(F.min("namespace").alias("namespace"))
+    dumps = list_dumps(spark, path)
+    listed = (dumps if lang is None else dumps.where(F.col("lang") == lang)).groupBy("lang").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    files = {r["lang"]: r["paths"] for r in listed.collect()}  # the paths, which Spark's file index holds on the driver too
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        names = list(pool.map(lambda paths: next(filter(None, (header_namespace(spark, p) for p in paths)), None), files.values()))
+    found = [(code, name) for code, name in zip(files, names, strict=True) if name]
+    return spark.createDataFrame(found, "lang string, namespace string")
+
+
+def header_namespace(spark: SparkSession, path: str) -> str | None:
+    """The category namespace in the header of one file; None if there is no header, or no such name in it."""
+    found = re.search(CATEGORY_PATTERN, read_header(spark, path))
+    return found and found.group(1)
+
+
+def read_header(spark: SparkSession, path: str) -> str:
+    """What a dump has before its first page, ``HEADER_BYTES`` at most; a file that its codec can't read has none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    # Spark's file listing gives URIs with escapes.
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if ":" in path else jvm.org.apache.hadoop.fs.Path(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    data, stream = b"", target.getFileSystem(conf).open(target)
+    try:
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        while len(data) < HEADER_BYTES and not any(end in data for end in HEADER_ENDS):
+            part = stream.readNBytes(HEADER_STEP)
+            if not part:
+                break
+            data += part
+    except Py4JJavaError:
+        pass  # the records of such a file are read, and rejected, elsewhere
+    finally:
+        stream.close()
+    ends = [at + len(end) for end in HEADER_ENDS if (at := data.find(end)) >= 0]
+    return data[: min(ends, default=HEADER_BYTES)].decode("utf-8", "replace")
