@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import importlib.util
 from collections.abc import Callable
 from types import ModuleType
 
@@ -12,11 +13,11 @@ from pageloom.operators import entities as ent
 from pageloom.operators import factors, pages as pg, terms as tm
 from pageloom.operators.lsa import Lsa, concept_strength, lsa, relevance_table, term_neighbors, top_docs, top_terms
 from pageloom.operators.quads import category_quads, sort_quads
-from pageloom.operators.sampling import resample
+from pageloom.operators.sampling import poisson_steps, resample_by_key
 from pageloom.plans import jobs
 from pageloom.sources.dumps import list_languages, read_pages
 from pageloom.sources.entities import entity_lines
-from pageloom.sources.tables import read_table
+from pageloom.sources.tables import Layout, read_table, write_table
 from pageloom.sources.words import read_words
 from pageloom.functions.text import tokenize
 from pageloom.staging import stage, stage_path
@@ -27,6 +28,7 @@ STOP_WORDS = ["the", "and", "that", "der", "die", "und", "que", "los", "les", "d
 VOCABULARY = 500
 SMALL_VOCABULARY = 40
 CONCEPTS = 5
+RESAMPLE_MEAN, RESAMPLE_SEED = 4.0, 7
 # Scores are compared with those of SQL to so many digits; the library ranks and gives them whole.
 DIGITS = 6
 
@@ -503,18 +505,36 @@ def concepts_job(spark, sf):
     """The job's relevance table for the English documents, from written dumps."""
     output = stage_path(spark, "relevances")
     jobs.analyse_concepts(
-        spark, _written_dumps(spark, sf), output, STOP_WORDS, n_concepts=CONCEPTS, n_terms=VOCABULARY, lang="en"
+        spark, _written_dumps(spark, sf), output, STOP_WORDS, n_concepts=CONCEPTS, n_terms=VOCABULARY, lang="en", digits=DIGITS
     )
-    return spark.read.parquet(output).withColumn("score", F.round("score", DIGITS))
+    return spark.read.parquet(output)
 
 
 def resampled(spark, sf):
-    """Invariants of a resample of mean multiplicity 4: all keys are of the table, and their mean number is near 4."""
-    orders = _table(spark, sf, "orders").select("o_orderkey")
-    drawn = resample(orders, 4.0, seed=7)
-    known = drawn.join(orders, "o_orderkey", "left_semi").count()
-    mean = drawn.agg((F.count("*") / orders.count()).alias("mean"))
-    return mean.select((F.lit(known) == drawn.count()).alias("keys_known"), F.col("mean").between(3.8, 4.2).alias("mean_near_4"))
+    """A resample of mean multiplicity 4: how often each key has been drawn."""
+    drawn = resample_by_key(_table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", RESAMPLE_MEAN, RESAMPLE_SEED)
+    return drawn.groupBy("o_orderkey").agg(F.count("*").alias("multiplicity"))
+
+
+def replaced_language(spark, sf):
+    """Documents in partitions of a language, written twice: the second run has German rows only, with other lengths."""
+    path, layout = stage_path(spark, "documents"), Layout(partition=("lang",), cluster=("doc_id",))
+    docs = _table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    write_table(docs, path, layout=layout)
+    write_table(docs.where("lang = 'de'").withColumn("n_chars", F.col("n_chars") + 1), path, mode="replace", layout=layout)
+    return read_table(spark, path).select("doc_id", "lang", "n_chars")
+
+
+def replaced_language_only(spark, sf):
+    """What the second run has written, from its folder alone: the filter prunes all others."""
+    return replaced_language(spark, sf).where("lang = 'de'")
+
+
+def matrix_row_sorted(spark, sf):
+    """A row by its id on sorted rows with Bloom filters, whose statistics leave one row group to be read."""
+    path = stage_path(spark, "rows")
+    write_table(_vectors(spark, sf), path, layout=Layout(cluster=("id",), lookup=("id",), row_group_bytes=1 << 20))
+    return _entries(factors.row_of(read_table(spark, path), 42))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -525,11 +545,9 @@ def entry(spark: SparkSession) -> DataFrame:
 def _optional() -> list[ModuleType]:
     """The operators for training data and their pipeline, where they are installed."""
     found = []
-    for name in ("pageloom.llm.registry", "corpus_pipeline"):
-        try:
+    for part, name in (("pageloom.llm", "pageloom.llm.registry"), ("corpus_pipeline", "corpus_pipeline")):
+        if importlib.util.find_spec(part) is not None:  # an error inside of them is not swallowed
             found.append(importlib.import_module(name))
-        except ImportError:
-            continue
     return found
 
 
@@ -546,6 +564,7 @@ def queries() -> dict[str, Query]:
             scale_rows, normalize_rows, matrix_row, top_entries,
             lsa_doc_energy, lsa_term_energy, lsa_doc_energy_iterative, lsa_term_neighbors, lsa_term_pairs,
             lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, lsa_invariants, concepts_job, concepts_job_rejects, stop_word_file, null_pages, resampled,
+            replaced_language, replaced_language_only, matrix_row_sorted,
         )
     }
     for module in _optional():
@@ -617,6 +636,8 @@ _LINE = """'{"id":"Q' || doc_id || '","type":"item","labels":{"' || lang || '":{
 
 _VECTOR = "SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS concept FROM embeddings"
 
+_REPLACED = "SELECT doc_id, lang, CASE lang WHEN 'de' THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents"
+
 _COSINE = f"""{_weights_sql(SMALL_VOCABULARY)},
 n AS (SELECT term, sqrt(sum(w * w)) AS length FROM w GROUP BY term HAVING sum(w * w) > 0),
 u AS (SELECT doc_id, term, w / length AS x FROM w JOIN n USING (term)),
@@ -767,7 +788,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT CASE doc_id % 2 WHEN 0 THEN 'page without id' ELSE 'cut page' END AS r FROM documents) GROUP BY r""",
         "stop_word_file": f"{_docs_sql(_WITHOUT_STOP)} SELECT doc_id, array_to_string(terms, ' ') AS terms FROM d",
         "null_pages": f"SELECT doc_id AS page_id, {_TITLE} AS title, NULL::VARCHAR AS reason FROM documents WHERE doc_id % 3 <> 0",
-        "resampled": "SELECT true AS keys_known, true AS mean_near_4",
+        "resampled": f"""WITH d AS (SELECT o_orderkey, ('0x' || md5('{RESAMPLE_SEED}:' || o_orderkey)[1:13])::BIGINT / {1 << 52}::DOUBLE AS draw FROM orders),
+            m AS (SELECT o_orderkey, len(list_filter([{", ".join(f"{x!r}::DOUBLE" for x in poisson_steps(RESAMPLE_MEAN))}], lambda x: x <= draw)) AS multiplicity FROM d)
+            SELECT o_orderkey, multiplicity FROM m WHERE multiplicity > 0""",
+        "replaced_language": _REPLACED,
+        "replaced_language_only": f"SELECT * FROM ({_REPLACED}) WHERE lang = 'de'",
+        "matrix_row_sorted": f"SELECT vec_id AS id, concept, round(x, 6) + 0.0 AS score FROM ({_VECTOR}) WHERE vec_id = 42",
         "lsa_top_terms": _top_sql("vf", "term", "v"),
         "lsa_top_docs": _top_sql("uf", "doc_id", "u"),
         "lsa_relevances": _RELEVANCES,

@@ -117,12 +117,13 @@ def analyse_concepts(
     lang: str | None = None,
     mode: str = "errorifexists",
     token_mode: str = "ascii",
+    digits: int | None = None,
     **options,
 ) -> Lsa:
     """Page dumps of one language to one relevance table at ``output``, and rejected records at ``<output>_rejects``.
 
     ``stop_words`` is a file or a list. Articles are staged as tokens, so dumps are
-    parsed once for the vocabulary, the matrix and the rejects.
+    parsed once for the vocabulary, the matrix and the rejects. ``digits`` rounds scores before they are ranked; else whole scores are.
     """
     if isinstance(stop_words, str):
         stop_words = [r["term"] for r in read_words(spark, stop_words).collect()]
@@ -132,7 +133,7 @@ def analyse_concepts(
         write_tables({"": split_rejects(tokens, "pages")[1]}, f"{output.rstrip('/')}_rejects", mode)
         docs = stage(article_terms(tokens, stop_words, **options), "terms")
         model = lsa(docs, n_concepts, n_terms, keep=("title",))
-        write_tables({"": relevance_table(model, neighbors, doc_key="title")}, output, mode)
+        write_tables({"": relevance_table(model, neighbors, doc_key="title", digits=digits)}, output, mode)
         return model
     finally:
         for table in (tokens, docs):

@@ -1,0 +1,71 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pageloom.operators.factors import row_of
+from pageloom.sources.tables import Layout, read_table, write_table
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def scan_metrics(df):
+    """Metrics of the scan in the plan that has run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    node = leaves.apply(0)
+    if "AdaptiveSparkPlan" in node.nodeName():
+        node = node.executedPlan().collectLeaves().apply(0)
+    metrics, out = node.metrics(), {}
+    for name in ("numOutputRows", "numFiles", "numPartitions"):
+        if metrics.contains(name):
+            out[name] = metrics.apply(name).value()
+    return out
+
+
+@pytest.fixture()
+def table(spark):
+    return spark.range(4000).select("id", F.when(F.col("id") % 10 < 7, "en").when(F.col("id") % 10 < 9, "de").otherwise("fr").alias("lang"), (F.col("id") * 3).alias("n"))
+
+
+def test_a_rerun_replaces_one_language(spark, tmp_path, table):
+    path, layout = str(tmp_path / "t"), Layout(partition=("lang",), cluster=("id",), files=5)
+    write_table(table, path, layout=layout)
+    write_table(table.where("lang = 'de' AND id < 1000").withColumn("n", F.lit(-1).cast("long")), path, mode="replace", layout=layout)
+    expected = [(r[0], r[2], r[1]) for r in rows(table) if r[1] != "de"] + [(r[0], -1, "de") for r in rows(table) if r[1] == "de" and r[0] < 1000]
+    assert rows(read_table(spark, path)) == sorted(expected, key=repr)
+    read = read_table(spark, path).where("lang = 'fr'")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*fr\)", plan)
+    assert scan_metrics(read)["numPartitions"] == 1
+    # The language that most rows have lies in several files.
+    assert read_table(spark, path).where("lang = 'en'").select(F.input_file_name()).distinct().count() > 2
+
+
+def test_nothing_to_replace(spark, tmp_path, table):
+    path, layout = str(tmp_path / "t"), Layout(partition=("lang",))
+    write_table(table, path, layout=layout)
+    write_table(table.limit(0), path, mode="replace", layout=layout)
+    assert rows(read_table(spark, path).select(*table.columns)) == rows(table)
+    with pytest.raises(ValueError, match="in part"):
+        write_table(table, path, mode="replace")
+    write_table(table.limit(0), str(tmp_path / "empty"), layout=Layout(cluster=("id",)))
+    assert read_table(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    """A row by its id, on a table of many row groups: ranges skip by statistics, and a Bloom filter where the order doesn't help."""
+    wide = spark.range(20_000).select("id", F.xxhash64("id").alias("key"), F.array(*[F.hash("id", F.lit(k)).cast("double") for k in range(32)]).alias("vec"))
+    path = str(tmp_path / "rows")
+    write_table(wide, path, layout=Layout(cluster=("id",), lookup=("key",), files=2, row_group_bytes=1 << 17))
+    stored = read_table(spark, path)
+    assert scan_metrics(stored)["numOutputRows"] == 20_000
+    found = row_of(stored, 12_345)
+    assert scan_metrics(found)["numOutputRows"] <= 2000 and [r["id"] for r in found.collect()] == [12_345]
+    key = wide.where("id = 777").first()["key"]
+    by_key = row_of(stored, key, "key")
+    assert scan_metrics(by_key)["numOutputRows"] <= 2000 and [r["id"] for r in by_key.collect()] == [777]
+    assert scan_metrics(row_of(stored, -1))["numOutputRows"] == 0
