@@ -436,6 +436,12 @@ def lsa_term_neighbors(spark, sf):
     return term_neighbors(_full_rank(spark, sf), 10, DIGITS).select("id", "other", F.round("score", 6).alias("score"))
 
 
+def lsa_term_neighbors_all(spark, sf):
+    """Neighbours over the whole vocabulary, without a cap."""
+    model = lsa(_staged_terms(spark, sf), CONCEPTS, None)
+    return term_neighbors(model, 10, DIGITS).select("id", "other", F.round("score", 6).alias("score"))
+
+
 def lsa_term_pairs(spark, sf):
     return term_neighbors(_full_rank(spark, sf), None, DIGITS).select("id", "other", F.round("score", 6).alias("score"))
 
@@ -562,7 +568,7 @@ def queries() -> dict[str, Query]:
             entity_labels, entity_labels_strict, entity_sitelinks, entity_claims, entity_claims_strict,
             claim_rejects, entity_rejects, entity_mixed_members, label_rejects, sitelink_rejects, member_rejects, entities_job,
             scale_rows, normalize_rows, matrix_row, top_entries,
-            lsa_doc_energy, lsa_term_energy, lsa_doc_energy_iterative, lsa_term_neighbors, lsa_term_pairs,
+            lsa_doc_energy, lsa_term_energy, lsa_doc_energy_iterative, lsa_term_neighbors, lsa_term_neighbors_all, lsa_term_pairs,
             lsa_concept_strength, lsa_top_terms, lsa_top_docs, lsa_relevances, lsa_invariants, concepts_job, concepts_job_rejects, stop_word_file, null_pages, resampled,
             replaced_language, replaced_language_only, matrix_row_sorted,
         )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from pageloom.operators.factors import BLOCK_ROWS, entries, neighbors, project, scale_rows, top_entries
 from pageloom.operators.terms import document_vectors, vocabulary
@@ -110,9 +110,11 @@ def top_docs(model: Lsa, n: int = 10, concepts: int | None = None, digits: int |
     return top_entries(model.docs.select("id", "vec"), n, concepts, digits).withColumnRenamed("id", "doc_id")
 
 
-def term_neighbors(model: Lsa, top_n: int | None = 20, digits: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Cosine of terms in concept space: ``id, other, score``; ``top_n=None`` gives all pairs."""
-    return neighbors(scale_rows(model.terms.select("id", "vec"), model.sigma), top_n, digits, block_rows)
+def term_neighbors(
+    model: Lsa, top_n: int | None = 20, digits: int | None = None, block_rows: int = BLOCK_ROWS, observation: Observation | None = None
+) -> DataFrame:
+    """Cosine of terms in concept space: ``id, other, score``; ``top_n=None`` gives all pairs. ``observation`` counts the products made."""
+    return neighbors(scale_rows(model.terms.select("id", "vec"), model.sigma), top_n, digits, block_rows, observation)
 
 
 def relevance_table(model: Lsa, top_n: int | None = 20, doc_key: str = "id", digits: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:

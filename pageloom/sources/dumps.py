@@ -86,8 +86,7 @@ def header_namespace(spark: SparkSession, path: str) -> str | None:
 def read_header(spark: SparkSession, path: str) -> str:
     """What a dump has before its first page, ``HEADER_BYTES`` at most; a file that its codec can't read has none."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    # Spark's file listing gives URIs with escapes.
-    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path)) if ":" in path else jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm.org.apache.hadoop.fs.Path(path)
     codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
     data, stream = b"", target.getFileSystem(conf).open(target)
     try:

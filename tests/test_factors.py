@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import Observation
+
 from pageloom.operators import factors
 
 
@@ -72,3 +74,70 @@ def brute_force(matrix, n):
 def test_neighbors_for_any_block_size(rows, matrix, block_rows, top_n):
     got = {tuple(r) for r in factors.neighbors(rows, top_n, block_rows=block_rows).collect()}
     assert {(a, b, round(s, 6) + 0.0) for a, b, s in got} == {(a, b, s + 0.0) for a, b, s in brute_force(matrix, top_n)}
+
+
+def brute_neighbors(rows, n, digits=None):
+    """All products, ranked by falling score, then id."""
+    rows = [(i, np.array(v) / np.linalg.norm(v)) for i, v in rows if np.linalg.norm(v)]
+    out = set()
+    for i, v in rows:
+        scores = [(float(v @ w), j) for j, w in rows]
+        if digits is not None:
+            scores = [(round(s, digits), j) for s, j in scores]
+        out |= {(i, j, round(s, 6) + 0.0) for s, j in sorted(scores, key=lambda x: (-x[0], x[1]))[:n]}
+    return out
+
+
+def groups_of_directions(n, groups, seed=1, spread=0.05):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(groups, 8))
+    return [(f"t{i:04}", (base[i % groups] + spread * rng.normal(size=8)).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("digits", [None, 3])
+def test_pruned_neighbors_equal_all_products(spark, digits):
+    rows = groups_of_directions(600, 12)
+    rows += [(f"same{i:03}", [3.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.5]) for i in range(150)]  # one direction, more rows than a block has
+    rows += [("zero", [0.0] * 8), ("far", [0.0, 0.0, 0.0, 0.0, -1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id string, vec array<double>")
+    found = Observation()
+    got = factors.neighbors(df, 5, digits, block_rows=40, observation=found).collect()
+    expected = brute_neighbors(rows, 5, digits)
+    if digits is None:  # scores that differ by rounding alone may change places
+        best = lambda pairs: sorted((i, s) for i, _, s in pairs)
+        assert best((r["id"], r["other"], round(r["score"], 6) + 0.0) for r in got) == best(expected)
+    else:
+        assert {(r["id"], r["other"], round(r["score"], 6) + 0.0) for r in got} == expected
+    assert 0 < found.get["products"] < 0.4 * len(rows) ** 2
+
+
+def test_neighbors_without_structure(spark):
+    """Rows of no common direction: hardly a block is out of reach, and nothing is lost."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>")
+    got = factors.neighbors(df, 20, 6, block_rows=25).collect()
+    assert {(r["id"], r["other"], round(r["score"], 6)) for r in got} == brute_neighbors(rows, 20, 6)
+    few = factors.neighbors(df.limit(60), 50, 6, block_rows=10).collect()
+    assert len(few) == 60 * 50
+    assert factors.neighbors(df.limit(0), 5, block_rows=10).count() == 0
+
+
+def test_whole_vocabulary(spark):
+    """The query over all terms against products of all pairs in concept space."""
+    import __spark_entry__ as driver
+    from pageloom.operators.lsa import lsa
+
+    sf = "/root/testdata/sf0.001"
+    got = driver.lsa_term_neighbors_all(spark, sf).toPandas()
+    model = lsa(driver._staged_terms(spark, sf), driver.CONCEPTS, None)
+    terms = factors.scale_rows(model.terms.select("id", "vec"), model.sigma).toPandas()
+    vec = np.stack(terms["vec"])
+    length = np.linalg.norm(vec, axis=1)
+    ids, vec = terms["id"].to_numpy()[length > 0], vec[length > 0] / length[length > 0, None]
+    assert len(got) == 10 * len(ids) and len(ids) > 5000
+    best = got.groupby("id")["score"].apply(lambda s: sorted(s, reverse=True))
+    at = {t: i for i, t in enumerate(ids)}
+    for t in ids[:: len(ids) // 200]:
+        want = np.sort(np.round(vec @ vec[at[t]], 6))[::-1][:10]
+        assert np.allclose(best[t], want, atol=2e-6)
