@@ -160,6 +160,7 @@ def jaccard_groups(
             sig = np.concatenate(sigs).view(np.int64) if sigs else np.zeros(0, np.int64)
             none = pa.nulls(len(sig), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array(np.concatenate(owners) if owners else sig, pa.int64()), pa.array(sig)], names)
+        pa.default_memory_pool().release_unused()  # the worker stays for other stages
 
     names = ["doc_id", "n_shingles", "text_hash", "node", "sig"]
     marks = scratch.keep(rows.mapInArrow(mark, ", ".join(f"{n} long" for n in names)), "marks")

@@ -17,7 +17,8 @@ TRAIN_ROWS = 20_000
 MODEL_WORDS = 150_000
 MODEL_GRAMS = 50_000
 LONGEST_GRAM = 5
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
+SLICE_ROWS = 1024
 SMOOTHING = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -153,9 +154,12 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     place = names.index(text_col)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            labels, scores = sent.value.predict(batch.column(place).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                labels, scores = sent.value.predict(batch.column(place).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*names, "lang_pred", "score"])
+        pa.default_memory_pool().release_unused()  # the worker stays for other stages
 
     kept = docs.select(*names)
     return kept.mapInArrow(predict, StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
@@ -168,8 +172,8 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     A score, however low, drops nothing. An empty table gives an empty one.
     """
     model = train(docs.select("doc_id", "text", "lang"))
-    found = identify(docs.select(F.col("text").alias("read"), F.struct("*").alias("row")), model, "read")
-    return found.where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    own = docs.select(*[F.col(c).alias(f"own_{c}") for c in docs.columns])  # so that no name clashes, and a text is sent once
+    return identify(own, model, "own_text").where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"own_{c}").alias(c) for c in docs.columns])
 
 
 def op9_language(spark, sf):
