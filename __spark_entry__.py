@@ -231,6 +231,33 @@ def statements_namespaces(spark, sf):
     return spark.read.parquet(f"{output}/quads").select("language", "subject", "value")
 
 
+def statements_one_language_again(spark, sf):
+    """The statements job by language, run again for the German dumps alone, whose pages have another category then."""
+    output, again = stage_path(spark, "statements"), stage_path(spark, "again")
+    jobs.extract_statements(spark, _written_dumps(spark, sf, _wikitext()), output, by_language=True)
+    text = F.concat(F.lit("[[Kategorie:Neu "), "source", F.lit("]]"))
+    records = _page_records(spark, sf, text).where("lang = 'de'").select(F.lit("dewiki").alias("wiki"), "page_xml")
+    records.write.partitionBy("wiki").text(again)
+    jobs.extract_statements(spark, again, output, mode="replace", by_language=True)
+    return spark.read.parquet(f"{output}/quads").select("language", "subject", "value")
+
+
+def job_counts(spark, sf):
+    """What the jobs report of good and rejected records, counted in the pass that writes their tables."""
+    dumps, lines = stage_path(spark, "dumps"), stage_path(spark, "lines")
+    records = _page_records(spark, sf)
+    number = F.regexp_extract("page_xml", r"<id>(\d+)</id>", 1).cast("long") % 4
+    bare = F.concat(F.regexp_extract("page_xml", r"(?s)^(.*?)<revision>", 1), F.lit("</page>"))
+    cut = F.concat(F.expr("left(page_xml, length(page_xml) - 30)"), F.lit("</page>"))
+    damaged = records.select(F.concat("lang", F.lit("wiki")).alias("wiki"), F.when(number == 1, cut).when(number == 2, bare).otherwise(F.col("page_xml")))
+    damaged.write.partitionBy("wiki").text(dumps)
+    _damaged_entities(spark, sf).write.text(lines)
+    pages = jobs.extract_statements(spark, dumps, stage_path(spark, "statements"))
+    entities = jobs.extract_entities(spark, lines, stage_path(spark, "entities"))
+    rows = [(job, name, n) for job, figures in (("statements", pages), ("entities", entities)) for name, n in figures.items() if n]
+    return spark.createDataFrame(rows, "job string, name string, records long")
+
+
 def cut_dump_rejects(spark, sf):
     """A dump for each source in bz2, in several files, cut off after the first revision of its last page."""
     dumps = stage_path(spark, "dumps")
@@ -319,7 +346,7 @@ def claim_rejects(spark, sf):
     return ent.claim_rejects(_parsed(_event_entities(spark, sf)))
 
 
-def entity_rejects(spark, sf):
+def _damaged_entities(spark: SparkSession, sf: str) -> DataFrame:
     line = F.format_string('{"id":"Q%d","type":"item","labels":{"%s":{"language":"%s","value":"%s"}}}', "doc_id", "lang", "lang", "source")
     number = F.col("doc_id") % 10
     damaged = (
@@ -330,8 +357,11 @@ def entity_rejects(spark, sf):
         .when(number == 7, F.replace("line", F.lit('"id":'), F.lit('"no":')))
         .otherwise(F.col("line"))
     )
-    lines = _table(spark, sf, "documents").withColumn("line", line).select(damaged.alias("value"))
-    return pg.split_rejects(ent.parse_entities(entity_lines(lines)), "entities")[1]
+    return _table(spark, sf, "documents").withColumn("line", line).select(damaged.alias("value"))
+
+
+def entity_rejects(spark, sf):
+    return pg.split_rejects(ent.parse_entities(entity_lines(_damaged_entities(spark, sf))), "entities")[1]
 
 
 def _mixed_entities(spark: SparkSession, sf: str) -> DataFrame:
@@ -564,7 +594,7 @@ def queries() -> dict[str, Query]:
             tokens, tokens_unicode, tokens_singular, term_counts, document_lengths, corpus_size,
             document_frequency, rarest_terms, vocabulary, tfidf, tfidf_capped, document_vectors,
             stop_words, stop_words_before_rule, stop_word_table, normalized_terms, union_all,
-            page_round_trip, dump_languages, page_words, filter_articles, statements, statements_job, statements_namespaces, cut_dump_rejects, page_rejects,
+            page_round_trip, dump_languages, page_words, filter_articles, statements, statements_job, statements_namespaces, statements_one_language_again, job_counts, cut_dump_rejects, page_rejects,
             entity_labels, entity_labels_strict, entity_sitelinks, entity_claims, entity_claims_strict,
             claim_rejects, entity_rejects, entity_mixed_members, label_rejects, sitelink_rejects, member_rejects, entities_job,
             scale_rows, normalize_rows, matrix_row, top_entries,
@@ -740,6 +770,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM q WHERE text <> '' AND NOT contains(title, 'disambiguation') AND NOT contains(title, ':')""",
         "statements": _STATEMENTS,
         "statements_job": _STATEMENTS,
+        "statements_one_language_again": f"""SELECT language, subject, value FROM ({_STATEMENTS}) WHERE language <> 'de'
+            UNION ALL SELECT 'de', 'http://de.dbpedia.org/resource/Doc_' || doc_id || '_(' || source || ')',
+              'http://de.dbpedia.org/resource/Kategorie:Neu_' || source FROM documents WHERE lang = 'de'""",
+        "job_counts": """WITH p AS (SELECT CASE doc_id % 4 WHEN 1 THEN 'malformed page' WHEN 2 THEN 'page without revision' ELSE 'good' END AS name FROM documents),
+            e AS (SELECT CASE WHEN k IN (3, 4) THEN 'malformed line' WHEN k = 6 THEN 'entity without type' WHEN k = 7 THEN 'entity without id' ELSE 'good' END AS name
+              FROM (SELECT doc_id % 10 AS k, unnest(CASE WHEN doc_id % 10 = 4 THEN list_filter(string_split(text, chr(10)), lambda x, i: i = 1 OR trim(x, ' ,' || chr(9) || chr(13)) NOT IN ('', '[', ']')) ELSE ['x'] END) FROM documents)
+              WHERE k <> 5)
+            SELECT 'statements' AS job, name, count(*) AS records FROM p GROUP BY name UNION ALL SELECT 'entities', name, count(*) FROM e GROUP BY name""",
         "page_rejects": """WITH h AS (SELECT doc_id, '  <page>' || chr(10) || '    <title>Doc ' || doc_id || ' (' || source || ')</title>' || chr(10)
               || '    <ns>0</ns>' || chr(10) || '    <id>' || doc_id || '</id>' || chr(10) || '    ' AS open,
               '<revision><id>' || (doc_id + 1000) || '</id><text xml:space="preserve">'

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pageloom.functions.binding import bind
-from pageloom.operators.pages import REJECT_HEAD, split_rejects  # noqa: F401
+from pageloom.operators.pages import REJECT_HEAD, counted, split_rejects  # noqa: F401
 
+# Why a line is rejected.
+ENTITY_REASONS = ("malformed line", "entity without id", "entity without type")
 TEXT = "struct<language: string, value: string>"
 LINK = "struct<site: string, title: string, url: string>"
 STATEMENT = "struct<mainsnak: struct<snaktype: string, property: string, datatype: string, datavalue: struct<type: string, value: string>>>"
@@ -29,7 +31,7 @@ def parse_entities(lines: DataFrame) -> DataFrame:
     taken apart member by member.
     """
     typed = bind(lines.select("value"), "t", F.from_json(_with_objects("value"), TYPED_SCHEMA, OPTIONS))
-    whole = typed.select("value", "t", F.coalesce(F.col("t.damaged").isNull() & _no_null_member(), F.lit(False)).alias("whole"))
+    whole = typed.select("value", "t", F.coalesce(F.col("t").isNotNull() & F.col("t.damaged").isNull() & _no_null_member(), F.lit(False)).alias("whole"))
     parsed = bind(whole, "e", F.when(~F.col("whole"), F.from_json("value", ENTITY_SCHEMA, OPTIONS)))
     broken = F.col("e").isNull() | (F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull())
     own = lambda n: F.when(F.col("whole"), F.col(f"t.{n}")).otherwise(F.col(f"e.{n}"))

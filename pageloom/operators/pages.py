@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from pageloom.functions.binding import bind
 from pageloom.functions.text import non_word_to_space
 
+# Why a record is rejected.
+PAGE_REASONS = ("cut page", "malformed page", "page without revision", "page without id")
 PAGE_SCHEMA = "title string, ns int, id long, revision array<struct<id: long, text: string>>, damaged string"
 REJECT_HEAD = 100
 
@@ -54,6 +56,16 @@ def split_rejects(parsed: DataFrame, source: str) -> tuple[DataFrame, DataFrame]
     return good, rejects
 
 
+def counted(parsed: DataFrame, observation: Observation, reasons: tuple[str, ...]) -> DataFrame:
+    """``parsed`` as it is, counting on its way good records and rejected ones by reason: one pass gives rows and figures.
+
+    ``observation.get`` has them once an action has run: ``good``, one figure by reason, and ``other`` for reasons that aren't listed.
+    """
+    number = lambda c: F.coalesce(F.count_if(c), F.lit(0))
+    figures = [number(F.col("reason").isNull()).alias("good"), *[number(F.col("reason") == r).alias(r) for r in reasons]]
+    return parsed.observe(observation, *figures, number(~F.col("reason").isin(*reasons)).alias("other"))
+
+
 def filter_articles(pages: DataFrame) -> DataFrame:
     """Pages with text whose title is neither a disambiguation nor namespaced."""
     return pages.where(

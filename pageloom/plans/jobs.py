@@ -9,28 +9,34 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from pageloom.operators import entities as ent
 from pageloom.operators.lsa import Lsa, lsa, relevance_table
-from pageloom.operators.pages import filter_articles, parse_pages, split_rejects
+from pageloom.operators.pages import PAGE_REASONS, counted, filter_articles, parse_pages, split_rejects
 from pageloom.operators.quads import marked_lines, quads_of_lines
 from pageloom.functions.text import singular_english, tokenize
 from pageloom.operators.terms import drop_stop_words, keep_documents, normalize_terms
 from pageloom.sources.dumps import category_names, list_languages, read_pages
 from pageloom.sources.entities import read_entities
-from pageloom.sources.tables import write_tables
+from pageloom.sources.tables import Layout, write_tables
 from pageloom.sources.words import read_words
 from pageloom.staging import drop_staged, stage
 
 
 def extract_statements(
-    spark: SparkSession, dumps: str | list[str], output: str, namespaces: dict[str, str] | None = None, mode: str = "errorifexists"
-) -> None:
-    """Page dumps to ``output/quads`` and ``output/rejects``.
+    spark: SparkSession,
+    dumps: str | list[str],
+    output: str,
+    namespaces: dict[str, str] | None = None,
+    mode: str = "errorifexists",
+    by_language: bool = False,
+) -> dict[str, int]:
+    """Page dumps to ``output/quads`` and ``output/rejects``; how many pages are good, and how many are rejected for each reason.
 
-    Dumps are parsed once; only headings and category lines are staged. Before that the category
-    names are looked up in the dumps' headers, unless a dictionary gives them.
+    Dumps are parsed once, and the pages are counted on the way; only headings and category lines are staged. Before that the category
+    names are looked up in the dumps' headers, unless a dictionary gives them. ``by_language`` writes both tables in
+    partitions of a language, the quads of each in ranges of their subjects; mode ``replace`` then replaces the languages of these dumps and leaves others alone.
     """
     if list_languages(spark, dumps).isEmpty():
         raise ValueError(f"no dump with a language in its name under {dumps}")
@@ -39,9 +45,14 @@ def extract_statements(
     marked = None
     try:
         pages = parse_pages(read_pages(spark, dumps)).select(columns)
-        marked = stage(marked_lines(pages, namespaces if names is None else names), "lines")
+        found = Observation()
+        marked = stage(marked_lines(counted(pages, found, PAGE_REASONS), namespaces if names is None else names), "lines")
         good, rejects = split_rejects(marked, "pages")
-        write_tables({"quads": quads_of_lines(good), "rejects": rejects}, output, mode)
+        layouts = {"quads": Layout(("language",), ("subject", "value")), "rejects": Layout(("language",))} if by_language else {}
+        if by_language:
+            rejects = marked.where("reason IS NOT NULL").select(F.col("lang").alias("language"), F.lit("pages").alias("source"), "reason", "head")
+        write_tables({"quads": quads_of_lines(good), "rejects": rejects}, output, mode, layouts)
+        return found.get
     finally:
         for table in (names, marked):
             if table is not None:
@@ -61,15 +72,17 @@ def entity_tables(parsed: DataFrame, strict: bool = False) -> dict[str, DataFram
 
 def extract_entities(
     spark: SparkSession, lines: str | list[str], output: str, strict: bool = False, mode: str = "errorifexists"
-) -> None:
-    """Entity lines to ``labels``, ``sitelinks``, ``claims`` and ``rejects`` under ``output``.
+) -> dict[str, int]:
+    """Entity lines to ``labels``, ``sitelinks``, ``claims`` and ``rejects`` under ``output``; how many lines are good, and how many are rejected for each reason.
 
-    The parsed lines are staged as columns: the input is read and parsed once, and
+    The parsed lines are staged as columns, and counted on the way: the input is read and parsed once, and
     each table then reads only the columns it needs.
     """
-    parsed = stage(ent.parse_entities(read_entities(spark, lines)), "entities")
+    found = Observation()
+    parsed = stage(counted(ent.parse_entities(read_entities(spark, lines)), found, ent.ENTITY_REASONS), "entities")
     try:
         write_tables(entity_tables(parsed, strict), output, mode)
+        return found.get
     finally:
         drop_staged(parsed)
 
@@ -148,7 +161,9 @@ def main(argv: list[str] | None = None) -> None:
         job = jobs.add_parser(name)
         job.add_argument("input")
         job.add_argument("output")
-        job.add_argument("--mode", default="errorifexists")
+        job.add_argument("--mode", default="errorifexists", help="also replace, for statements by language")
+        if name == "statements":
+            job.add_argument("--by-language", action="store_true", help="partitions of a language")
         if name == "entities":
             job.add_argument("--strict", action="store_true")
         if name == "concepts":
@@ -164,9 +179,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"pageloom {args.job}").getOrCreate()
     if args.job == "statements":
-        extract_statements(spark, args.input, args.output, mode=args.mode)
+        print(extract_statements(spark, args.input, args.output, mode=args.mode, by_language=args.by_language))
     elif args.job == "entities":
-        extract_entities(spark, args.input, args.output, args.strict, args.mode)
+        print(extract_entities(spark, args.input, args.output, args.strict, args.mode))
     else:
         lemmas = spark.read.csv(args.lemmas, sep="\t", schema="lang string, term string, lemma string") if args.lemmas else None
         analyse_concepts(

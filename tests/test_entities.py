@@ -1,6 +1,8 @@
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.operators import entities as ent
 from pageloom.operators.pages import split_rejects
@@ -40,6 +42,7 @@ MIXED = {
 }
 ONE = {"id": "Q2", "type": "property", "labels": {"en": {"language": "en", "value": "one"}}, "claims": {"P2": [snak("P2", "string", "string", "only")]}}
 NONE = {"id": "Q3", "type": "item", "labels": {"en": {"language": "en", "value": "none"}}, "descriptions": {}, "sitelinks": "odd", "claims": []}
+PLAIN = '{"mainsnak":{"snaktype":"value","property":"%s","datatype":"string","datavalue":{"type":"string","value":"plain"}}}'
 BAD = [
     json.dumps(PARIS)[:-7],
     "junk line " * 30,
@@ -135,3 +138,58 @@ def test_a_bad_member_costs_itself_only(spark):
         ("claims", "mistyped member of claims", "Q1 P2"), ("claims", "mistyped member of claims", "Q1 P3"), ("claims", "mistyped statement", "Q1 P1"),
         ("labels", "mistyped member of labels", "Q1 de"), ("labels", "mistyped member of labels", "Q1 fr"), ("sitelinks", "sitelinks is no object", "Q1"),
     ]
+
+
+def test_both_ways_of_parsing_agree(spark, monkeypatch):
+    """Lines of all sorts give the same tables whether or not a well-formed one may take the short way."""
+    rng = random.Random(8)
+    text = lambda lang: rng.choice([f'{{"language":"{lang}","value":"v \\\\u00e9 {lang}"}}', f'{{"value":1.50,"language":"{lang}","x":[]}}', '"bad"', "null", "7", "[]", "{}"])
+    value = lambda: rng.choice(['"s"', '{"b":1.0,"a":[2, 3],"labels":[]}', '{"id":"Q5","labels" : [ ]}', "12e1", "null", '" [] "', "true"])
+    kind = lambda: rng.choice(["string", "wikibase-entityid", "other"])
+    snak = lambda p: rng.choice([
+        f'{{"mainsnak":{{"snaktype":"value","property":"{p}","datatype":"d","datavalue":{{"type":"{kind()}","value":{value()}}}}},"rank":"normal"}}',
+        f'{{"mainsnak":{{"snaktype":"novalue","property":"{p}","datatype":"d"}}}}', "5", "null", '{"mainsnak":3}', "{}", '"x"',
+    ])
+    good = 6  # the first of the choices most of the time, so that many lines are well formed
+    often = lambda make, *args: make(*args) if rng.random() < 0.25 else None
+
+    def field(name, members):
+        shape = rng.randrange(12)
+        if shape < good:
+            return f'"{name}":{{{members}}}'
+        return {6: f'"{name}":[]', 7: f'"{name}" : [ ]', 8: None, 9: f'"{name}":null', 10: f'"{name}":{{}}', 11: f'"{name}":"odd"'}[shape]
+
+    def line(i):
+        labels = ",".join(f'"{x}":' + (often(text, x) or f'{{"language":"{x}","value":"plain"}}') for x in ("en", "de")[: rng.randrange(3)])
+        links = ",".join(f'"{x}":' + rng.choice([f'{{"site":"{x}","title":"T","url":"u","badges":[]}}'] * 4 + [f'{{"site":"{x}"}}', "7", "null"]) for x in ("enwiki", "dewiki")[: rng.randrange(3)])
+        claims = ",".join(
+            f'"{p}":' + rng.choice([f"[{','.join(often(snak, p) or PLAIN % p for _ in range(rng.randrange(3)))}]"] * 5 + ["null", '"junk"', "{}"]) for p in ("P1", "P2")[: rng.randrange(3)]
+        )
+        parts = [f'"id":"Q{i}"' if i % 17 else None, '"type":"item"' if i % 19 else None, field("labels", labels), field("descriptions", labels), field("sitelinks", links), field("claims", claims), '"other":[1,{"labels":[]}]']
+        rng.shuffle(parts)
+        whole = "{" + ",".join(p for p in parts if p) + "}"
+        return whole[: rng.randrange(len(whole))] if i % 23 == 0 else whole
+
+    lines = spark.createDataFrame([(line(i),) for i in range(700)], "value string")
+    tables = (ent.entity_labels, ent.entity_sitelinks, ent.entity_claims, ent.claim_rejects, ent.label_rejects, ent.sitelink_rejects, ent.member_rejects)
+
+    def results():
+        parsed = ent.parse_entities(lines).cache()
+        kept, rejects = split_rejects(parsed, "entities")
+        return [rows(t(kept)) for t in tables] + [rows(t(kept, strict=True)) for t in tables[:3]] + [rows(rejects)]
+
+    short = results()
+    assert all(short[k] for k in range(len(tables)))
+    monkeypatch.setattr(ent, "_no_null_member", lambda: F.lit(False))
+    long = results()
+    assert [k for k in range(len(short)) if short[k] != long[k]] == [], [sorted(set(a) ^ set(b), key=repr)[:6] for a, b in zip(short, long) if a != b]
+
+
+def test_well_formed_lines_take_the_short_way(spark):
+    """Fields that are ``[]`` count as well formed; a value that holds such a field stays as it is."""
+    line = '{"type":"item","id":"Q1","labels":[],"claims":{"P1":[%s]},"sitelinks":[ ]}' % (PLAIN % "P1").replace('"plain"', '{"labels":[],"b":1.0,"a":[2, 3]}')
+    df = spark.createDataFrame([(line,)], "value string")
+    assert df.select(ent._with_objects("value").alias("v")).first()["v"].count("[]") == 1
+    whole = ent.bind(df, "t", F.from_json(ent._with_objects("value"), ent.TYPED_SCHEMA, ent.OPTIONS))
+    assert whole.select((F.col("t.damaged").isNull() & ent._no_null_member()).alias("w")).first()["w"]
+    assert [r["value"] for r in ent.entity_claims(ent.parse_entities(df)).collect()] == ['{"labels":[],"b":1.0,"a":[2,3]}']
