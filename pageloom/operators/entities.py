@@ -30,7 +30,7 @@ def parse_entities(lines: DataFrame) -> DataFrame:
     at all is rejected. A line whose members are all of the right type is parsed once (twice with a field that is ``[]``), and only others are
     taken apart member by member.
     """
-    typed = bind(lines.select("value"), "t", F.from_json(_with_objects("value"), TYPED_SCHEMA, OPTIONS))
+    typed = bind(_fields(lines), "t", F.from_json(_with_objects(), TYPED_SCHEMA, OPTIONS))
     whole = typed.select("value", "t", F.coalesce(F.col("t").isNotNull() & F.col("t.damaged").isNull() & _no_null_member(), F.lit(False)).alias("whole"))
     parsed = bind(whole, "e", F.when(~F.col("whole"), F.from_json("value", ENTITY_SCHEMA, OPTIONS)))
     broken = F.col("e").isNull() | (F.col("e.damaged").isNotNull() & F.try_parse_json("value").isNull())
@@ -53,18 +53,22 @@ def parse_entities(lines: DataFrame) -> DataFrame:
     )
 
 
-def _with_objects(value: str) -> Column:
+def _fields(lines: DataFrame) -> DataFrame:
+    """``value`` with the fields ``f`` of lines that seem to have one which is ``[]``; null for all others."""
+    return bind(lines.select("value"), "f", F.when(F.rlike("value", F.lit(EMPTY_FIELD)), F.from_json("value", ENTITY_SCHEMA, OPTIONS)))
+
+
+def _with_objects() -> Column:
     """A line with nothing in place of its fields that are ``[]``; lines without such a field, most of them, stay as they are.
 
     Text that only looks like such a field may stand inside of a value, so the fields are told apart by parsing, and what they hold stays as it is.
     """
-    fields = F.from_json(value, ENTITY_SCHEMA, OPTIONS)
-    texts = F.map_from_arrays(F.array(*[F.lit(n) for n in ("id", "type")]), F.array(*[fields[n] for n in ("id", "type")]))
-    parts = [F.nullif(F.btrim(F.to_json(F.map_filter(texts, lambda _, v: v.isNotNull())), F.lit("{}")), F.lit(""))]
+    names = F.to_json(F.struct("f.id", "f.type"))
+    parts = [F.nullif(F.substring(names, F.lit(2), F.length(names) - 2), F.lit(""))]
     for n in NAMES:
-        parts.append(F.when(fields[n].isNotNull() & ~F.rlike(fields[n], F.lit(r"^\[\s*\]$")), F.concat(F.lit(f'"{n}":'), fields[n])))
-    rebuilt = F.when(fields["damaged"].isNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
-    return F.when(F.rlike(value, F.lit(EMPTY_FIELD)), rebuilt).otherwise(F.col(value))
+        parts.append(F.when(~F.rlike(f"f.{n}", F.lit(r"^\[\s*\]$")), F.concat(F.lit(f'"{n}":'), F.col(f"f.{n}"))))
+    rebuilt = F.when(F.col("f.damaged").isNull(), F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")))
+    return F.when(F.col("f").isNotNull(), rebuilt).otherwise(F.col("value"))
 
 
 def _no_null_member() -> Column:

@@ -189,7 +189,7 @@ def test_well_formed_lines_take_the_short_way(spark):
     """Fields that are ``[]`` count as well formed; a value that holds such a field stays as it is."""
     line = '{"type":"item","id":"Q1","labels":[],"claims":{"P1":[%s]},"sitelinks":[ ]}' % (PLAIN % "P1").replace('"plain"', '{"labels":[],"b":1.0,"a":[2, 3]}')
     df = spark.createDataFrame([(line,)], "value string")
-    assert df.select(ent._with_objects("value").alias("v")).first()["v"].count("[]") == 1
-    whole = ent.bind(df, "t", F.from_json(ent._with_objects("value"), ent.TYPED_SCHEMA, ent.OPTIONS))
+    assert ent._fields(df).select(ent._with_objects().alias("v")).first()["v"].count("[]") == 1
+    whole = ent.bind(ent._fields(df), "t", F.from_json(ent._with_objects(), ent.TYPED_SCHEMA, ent.OPTIONS))
     assert whole.select((F.col("t.damaged").isNull() & ent._no_null_member()).alias("w")).first()["w"]
     assert [r["value"] for r in ent.entity_claims(ent.parse_entities(df)).collect()] == ['{"labels":[],"b":1.0,"a":[2,3]}']
