@@ -1,6 +1,7 @@
 """From raw documents to packed sequences: language, exact and near duplicates, mixture, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again for the next one.
+A null text counts as an empty one, ids and sources may be null or repeat, further columns pass, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -16,22 +17,22 @@ from pageloom.llm.scratch import Scratch
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no language that stands out, go."""
+    """Documents without a letter, null and empty texts among them, go; no score is too low to stay."""
     return keep_identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for white space one stays."""
+    """Of texts that are equal but for white space the longest stays, then that of the smallest id; of rows alike one."""
     return keep_exact(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more of five-word shingles one stays."""
+    """Of documents linked by a Jaccard similarity of 0.8 or more of five-word shingles that of the smallest id stays; texts without a word all stay."""
     return keep_one(docs, size=5, num=80, den=100)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of a mixture; a source's target grows with the logarithm of its rows, and one that runs out leaves its weight to the others."""
+    """All documents in the order of a mixture; a source's target grows with the logarithm of its rows, and one that runs out leaves its weight to the others. A null source is a source."""
     return mixed(docs, weights=damped())
 
 
