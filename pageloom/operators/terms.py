@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pageloom.functions.binding import bind
 from pageloom.functions.text import singular_english, tokenize
+from pageloom.operators.ranking import first_rows
 from pageloom.staging import stage
 
 # Tables up to this size are broadcast; a row is a term or two and a few numbers, so
@@ -183,14 +184,14 @@ def document_frequency(docs: DataFrame, keep: int | None = None, order: str = "m
     """``term, df``: in how many documents each term occurs.
 
     ``keep`` leaves that many terms, the most frequent or with ``order='rarest'``
-    the rarest ones; ties go to the lower term.
+    the rarest ones; ties go to the lower term. Very many terms may tie at the last place, so they are ranked in rounds.
     """
     df = docs.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     if keep is None:
         return df
     if order == "rarest":
-        return _rare_enough(df, keep).orderBy("df", "term").limit(keep)
-    return _frequent_enough(df, keep).orderBy(F.desc("df"), "term").limit(keep)
+        return first_rows(_rare_enough(df, keep), [F.asc("df"), F.asc("term")], keep)
+    return first_rows(_frequent_enough(df, keep), [F.desc("df"), F.asc("term")], keep)
 
 
 def _frequent_enough(counted: DataFrame, n: int) -> DataFrame:
