@@ -19,9 +19,10 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .scratch import Members, Scratch
-from .spans import cut_texts, gather, merge, text_batches
+from .spans import covered, cut_texts, gather, merge, runs, text_batches
 
 LENGTH = 400
+SHORT = 200
 GRAM = 32
 PIECE_BYTES = 1 << 19
 COLLECTION_ROWS = 8192
@@ -305,31 +306,67 @@ def _sides(place: int, first: int, last: int, length: int, hot: bool) -> Iterato
         yield 2, max(first, half + 1), last
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
+def nested_spans(
+    docs: DataFrame, scratch: Scratch, length: int, short: int, gram: int, hot_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """The spans of ``repeated_spans`` for strings of ``short`` and of ``length`` bytes, of ``docs`` with ``key, text``.
+
+    Every part of a repeated string is repeated too, so all places of a long one lie in runs of bytes that repeated short ones
+    cover. The long ones are looked for in these runs, as texts of their own, instead of in all texts again.
+    """
+    own = Scratch(docs.sparkSession, "repeats-short")
+    near = scratch.keep(repeated_spans(docs, "key", "text", own, short, gram, hot_rows), "short-spans", release=True)
+    scratch.drop(own.path)
+    parts = runs(docs, "text", "key", gather(near, "key"), length)
+    # A run is named by its text's key, of 32 bytes, and its start.
+    name = F.concat("key", F.unhex(F.lpad(F.hex("start"), 16, "0")))
+    parts = scratch.keep(parts.select(name.alias("key"), F.col("bytes").alias("text")), "runs", release=True)
+    start = F.conv(F.hex(F.substring("key", 33, 8)), 16, 10).cast("long")
+    far = repeated_spans(parts, "key", "text", scratch, length, gram, hot_rows)
+    return near, far.select(F.substring("key", 1, 32).alias("key"), (F.col("start") + start).alias("start"), (F.col("end") + start).alias("end"))
+
+
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot_rows: int = HOT_ROWS, short: int | None = None
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, with ``short`` also ``n_repeated``.
 
     Every byte covered by a string of ``length`` bytes that also starts elsewhere, in any row, is removed; overlaps count. A
     text that several rows have is compared with others once; all of it is removed from each of them if it has
-    ``length`` bytes. Null is empty; ids may be null or repeat.
+    ``length`` bytes. Null is empty; ids may be null or repeat. ``n_repeated`` counts in the same way the bytes
+    covered by strings of ``short`` bytes (at least 2 x ``gram``, at most ``length``), which marks passages too short to be removed; it removes nothing.
     """
+    if not 2 * gram <= (length if short is None else short) <= length:  # the marks of hot anchors lie within half a string
+        raise ValueError("strings need at least 2 * gram bytes, and short at most length")
     scratch = Scratch(docs.sparkSession, "repeats")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("key", F.unhex(F.sha2("text", 256)))
     marks = scratch.keep(rows.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes")), "marks")
     copies = scratch.keep(marks.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
-    spans = scratch.keep(repeated_spans(rows, "key", "text", scratch, length, gram, hot_rows), "spans")
+    if short is None:
+        near, spans = None, repeated_spans(rows, "key", "text", scratch, length, gram, hot_rows)
+    else:
+        near, spans = nested_spans(rows.select("key", "text"), scratch, length, short, gram, hot_rows)
+    spans = scratch.keep(spans, "spans")
     partial = scratch.keep(gather(spans.join(copies, "key", "left_anti"), "key"), "gathered")
     cut = scratch.keep(cut_texts(rows, "text", "key", partial), "cut")
     empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # SHA-256 of nothing
     whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
     nothing = F.lit(0).cast("long")
-    return marks.join(copies, "key", "left").join(cut, "key", "left").select(
+    out = marks.join(copies, "key", "left").join(cut, "key", "left")
+    more = []
+    if near is not None:
+        sizes = covered(gather(near.join(copies, "key", "left_anti"), "key")).withColumnRenamed("n_bytes", "n_near")
+        out = out.join(scratch.keep(sizes, "near"), "key", "left")
+        same = F.col("copies").isNotNull() & (F.col("n_bytes") >= short)
+        more = [F.when(same, F.col("n_bytes")).otherwise(F.coalesce("n_near", nothing)).alias("n_repeated")]
+    return out.select(
         "doc_id", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", nothing)).alias("n_removed"),
         F.when(whole, nothing + 1).otherwise(F.coalesce("n_spans", nothing)).alias("n_spans"),
-        F.when(whole, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key")))).alias("kept_sha256"),
+        F.when(whole, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key")))).alias("kept_sha256"), *more,
     )
 
 
 def op10_repeats(spark, sf):
-    return remove_repeats(spark.read.parquet(f"{sf}/documents.parquet"))
+    return remove_repeats(spark.read.parquet(f"{sf}/documents.parquet"), short=SHORT)

@@ -50,11 +50,11 @@ def gather(spans: DataFrame, key: str) -> DataFrame:
     return spans.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
-def cut_texts(docs: DataFrame, text_col: str, key_col: str, spans: DataFrame) -> DataFrame:
-    """``key, n_removed, n_spans, kept_sha256`` of every text that has spans.
+def texts_with_spans(docs: DataFrame, text_col: str, key_col: str, spans: DataFrame, once: bool = False) -> DataFrame:
+    """``key``, text and ``spans`` of every text that has spans.
 
-    ``docs`` has one row for each key in ``spans`` at least; a filter of fixed size keeps
-    the texts of most other rows out of the shuffle.
+    ``docs`` has one row for each key in ``spans`` at least; with ``once`` rows of one key are the same text, which is
+    taken once, and tasks keep one of each before they send any. A filter of fixed size keeps the texts of most other rows out of the shuffle.
     """
     members = Members(spans.select(F.xxhash64("key").alias("slot")), "slot")
 
@@ -64,6 +64,13 @@ def cut_texts(docs: DataFrame, text_col: str, key_col: str, spans: DataFrame) ->
 
     rows = docs.select(F.col(key_col).alias("key"), text_col, F.xxhash64(key_col).alias("slot"))
     kept = rows.mapInArrow(held, docs.select(F.col(key_col).alias("key"), text_col).schema)
+    if once:
+        kept = kept.dropDuplicates(["key"])
+    return kept.join(spans, "key").select("key", text_col, "spans")
+
+
+def cut_texts(docs: DataFrame, text_col: str, key_col: str, spans: DataFrame) -> DataFrame:
+    """``key, n_removed, n_spans, kept_sha256`` of every text that has spans; ``docs`` has one row for each key in ``spans`` at least."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, 1):
@@ -74,6 +81,35 @@ def cut_texts(docs: DataFrame, text_col: str, key_col: str, spans: DataFrame) ->
             removed, count, sha = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha)], ["key", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = kept.join(spans, "key").select("key", text_col, "spans")
     key_type = dict(docs.select(F.col(key_col).alias("key")).dtypes)["key"]
+    joined = texts_with_spans(docs, text_col, key_col, spans)
     return joined.mapInArrow(cut, f"key {key_type}, n_removed long, n_spans long, kept_sha256 string")
+
+
+def covered(spans: DataFrame) -> DataFrame:
+    """``key, n_bytes`` from the result of :func:`gather`: how many bytes of a text its spans cover."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [sum(e - s for s, e in merge([(x["start"], x["end"]) for x in own])) for own in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["key", "n_bytes"])
+
+    return spans.select("key", "spans").mapInArrow(count, f"key {dict(spans.dtypes)['key']}, n_bytes long")
+
+
+def runs(docs: DataFrame, text_col: str, key_col: str, spans: DataFrame, least: int) -> DataFrame:
+    """``key, start, bytes``: the maximal runs of at least ``least`` bytes that the spans of a text cover, once for each key."""
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_batches(batches, 1):
+            keys, starts, parts = [], [], []
+            for key, text, own in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), strict=True):
+                for start, end in merge([(s["start"], s["end"]) for s in own]):
+                    if end - start >= least:
+                        keys.append(key)
+                        starts.append(start)
+                        parts.append(text[start:end])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(starts, pa.int64()), pa.array(parts, pa.binary())], ["key", "start", "bytes"])
+
+    key_type = dict(docs.select(F.col(key_col).alias("key")).dtypes)["key"]
+    return texts_with_spans(docs, text_col, key_col, spans, once=True).mapInArrow(take, f"key {key_type}, start long, bytes binary")

@@ -10,6 +10,8 @@ from pageloom.llm.repeats import anchors, remove_repeats, repeated_windows
 
 
 def brute(rows, length):
+    """In the order of the rows' ids and texts, whatever the length."""
+    rows = sorted(rows, key=lambda r: (repr(r["doc_id"]), r["text"] or ""))
     texts = [(r["text"] or "").encode() for r in rows]
     counts = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []
@@ -20,11 +22,16 @@ def brute(rows, length):
                 gone[i : i + length] = True
         spans = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
         out.append((r["doc_id"], len(t), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
-    return sorted(out, key=repr)
+    return out
 
 
-def check(df, length=repeats.LENGTH, **options):
-    assert sorted((tuple(r) for r in remove_repeats(df, length=length, **options).collect()), key=repr) == brute(df.collect(), length)
+def check(df, length=repeats.LENGTH, short=None, **options):
+    expected = brute(df.collect(), length)
+    if short is not None:
+        covered = [r[2] for r in brute(df.collect(), short)]
+        expected = [(*r, n) for r, n in zip(expected, covered, strict=True)]
+    got = remove_repeats(df, length=length, short=short, **options)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(expected, key=repr)
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +44,7 @@ def overlapping(make_docs):
     return make_docs(rows)
 
 
-@pytest.mark.parametrize("options", [{}, {"hot_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 1}, {"short": 20}, {"short": 16, "hot_rows": 1}, {"short": 40}])
 def test_against_every_window(overlapping, options):
     check(overlapping, 40, gram=8, **options)
 
@@ -54,14 +61,30 @@ def test_odd_rows(make_docs):
     line = "Passage that is found in several places of the corpus, number "
     rows = [(1, None, "en", "a"), (2, "", "en", "a"), (3, line * 9, "en", "a"), (3, line * 9, "en", "a"), (None, line * 8 + "end", "en", "a"), (None, None, None, None), (4, "start " + line * 7, "en", "b"), (5, "é" * 700, "fr", "b"), (6, " ".join(map(str, range(3000))), "en", "b")]
     check(make_docs(rows))
+    check(make_docs(rows), short=repeats.SHORT)
 
 
 def test_sample(sample):
-    check(sample[1])
+    check(sample[1], short=repeats.SHORT)
 
 
 def test_empty(no_docs):
-    assert remove_repeats(no_docs).count() == 0
+    assert remove_repeats(no_docs).count() == remove_repeats(no_docs, short=repeats.SHORT).count() == 0
+
+
+def test_short_passages(make_docs):
+    """A passage of over 50 words that has fewer bytes than a string to be removed is counted, and stays."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    passage = " ".join(word() for _ in range(52))
+    assert repeats.SHORT < len(passage) < repeats.LENGTH
+    text = lambda: " ".join(word() for _ in range(60))
+    docs = make_docs([(i, f"{text()} {passage if i < 5 else text()} {text()}", "en", "a") for i in range(9)])
+    found = {r["doc_id"]: r for r in remove_repeats(docs, short=repeats.SHORT).collect()}
+    assert all(found[i]["n_repeated"] >= len(passage) and found[i]["n_removed"] == 0 for i in range(5))
+    assert all(found[i]["n_repeated"] == 0 for i in range(5, 9))
+    with pytest.raises(ValueError):
+        remove_repeats(docs, short=repeats.LENGTH + 1)
 
 
 def test_windows_cover_once():
