@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import io
 import re
+import zlib
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
@@ -152,21 +153,73 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT_BYTES) ->
     scratch.drop(firsts)
 
 
+class _Unzipped(io.RawIOBase):
+    """The bytes of a gzipped file up to where it is cut or damaged; ``problem`` says which."""
+
+    def __init__(self, content: bytes) -> None:
+        self.source, self.problem = gzip.GzipFile(fileobj=io.BytesIO(content)), None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer: memoryview) -> int:
+        data = b""
+        if not self.problem:
+            try:
+                data = self.source.read1(len(buffer))
+            except EOFError:
+                self.problem = "cut file"
+            except (OSError, zlib.error):
+                self.problem = "damaged file"
+        buffer[: len(data)] = data
+        return len(data)
+
+
+def _take(stream: io.BufferedIOBase, length: int) -> bytes:
+    """Up to ``length`` bytes, however many a header claims."""
+    parts = []
+    while length > 0 and (part := stream.read(min(length, SLICE_BYTES))):
+        parts.append(part)
+        length -= len(part)
+    return b"".join(parts)
+
+
 def parse_archive(content: bytes) -> Iterator[tuple[dict, bytes]]:
-    """Headers, lower-cased, and block of each record of one file; a cut file ends early."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+    """Headers, lower-cased, and block of each record of one file.
+
+    ``problem`` among the headers names a fault: ``cut record`` where the file ends inside one, ``bad header`` for one that is not
+    UTF-8, ``bad length`` where there is no number of bytes; the next line that begins a record is then the next one. A gzipped file that
+    ends early or is damaged gives the records before that place, and if none of them is cut, one without a type and with the problem ``cut file`` or ``damaged file``.
+    """
+    zipped = _Unzipped(content) if content[:2] == b"\x1f\x8b" else None
+    stream = io.BufferedReader(zipped) if zipped else io.BytesIO(content)
+    cut = False
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
         head = {}
         while (line := stream.readline()).strip():
-            key, _, value = line.decode().partition(":")
-            head[key.strip().lower()] = value.strip()
-        length = int(head.get("content-length", 0))
-        block = stream.read(length)
-        if len(block) < length:
+            try:
+                text = line.decode()
+            except UnicodeDecodeError:
+                text, head["problem"] = line.decode(errors="replace"), "bad header"
+            key, _, value = text.partition(":")
+            if key.strip().lower() != "problem":
+                head[key.strip().lower()] = value.strip()
+        length = head.get("content-length", "")
+        if not line:
+            cut, block = True, b""
             head["problem"] = "cut record"
+        elif not re.fullmatch("[0-9]{1,18}", length):
+            block = b""
+            head["problem"] = "bad length"
+        else:
+            block = _take(stream, int(length))
+            if len(block) < int(length):
+                cut, head["problem"] = True, "cut record"
         yield head, block
+    if zipped and zipped.problem and not cut:
+        yield {"problem": zipped.problem}, b""
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
@@ -175,7 +228,9 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     Records in one piece are decoded where they are read. Segments are dealt by the identifier
     of their first record and sorted by number; a task then streams through them, one at a time,
     so that neither a page nor a task's pages must fit into memory. Numbers must run from 1 without
-    a gap and the lengths add up to the total; else ``problem`` names the fault and the payload is null.
+    a gap and the lengths add up to the total; else ``problem`` names the fault and the payload is null. No damage of
+    a file ends the job: see ``parse_archive``; a header that should hold a number and does not is the problem ``bad number``,
+    a segment that names no record ``no record id``. Digests other than SHA-256 are not compared.
     ``payload`` is null unless ``payloads`` asks for it, and for revisits, whose figures come from the header.
     """
     scratch = Scratch(spark, "warc-read")
@@ -223,25 +278,33 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     return whole.unionByName(segments.mapInArrow(assemble, RECORDS))
 
 
+NUMBERS = {
+    "page_id": "page-id", "refers_to": "page-refers-to", "payload_bytes": "page-payload-length", "segment": "warc-segment-number", "total_length": "warc-segment-total-length"
+}
+
+
 def _segment(head: dict, block: bytes, payloads: bool) -> dict:
-    number = int(head["warc-segment-number"]) if "warc-segment-number" in head else None
-    row = {
-        "record_type": head.get("warc-type"), "segment": number, "problem": head.get("problem"),
-        "page_id": int(head["page-id"]) if "page-id" in head else None,
-        "refers_to": int(head["page-refers-to"]) if "page-refers-to" in head else None,
-        "payload_digest": head.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-        "payload_bytes": int(head["page-payload-length"]) if "page-payload-length" in head else None,
-    }
-    if number is not None:
-        total = head.get("warc-segment-total-length")
+    row = {"record_type": head.get("warc-type"), "problem": head.get("problem")}
+    for name, key in NUMBERS.items():
+        value = head.get(key)
+        good = value is not None and re.fullmatch("[0-9]{1,9}" if name == "segment" else "-?[0-9]{1,18}", value)
+        row[name] = int(value) if good else None
+        if value and not good:
+            row["problem"] = row["problem"] or "bad number"
+    digest = head.get("warc-payload-digest", "")
+    row["payload_digest"] = digest.removeprefix("sha256:") if digest.startswith("sha256:") else None
+    if row["segment"] is not None:
         origin = head.get("warc-segment-origin-id") or head.get("warc-record-id")
-        return row | {"origin": origin, "total_length": int(total) if total else None, "block": block}
-    if row["record_type"] == "revisit":
+        if origin:
+            return row | {"origin": origin, "block": block}
+        row["problem"] = row["problem"] or "no record id"
+    if row["record_type"] in ("revisit", None):
         return row
     parts: list[bytes] = []
     reader = Unchunker(parts.append if payloads else None)
     reader.feed(block)
-    return row | _checked(row, reader, row["problem"]) | {"block": b"".join(parts) if payloads else None}
+    row |= _checked(row, reader, row["problem"])
+    return row | {"block": b"".join(parts) if payloads and not row["problem"] else None}
 
 
 def _checked(row: dict, reader: Unchunker, problem: str | None) -> dict:

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 
@@ -62,6 +63,45 @@ def test_faults(spark, tmp_path):
         assert len(got) == 1 and got[0]["problem"], name
 
 
+def record(page_id, html):
+    row = {"page_id": page_id, "url": "u", "html": html, "sha": hashlib.sha256(html.encode()).hexdigest(), "first_id": None, "first_url": None}
+    return list(warc.records_of(row, f"t-{page_id}"))[0] + b"\r\n\r\n"
+
+
+def test_damaged_archives(spark, tmp_path):
+    """Damage is named in its record or file; what stands before it, and after it where records can be told apart, is read."""
+    noise = random.Random(2)
+    first, second = (record(i, "".join(chr(noise.randrange(33, 127)) for _ in range(3000))) for i in (1, 2))
+    third = record(3, "third")
+    whole = gzip.compress(first + second + third)
+    flipped = bytearray(whole)
+    flipped[-6] ^= 1  # the check sum
+    cases = {
+        "cut-gzip": (whole[: len(whole) * 3 // 4], {1: None, 2: "cut record"}),
+        "no-trailer": (whole[:-8], {1: None, 2: None, 3: None, None: "cut file"}),
+        "check-sum": (bytes(flipped), {1: None, 2: None, 3: None, None: "damaged file"}),
+        "not-gzip": (b"\x1f\x8b" + b"x" * 50, {None: "damaged file"}),
+        "latin-header": (gzip.compress(first.replace(b"WARC-Target-URI: u", b"WARC-Target-URI: \xe9") + third), {1: "bad header", 3: None}),
+        "bad-length": (first + second.replace(b"Content-Length: ", b"Content-Length: x") + third, {1: None, 2: "bad length", 3: None}),
+        "negative-length": (first.replace(b"Content-Length: ", b"Content-Length: -") + third, {1: "bad length", 3: None}),
+        "no-length": (first.replace(b"Content-Length: ", b"Other: ") + third, {1: "bad length", 3: None}),
+        "huge-length": (first.replace(b"Content-Length: ", b"Content-Length: 9999999") + third, {1: "cut record"}),
+        "cut-header": (first + second[:60], {1: None, None: "cut record"}),
+        "bad-id": (first.replace(b"Page-ID: 1", b"Page-ID: 1" + b"0" * 30) + third, {None: "bad number", 3: None}),
+        "bad-segment": (first.replace(b"WARC-Type: response", b"WARC-Type: response\r\nWARC-Segment-Number: one") + third, {1: "bad number", 3: None}),
+        "no-id": (first.replace(b"WARC-Type: response", b"WARC-Segment-Number: 1").replace(b"WARC-Record-ID", b"Other") + third, {1: "no record id", 3: None}),
+        "other-digest": (first.replace(b"sha256:", b"sha1:") + third, {1: None, 3: None}),
+        "empty": (b"", {}),
+    }
+    for name, (content, _) in cases.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.warc.gz").write_bytes(content)
+    for name, (_, expected) in cases.items():
+        got = read_archives(spark, str(tmp_path / name), payloads=True).collect()
+        assert {r["page_id"]: r["problem"] for r in got} == expected and len(got) == len(expected), name
+        assert all(r["payload"] is None for r in got if r["problem"]) and all(r["payload"] is not None for r in got if not r["problem"]), name
+
+
 def test_unchunker_takes_any_pieces():
     message = warc.HTTP_HEAD + chunked(b"ab\r\n0\r\n\r\ncd" * 9, 7)
     for step in (1, 2, 3, 1000):
