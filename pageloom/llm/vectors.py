@@ -16,6 +16,7 @@ MAX_CELLS = 4096
 SAMPLE_PER_CELL = 32
 BLOCK_ROWS = 2048
 ROUNDS = 8
+SLICE_ROWS = 1024
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -23,12 +24,13 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def spherical_kmeans(sample: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Unit centres of at most ``cells`` cells of unit vectors."""
+    """Unit centres of at most ``cells`` cells of unit vectors; products are made for ``SLICE_ROWS`` vectors at a time."""
     centres = sample[np.linspace(0, len(sample) - 1, min(cells, len(sample)), dtype=int)]
     for _ in range(rounds):
-        nearest = (sample @ centres.T).argmax(axis=1)
         sums = np.zeros_like(centres)
-        np.add.at(sums, nearest, sample)
+        for at in range(0, len(sample), SLICE_ROWS):
+            part = sample[at : at + SLICE_ROWS]
+            np.add.at(sums, (part @ centres.T).argmax(axis=1), part)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(length > 0, sums / np.maximum(length, 1e-300), centres)
     return np.unique(centres, axis=0)
@@ -102,8 +104,8 @@ def near_vectors(
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = sent.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
                 home, copies = np.zeros(batch.num_rows, int), [[] for _ in range(batch.num_rows)]
                 fits = np.flatnonzero(batch.column("size").to_numpy() == centres.shape[1])
                 if len(fits):

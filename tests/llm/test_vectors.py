@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -49,6 +51,25 @@ def test_against_all_pairs(spark):
     check(spark, cloud(400))
 
 
+def test_centres_take_little_memory():
+    """4,096 cells, at the default sample: the products would be 4.3 GB at once."""
+    points = unit(np.random.default_rng(1).normal(size=(v.SAMPLE_PER_CELL * v.MAX_CELLS, 8)))
+    tracemalloc.start()
+    try:
+        centres = spherical_kmeans(points, v.MAX_CELLS, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(centres) > 4000 and peak < 500e6
+
+
+def test_slices_give_the_same_centres(monkeypatch):
+    points = unit(np.random.default_rng(2).normal(size=(500, 6)))
+    whole = spherical_kmeans(points, 20)
+    monkeypatch.setattr(v, "SLICE_ROWS", 7)
+    assert np.allclose(spherical_kmeans(points, 20), whole)
+
+
 def test_many_cells_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(v, "CELL_ROWS", 8)
     monkeypatch.setattr(v, "BLOCK_ROWS", 20)
