@@ -81,9 +81,10 @@ def keep_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = scratch.keep(groups.where("kept").select(*keys).join(dropped.select(*keys).distinct(), [groups[k].eqNullSafe(dropped[k]) for k in keys], "left_semi"), "shared")
     if shared.isEmpty():
         return out
-    rows = docs.select(F.struct("*").alias("row"), *[key.alias(f"key_{name}") for name, key in keys.items()])
+    place = F.monotonically_increasing_id().alias("place")  # in the table
+    rows = docs.select(F.struct("*").alias("row"), place, *[key.alias(f"key_{name}") for name, key in keys.items()])
     rows = rows.join(shared, [F.col(f"key_{k}").eqNullSafe(shared[k]) for k in keys], "left_semi")
-    one = rows.groupBy(*[f"key_{k}" for k in keys]).agg(F.first("row").alias("row")).select("row.*")
+    one = rows.groupBy(*[f"key_{k}" for k in keys]).agg(F.min_by("row", "place").alias("row")).select("row.*")
     return out.unionByName(one)
 
 
