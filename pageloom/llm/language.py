@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .scratch import Scratch
@@ -44,7 +44,8 @@ class LanguageModel:
     """Log frequencies by language of words and of their character n-grams.
 
     A known word scores by itself. Any other scores by the mean of its known n-grams of the greatest
-    length that has any; one without any known letter counts for nothing.
+    length that has any; one without any known letter counts for nothing. What a language has not shown has the same small
+    frequency in all of them, so that one learned from little text does not draw the unseen words of others.
     """
 
     def __init__(self, languages: list[str], words: dict[str, np.ndarray], grams: dict[str, np.ndarray], totals: dict[int, np.ndarray]) -> None:
@@ -55,7 +56,8 @@ class LanguageModel:
         self.logs: list[np.ndarray] = []
         for n in range(LONGEST_GRAM + 1):
             own = {g: c for g, c in grams.items() if len(g) == n} if n else words
-            logs = np.log((np.array(list(own.values())).reshape(len(own), len(languages)) + SMOOTHING) / (totals[n] + 1))
+            shares = np.array(list(own.values())).reshape(len(own), len(languages)) / totals[n]
+            logs = np.log(shares + SMOOTHING / totals[n].max(initial=1))
             self.places.append({g: i for i, g in enumerate(own)})
             self.logs.append((logs - logs.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float32))
 
@@ -100,15 +102,28 @@ class LanguageModel:
         return labels, shares
 
 
+def shares(counts: dict[str, int], rows: int) -> dict[str, float]:
+    """The share of each language's rows to learn from: all of a rare one, and of the others equal numbers, about ``rows`` together."""
+    out, left = {}, rows
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(1.0, max(1.0, left / (len(counts) - i)) / n)
+        left -= out[lang] * n
+    return out
+
+
 def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
     """Fit on about ``rows`` rows of ``text, lang, doc_id`` with a language, drawn by a hash; fewer are all taken.
 
-    The counts are summed on the cluster. The driver and each task hold the ``MODEL_WORDS`` most frequent words and
-    ``MODEL_GRAMS`` of each length of n-gram, whatever the size of the corpus.
+    Each language has its own share of the rows, of the words and of the n-grams, so a rare one is learned beside a frequent one.
+    The counts are summed on the cluster. The driver and each task hold ``MODEL_WORDS`` words at most and
+    ``MODEL_GRAMS`` of each length of n-gram, or one of each language, whatever the size of the corpus: the most frequent of each language.
     """
     labelled = docs.where("lang IS NOT NULL")
-    share = min(1.0, rows / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
+    own = shares({r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}, rows)
+    spark, slots = docs.sparkSession, 1_000_003
+    drawn = spark.createDataFrame([(lang, int(share * slots) + 1) for lang, share in own.items()], "lang string, drawn long")
+    slot = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(slots))
+    sample = labelled.join(F.broadcast(drawn), "lang").where(slot < F.col("drawn"))  # a row for each language
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
@@ -129,7 +144,10 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
     counted = sample.select("text", "lang").mapInArrow(count, "gram string, size int, lang string, n long").groupBy("gram", "size", "lang").agg(F.sum("n").alias("n"))
     scratch = Scratch(docs.sparkSession, "language")
     counted = scratch.keep(counted, "counts")
-    table = counted.groupBy("gram", "size").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    quota = F.when(F.col("size") > 0, max(1, MODEL_GRAMS // max(1, len(own)))).otherwise(max(1, MODEL_WORDS // max(1, len(own))))
+    ranked = counted.withColumn("rank", F.row_number().over(Window.partitionBy("size", "lang").orderBy(F.desc("n"), "gram")))
+    best = scratch.keep(ranked.where(F.col("rank") <= quota).select("gram", "size").distinct(), "best")
+    table = counted.join(best, ["gram", "size"], "left_semi").groupBy("gram", "size").agg(F.collect_list(F.struct("lang", "n")).alias("by"))
     totals = counted.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in totals})
     at = {lang: i for i, lang in enumerate(languages)}
@@ -138,12 +156,12 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> LanguageModel:
         sums[r["size"]][at[r["lang"]]] = r["n"]
     counts: list[dict[str, np.ndarray]] = [{}, {}]
     for n in range(LONGEST_GRAM + 1):
-        for r in table.where(F.col("size") == n).orderBy(F.desc("all"), "gram").limit(MODEL_GRAMS if n else MODEL_WORDS).select("gram", "by").toArrow().to_pylist():
+        for r in table.where(F.col("size") == n).select("gram", "by").toArrow().to_pylist():
             row = np.zeros(len(languages))
             for x in r["by"]:
                 row[at[x["lang"]]] = x["n"]
             counts[n > 0][r["gram"]] = row
-    scratch.drop(counted)
+    scratch.drop(counted, best)
     return LanguageModel(languages, counts[0], counts[1], sums)
 
 

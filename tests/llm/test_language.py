@@ -1,6 +1,9 @@
+import math
 import zlib
+from collections import Counter
 
-from pageloom.llm.language import LanguageModel, grams_of, held_out, identify, keep_identified, train, words_of
+from pageloom.llm import language
+from pageloom.llm.language import LanguageModel, grams_of, held_out, identify, keep_identified, shares, train, words_of
 from pyspark.sql import functions as F
 
 
@@ -34,6 +37,56 @@ def test_accuracy_on_held_out_rows(sample):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_against_plain_counts(sample):
+    """Every prediction and score against frequencies counted in plain Python."""
+    rows = sample[0]
+    languages = sorted({r["lang"] for r in rows if r["lang"] is not None})
+    counts = [{lang: Counter() for lang in languages} for _ in range(language.LONGEST_GRAM + 1)]
+    for r in rows:
+        for w in words_of(r["text"]) if r["lang"] is not None else []:
+            counts[0][r["lang"]][w] += 1
+            for n in range(1, language.LONGEST_GRAM + 1):
+                counts[n][r["lang"]].update(grams_of(w, n))
+    totals = [{lang: sum(c.values()) or 1 for lang, c in own.items()} for own in counts]
+
+    def logs(n, key):
+        own = [math.log(counts[n][lang][key] / totals[n][lang] + language.SMOOTHING / max(totals[n].values())) for lang in languages]
+        return [x - max(own) for x in own]
+
+    def score(word):
+        for n in range(language.LONGEST_GRAM + 1):
+            size = language.LONGEST_GRAM + 1 - n if n else 0
+            found = [logs(size, k) for k in ([word] if not size else grams_of(word, size)) if any(k in c for c in counts[size].values())]
+            if found:
+                return [sum(x) / len(found) for x in zip(*found, strict=True)]
+        return [0.0] * len(languages)
+
+    # Words that no text has, and words of it.
+    texts = [(r["doc_id"], " ".join((r["text"] or "").split()[:60])) for r in rows[:60]] + [(-1, "stoneriver qqq"), (-2, "Unstone żż")]
+    docs = sample[1].sparkSession.createDataFrame(texts, "doc_id long, text string")
+    for r in identify(docs, train(sample[1])).collect():
+        sums = [sum(x) for x in zip(*map(score, words_of(r["text"])), strict=True)]
+        if not sums:
+            assert r["lang_pred"] == "und"
+            continue
+        p = [math.exp(x - max(sums)) for x in sums]
+        assert abs(r["score"] - max(p) / sum(p)) < 1e-3
+        assert p[languages.index(r["lang_pred"])] > 0.999
+
+
+def test_rare_language(make_docs, monkeypatch):
+    """Rows, words and n-grams are shared out by language: a rare one keeps its own."""
+    for name in ("MODEL_WORDS", "MODEL_GRAMS"):
+        monkeypatch.setattr(language, name, 40)
+    common = [(i, " ".join(f"w{chr(97 + (i * k) % 26)}{chr(97 + k % 26)}" for k in range(60)), "en", "a") for i in range(400)]
+    docs = make_docs([*common, (900, "żółw jeż łoś", "pl", "a")])
+    model = train(docs, 50)
+    assert model.languages == ["en", "pl"]
+    assert model.predict(["żółw", "łoś jeż", "wab wac"])[0] == ["pl", "pl", "en"]
+    assert shares({"a": 10, "b": 1000, "c": 100_000}, 210) == {"a": 1.0, "b": 0.1, "c": 0.001}
+    assert shares({"a": 3}, 10) == {"a": 1.0} and shares({}, 10) == {}
+
+
 def test_odd_rows(odd_docs):
     found = identify(odd_docs, train(odd_docs))
     assert found.columns == [*[c for c in odd_docs.columns if c != "score"], "lang_pred", "score"]
