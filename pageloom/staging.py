@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+_own_dirs: dict[str, str] = {}  # of local sessions without the setting, by application
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
@@ -23,9 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="pageloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="pageloom-")
+    return _own_dirs[app]
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
