@@ -122,14 +122,25 @@ def stop_word_table(spark, sf):
     return tm.drop_stop_terms(tm.term_counts(_terms(spark, sf)), listed).select("doc_id", "term", *_long("tf"))
 
 
-def normalized_terms(spark, sf):
+def stop_words_shuffled(spark, sf):
+    """Documents without the words of the benchmark, by the way that a table of any size takes."""
+    listed = _table(spark, sf, "benchmark").select(F.explode(tokenize("text")).alias("term"))
+    return tm.drop_stop_words(_terms(spark, sf), listed, tm.BROADCAST_ROWS + 1).select("doc_id", _joined())
+
+
+def normalized_terms(spark, sf, lemma_rows=None):
     docs = _terms(spark, sf)
     long = docs.select("lang", F.explode("terms").alias("term")).where(F.length("term") > 7).distinct()
     lemmas = stage(long.withColumn("lemma", F.left("term", F.lit(4))), "lemmas")
-    mapped = tm.normalize_terms(docs, lemmas)
+    mapped = tm.normalize_terms(docs, lemmas, lemma_rows)
     return tm.term_counts(mapped).select("doc_id", *_long("n_terms"), "term", *_long("tf"))
 
 
+def normalized_terms_shuffled(spark, sf):
+    """The same by the way that a lemma table of any size takes."""
+    return normalized_terms(spark, sf, tm.BROADCAST_ROWS + 1)
+
+
 def union_all(spark, sf):
     docs = _table(spark, sf, "documents").select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), "text")
     turns = _table(spark, sf, "conversations").select(F.lit("conversations").alias("origin"), F.col("conv_id").alias("id"), "text")
@@ -525,8 +536,8 @@ def stop_word_file(spark, sf):
     """Stop words from a written file."""
     path = stage_path(spark, "words")
     spark.createDataFrame([(w,) for w in STOP_WORDS], "value string").write.text(path)
-    words = [r["term"] for r in read_words(spark, path).collect()]
-    return _terms(spark, sf, stop_words=words).select("doc_id", _joined())
+    docs = tm.drop_stop_words(_terms(spark, sf, min_terms=0), read_words(spark, path))
+    return tm.keep_documents(docs).select("doc_id", _joined())
 
 
 def null_pages(spark, sf):
@@ -593,7 +604,7 @@ def queries() -> dict[str, Query]:
         for f in (
             tokens, tokens_unicode, tokens_singular, term_counts, document_lengths, corpus_size,
             document_frequency, rarest_terms, vocabulary, tfidf, tfidf_capped, document_vectors,
-            stop_words, stop_words_before_rule, stop_word_table, normalized_terms, union_all,
+            stop_words, stop_words_before_rule, stop_word_table, stop_words_shuffled, normalized_terms, normalized_terms_shuffled, union_all,
             page_round_trip, dump_languages, page_words, filter_articles, statements, statements_job, statements_namespaces, statements_one_language_again, job_counts, cut_dump_rejects, page_rejects,
             entity_labels, entity_labels_strict, entity_sitelinks, entity_claims, entity_claims_strict,
             claim_rejects, entity_rejects, entity_mixed_members, label_rejects, sitelink_rejects, member_rejects, entities_job,
@@ -732,6 +743,9 @@ UNION ALL SELECT 'term_to_term', id, other, score FROM tn"""
 def oracle_sql() -> dict[str, str]:
     energy = "SELECT {0} AS id, round(coalesce(sum(w * w), 0), 9) AS energy FROM {1} GROUP BY {0}"
     small = _weights_sql(SMALL_VOCABULARY)
+    normalized = _counts_sql(
+        f"list_transform({_tok()}, lambda x: CASE WHEN length(x) > 7 THEN left(x, 4) ELSE x END)"
+    ) + " SELECT doc_id, n_terms, term, tf FROM c"
     doc_energy = f"{small} " + energy.format("doc_id", "d LEFT JOIN w USING (doc_id)")
     own = {
         "tokens": f"SELECT doc_id, array_to_string({_tok()}, ' ') AS terms FROM documents",
@@ -754,9 +768,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, array_to_string({_RULE.format('terms')}, ' ') AS terms FROM d""",
         "stop_word_table": f"""{_counts_sql()} SELECT doc_id, term, tf FROM c
             WHERE term NOT IN (SELECT unnest({_tok()}) FROM benchmark)""",
-        "normalized_terms": _counts_sql(
-            f"list_transform({_tok()}, lambda x: CASE WHEN length(x) > 7 THEN left(x, 4) ELSE x END)"
-        ) + " SELECT doc_id, n_terms, term, tf FROM c",
+        "stop_words_shuffled": f"""{_docs_sql()}, each AS (SELECT doc_id, unnest(terms) AS term, generate_subscripts(terms, 1) AS pos FROM d),
+            s AS (SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS left_over FROM each
+                WHERE term NOT IN (SELECT unnest({_tok()}) FROM benchmark) GROUP BY doc_id)
+            SELECT doc_id, coalesce(left_over, '') AS terms FROM d LEFT JOIN s USING (doc_id)""",
+        "normalized_terms": normalized,
+        "normalized_terms_shuffled": normalized,
         "union_all": f"""SELECT 'documents' AS origin, doc_id AS id, len({_tok()}) AS n_terms FROM documents
             UNION ALL SELECT 'conversations', conv_id, len({_tok()}) FROM conversations""",
         "page_round_trip": f"SELECT doc_id AS page_id, lang, {_TITLE} AS title, text FROM documents",

@@ -19,13 +19,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pageloom.functions.binding import bind
 from pageloom.functions.text import singular_english, tokenize
 from pageloom.operators.ranking import first_rows
-from pageloom.staging import stage
+from pageloom.staging import drop_staged, stage
 
 # Tables up to this size are broadcast; a row is a term or two and a few numbers, so
 # the broadcast stays within tens of MB. Larger ones go through a shuffle join.
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 20_000_000
-SALTS = 16
+# A key with more rows than this is spread over tasks, unless there are so many such keys that the bound is raised.
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def is_small(table: DataFrame, rows: int | None = None) -> bool:
@@ -42,17 +44,47 @@ def is_small(table: DataFrame, rows: int | None = None) -> bool:
     return found["rows"] <= BROADCAST_ROWS and found["chars"] <= BROADCAST_CHARS
 
 
-def lookup(rows: DataFrame, table: DataFrame, keys: list[str], how: str, table_rows: int | None, salt_by: str = "doc_id") -> DataFrame:
+def hot_keys(sizes: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The keys that are too frequent for one task, as ``_hash`` and the number of parts to spread each over; None if there are none.
+
+    ``sizes`` has a row ``keys, rows`` for each key. A key is hot from ``HOT_ROWS`` rows on, or from a ``HOT_KEYS``-th
+    of all rows if that is more, so at most ``HOT_KEYS`` of them come to the driver, two numbers each.
+    """
+    written = stage(sizes.select(F.xxhash64(*keys).alias("_hash"), "rows"), "sizes")
+    total = written.agg(F.sum("rows").alias("rows")).first()["rows"] or 0
+    limit = max(HOT_ROWS, -(-total // HOT_KEYS))
+    parts = F.ceil(F.col("rows") / limit).cast("int")
+    hot = written.where(F.col("rows") >= limit).groupBy("_hash").agg(F.sum(parts).cast("int").alias("_parts")).collect()
+    drop_staged(written)
+    return sizes.sparkSession.createDataFrame(hot, "_hash long, _parts int") if hot else None
+
+
+def lookup(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str,
+    table_rows: int | None,
+    salt_by: tuple[str, ...] = ("doc_id",),
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """Join corpus rows to a table with one row per key.
 
-    A small table is broadcast. Otherwise one term may hold a large part of all
-    rows, so each key is spread over ``SALTS`` partitions by document and the table
-    is repeated that often.
+    A small table is broadcast. Otherwise both are shuffled by key. One key may hold a large part of all rows: a hot one
+    is spread by ``salt_by`` over as many parts as its rows need, and its row of the table is repeated that often.
+    All other rows are neither salted nor repeated. ``sizes``, ``keys, rows``, spares the count of the rows by key.
     """
     if is_small(table, table_rows):
         return rows.join(F.broadcast(table), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
-    repeated = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    hot = hot_keys(rows.groupBy(*keys).agg(F.count("*").alias("rows")) if sizes is None else sizes, keys)
+    if hot is None:
+        return rows.join(table, keys, how)
+
+    def parted(df: DataFrame) -> DataFrame:
+        return df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1))).drop("_hash")
+
+    salted = parted(rows).withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.col("_parts")).cast("int")).drop("_parts")
+    repeated = parted(table).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -91,10 +123,21 @@ def keep_documents(docs: DataFrame, min_terms: int = 2) -> DataFrame:
     return bound.select(*docs.columns)
 
 
-def drop_stop_words(docs: DataFrame, stop_words: list[str]) -> DataFrame:
-    """Remove listed words from ``terms``; repeated other terms stay."""
+def drop_stop_words(docs: DataFrame, stop_words: list[str] | DataFrame, stop_rows: int | None = None) -> DataFrame:
+    """Remove listed words from ``terms``; repeated other terms stay, and so does the order. Null ``terms`` become none.
+
+    The words are a list or a table ``term``. A small table is sent to every task. A large one is joined to the terms,
+    which are brought together again by ``doc_id``; that must then be unique.
+    """
+    if isinstance(stop_words, DataFrame):
+        table = stop_words.select("term").where("term IS NOT NULL").distinct()
+        if not is_small(table, stop_rows):
+            rows = docs.select("doc_id", F.posexplode("terms").alias("pos", "term"))
+            return _gathered(docs, lookup(rows, table, ["term"], "left_anti", BROADCAST_ROWS + 1, ("doc_id", "pos")))
+        stop_words = [r["term"] for r in table.collect()]  # as is_small has measured
     remover = StopWordsRemover(stopWords=stop_words, caseSensitive=True, inputCol="_terms", outputCol="terms")
-    return remover.transform(docs.withColumnRenamed("terms", "_terms")).select(*docs.columns)
+    given = docs.withColumn("_terms", F.coalesce("terms", F.array().cast("array<string>"))).drop("terms")
+    return remover.transform(given).select(*docs.columns)
 
 
 def drop_stop_terms(rows: DataFrame, stop_table: DataFrame, stop_rows: int | None = None) -> DataFrame:
@@ -113,10 +156,18 @@ def normalize_terms(docs: DataFrame, lemmas: DataFrame, lemma_rows: int | None =
     rest = [c for c in docs.columns if c != "terms"]
     if is_small(table, lemma_rows):
         return _map_terms(docs.select(*rest, "terms"), table)
-    rows = docs.select(*rest, F.posexplode_outer("terms").alias("pos", "term"))
-    found = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("lemma", "term").alias("lemma")))
-    gathered = lookup(rows, table, ["lang", "term"], "left", lemma_rows).groupBy(*rest).agg(F.sort_array(F.collect_list(found)).alias("found"))
-    return gathered.select(*rest, F.transform("found", lambda x: x["lemma"]).alias("terms"))
+    rows = docs.select("doc_id", "lang", F.posexplode("terms").alias("pos", "term"))
+    found = lookup(rows, table, ["lang", "term"], "left", BROADCAST_ROWS + 1, ("doc_id", "pos"))
+    return _gathered(docs, found.withColumn("term", F.coalesce("lemma", "term")))
+
+
+def _gathered(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` with the terms of ``rows``, ``doc_id, pos, term``, in the order of ``pos``; only ids, places and terms are grouped."""
+    found = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("_found"))
+    terms = F.coalesce(F.transform("_found", lambda x: x["term"]), F.array().cast("array<string>"))
+    rest = docs.drop("terms")
+    joined = rest.join(found, rest["doc_id"].eqNullSafe(found["_id"]), "left")
+    return joined.select(*[rest[c] for c in rest.columns], terms.alias("terms")).select(*docs.columns)
 
 
 def _map_terms(docs: DataFrame, table: DataFrame) -> DataFrame:
@@ -254,9 +305,11 @@ def _numbered(counted: DataFrame, order: list[Column]) -> DataFrame:
 def tfidf(docs: DataFrame, vocab: DataFrame, n_terms: int | None = None) -> DataFrame:
     """``doc_id, idx, w`` with w = idf · tf / terms of the document; other terms are dropped.
 
-    ``vocab`` is measured before it is broadcast; ``n_terms``, a bound on its rows, may spare that.
+    ``vocab`` is measured before it is broadcast; ``n_terms``, a bound on its rows, may spare that. It holds the most
+    frequent terms; its ``df`` says how many rows each has in the join, so they are not counted again.
     """
-    joined = lookup(term_counts(docs), vocab.select("term", "idx", "idf"), ["term"], "inner", n_terms)
+    sizes = vocab.select("term", F.col("df").alias("rows"))
+    joined = lookup(term_counts(docs), vocab.select("term", "idx", "idf"), ["term"], "inner", n_terms, sizes=sizes)
     return joined.select("doc_id", "idx", (F.col("idf") * F.col("tf") / F.col("n_terms")).alias("w"))
 
 

@@ -100,7 +100,7 @@ def article_tokens(spark: SparkSession, dumps: str | list[str], lang: str | None
 
 def article_terms(
     tokens: DataFrame,
-    stop_words: list[str] | None = None,
+    stop_words: list[str] | DataFrame | None = None,
     lemmas: DataFrame | None = None,
     lemma_rows: int | None = None,
     singular: bool = False,
@@ -108,13 +108,14 @@ def article_terms(
 ) -> DataFrame:
     """Articles as ``doc_id, title, terms`` from the good rows of :func:`article_tokens`."""
     docs = tokens.where("reason IS NULL").drop("reason", "head")
-    if stop_words and stop_first:
+    listed = isinstance(stop_words, DataFrame) or bool(stop_words)
+    if listed and stop_first:
         docs = drop_stop_words(docs, stop_words)
     if lemmas is not None:
         docs = normalize_terms(docs, lemmas, lemma_rows)
     if singular:
         docs = docs.withColumn("terms", singular_english("terms"))
-    if stop_words and not stop_first:
+    if listed and not stop_first:
         docs = drop_stop_words(docs, stop_words)
     return keep_documents(docs.drop("lang"))
 
@@ -123,7 +124,7 @@ def analyse_concepts(
     spark: SparkSession,
     dumps: str | list[str],
     output: str,
-    stop_words: str | list[str] | None = None,
+    stop_words: str | list[str] | DataFrame | None = None,
     n_concepts: int = 100,
     n_terms: int = 50_000,
     neighbors: int | None = 20,
@@ -135,11 +136,11 @@ def analyse_concepts(
 ) -> Lsa:
     """Page dumps of one language to one relevance table at ``output``, and rejected records at ``<output>_rejects``.
 
-    ``stop_words`` is a file or a list. Articles are staged as tokens, so dumps are
+    ``stop_words`` is a file, a table ``term`` or a list, each of any size but a list. Articles are staged as tokens, so dumps are
     parsed once for the vocabulary, the matrix and the rejects. ``digits`` rounds scores before they are ranked; else whole scores are.
     """
     if isinstance(stop_words, str):
-        stop_words = [r["term"] for r in read_words(spark, stop_words).collect()]
+        stop_words = read_words(spark, stop_words)
     tokens = stage(article_tokens(spark, dumps, lang, token_mode), "tokens")
     docs = None
     try:

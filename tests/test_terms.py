@@ -158,11 +158,55 @@ def test_stop_table(spark, corpus, rows):
     assert left.count() == tm.term_counts(df).where("term NOT IN ('common', 'aaa')").count()
 
 
-def test_large_lookup_salts_a_hot_term(corpus):
-    _, df = corpus
-    table = df.sparkSession.createDataFrame([("common", 1)], "term string, x int")
-    plan = tm.lookup(tm.term_counts(df), table, ["term"], "inner", LARGE)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+@pytest.mark.parametrize("measured", [False, True])
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_large_lookup_salts_hot_terms_only(corpus, monkeypatch, how, measured):
+    data, df = corpus
+    counts = tm.term_counts(df)
+    table = df.sparkSession.createDataFrame([("common", 1), ("aaa", 2), ("nowhere", 3)], "term string, x int")
+    expected = Counter(tuple(r) for r in counts.join(table, ["term"], how).collect())
+    sizes = tm.document_frequency(df).withColumnRenamed("df", "rows") if measured else None
+    look = lambda: tm.lookup(counts, table, ["term"], how, LARGE, sizes=sizes)
+    plain = look()
+    assert "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(tuple(r) for r in plain.collect()) == expected
+
+    most = max(frequencies(data).values())
+    monkeypatch.setattr(tm, "HOT_ROWS", max(1, most // 3))
+    salted = look()
+    assert salted.columns == plain.columns
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(tuple(r) for r in salted.collect()) == expected
+
+
+def test_hot_keys(spark, monkeypatch):
+    sizes = spark.createDataFrame([("a", 95), ("b", 30), ("c", 29), (None, 60)], "term string, rows long")
+    hashes = {r["term"]: r["h"] for r in sizes.select("term", F.xxhash64("term").alias("h")).collect()}
+    assert tm.hot_keys(sizes, ["term"]) is None and tm.hot_keys(sizes.limit(0), ["term"]) is None
+    monkeypatch.setattr(tm, "HOT_ROWS", 30)
+    got = dict(map(tuple, tm.hot_keys(sizes, ["term"]).collect()))
+    assert got == {hashes["a"]: 4, hashes["b"]: 1, hashes[None]: 2}
+    monkeypatch.setattr(tm, "HOT_KEYS", 3)  # 214 rows, so from 72 on
+    assert dict(map(tuple, tm.hot_keys(sizes, ["term"]).collect())) == {hashes["a"]: 2}
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_terms_through_large_tables(spark, monkeypatch, large):
+    """Hot, repeated and null terms, documents without terms, and a null id."""
+    data = [(1, "en", {"k": "v"}, ["mice", "the", "mice", None]), (2, "en", None, []), (3, None, None, None), (None, "en", None, ["the", "ran"]), (5, "de", None, ["mice"])]
+    docs = spark.createDataFrame(data, "doc_id long, lang string, more map<string,string>, terms array<string>")
+    lemmas = spark.createDataFrame([("en", "mice", "mouse"), ("en", "ran", "run"), ("de", "x", None)], "lang string, term string, lemma string")
+    stops = spark.createDataFrame([("the",), ("the",), (None,)], "term string")
+    if large:
+        monkeypatch.setattr(tm, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(tm, "HOT_ROWS", 1)
+    mapped = tm.normalize_terms(docs, lemmas)
+    left = tm.drop_stop_words(docs, stops)
+    assert mapped.columns == [*docs.drop("terms").columns, "terms"] and left.columns == docs.columns
+    assert {i: t or [] for i, t in by_id(mapped).items()} == {1: ["mouse", "the", "mouse", None], 2: [], 3: [], None: ["the", "run"], 5: ["mice"]}
+    rows = {r["doc_id"]: r for r in left.collect()}
+    assert {i: r["terms"] or [] for i, r in rows.items()} == {1: ["mice", "mice", None], 2: [], 3: [], None: ["ran"], 5: ["mice"]}
+    assert rows[1]["more"] == {"k": "v"}
 
 
 def test_small_tables_are_measured(spark, monkeypatch):
