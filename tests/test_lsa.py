@@ -112,3 +112,35 @@ def test_nothing_weighs_anything(spark):
 def test_no_documents(spark):
     with pytest.raises(ValueError):
         ls.lsa(frame(spark, documents(1)).where("doc_id < 0"), 2, 5)
+
+
+def test_vocabulary_too_large_for_the_driver(spark, monkeypatch):
+    """Blocks of documents give the factors of a dense decomposition; ids repeat, a document has no term, and no vocabulary comes to the driver."""
+    import pageloom.operators.krylov as krylov
+    import pageloom.operators.lsa as module
+
+    rng = np.random.default_rng(5)
+    words = [f"w{i:03}" for i in range(150)]
+    texts = [[words[int(x)] for x in rng.zipf(1.4, size=int(rng.integers(2, 40))) % 150] for _ in range(60)] + [[]]
+    docs = spark.createDataFrame([(i // 2, "k", t) for i, t in enumerate(texts)], "doc_id long, key string, terms array<string>")
+    monkeypatch.setattr(module, "DRIVER_TERMS", 20)
+    monkeypatch.setattr(module, "_right_factor", None)
+    monkeypatch.setattr(krylov, "BLOCK_TERMS", 300)
+    model = module.lsa(docs, 4, None, keep=("key",))
+    terms, found = model.terms.toPandas().sort_values("idx"), model.docs.toPandas()
+    place = {t: i for i, t in enumerate(terms["id"])}
+    counts = np.zeros((len(texts), len(terms)))
+    for i, t in enumerate(texts):
+        for word in t:
+            counts[i, place[word]] += 1 / len(t)
+    matrix = counts * np.log(len(texts) / (counts > 0).sum(axis=0))
+    u, s, vt = np.linalg.svd(matrix)
+    assert np.allclose(model.sigma, s[:4], rtol=1e-10)
+    v = np.stack(terms["vec"])
+    signs = np.sign((v * vt[:4].T).sum(axis=0))
+    assert np.allclose(v, vt[:4].T * signs, atol=1e-8)
+    assert (v[np.abs(v).argmax(axis=0), range(4)] > 0).all()
+    best = lambda ids, vec: sorted((i, *np.round(x, 6) + 0.0) for i, x in zip(ids, vec, strict=True))
+    assert np.allclose(best(found["id"], np.stack(found["vec"])), best([i // 2 for i in range(len(texts))], u[:, :4] * signs), atol=1e-5)
+    assert set(found["key"]) == {"k"}
+    model.close()
