@@ -27,6 +27,8 @@ from .spans import text_batches
 ORDER = 2
 CHUNK_TOKENS = 1 << 20
 PART_BYTES = 4 << 20
+# Texts sent to a task at once; with Spark's 10,000 they take more memory than a chunk does.
+BATCH_ROWS = 1000
 RUN_BYTES = 4 << 20
 ROUNDS = 20
 LEAST_GAIN = 1e-5
@@ -86,7 +88,7 @@ def pack_numbers(*columns: np.ndarray) -> bytes:
     out = []
     for numbers in (np.asarray(c).astype(np.uint64) for c in columns):
         width = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
-        planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+        planes = np.ascontiguousarray(numbers.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].T)
         packed = pa.compress(planes, codec="zstd", asbytes=True)
         out.append(b"".join((bytes([width]), len(numbers).to_bytes(5, "little"), len(packed).to_bytes(5, "little"), packed)))
     return b"".join(out)
@@ -160,23 +162,25 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], order: int, parts: int, task:
     def close() -> pa.RecordBatch:
         nonlocal number, words, held
         numbers = np.concatenate(ids)
+        ids.clear()
         count = np.bincount(numbers, minlength=len(words))
         by_count = np.argsort(-count, kind="stable")
-        rank = np.empty(len(words), np.int64)
+        rank = np.empty(len(words), np.int32)
         rank[by_count] = np.arange(len(words))
+        keys = word_keys(list(words))[by_count]
+        words, held = _Words(), 0
+        numbers = rank[numbers]
         first, own = np.zeros(len(numbers), bool), np.ones(len(numbers), bool)
         at = 0
         for piece, (begins, lead) in zip(pieces, marks, strict=True):
             first[at], own[at : at + lead] = begins, False
             at += piece["n"]
-        keys = word_keys(list(words))[by_count]
-        tokens = pack_numbers(rank[numbers], first, own, keys)
-        chunk = Chunk(keys, rank[numbers], first, own, np.repeat([p["kind"] for p in pieces], [p["n"] for p in pieces]))
+        tokens = pack_numbers(numbers, first, own, keys)
+        chunk = Chunk(keys, numbers, first, own, np.repeat([p["kind"] for p in pieces], [p["n"] for p in pieces]))
         out = [(number, number % parts, None, None, tokens, list(pieces))]
         out += [(number, part, k, c, None, None) for part, k, c in asked(chunk, order, parts)]
         number += 1
-        words, held = _Words(), 0
-        ids.clear(), pieces.clear(), marks.clear()
+        pieces.clear(), marks.clear()
         types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), doc_type]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["chunk", "part", "keys", "counts", "tokens", "docs"])
 
@@ -194,8 +198,8 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], order: int, parts: int, task:
                         # A later piece of a text is led up to by the words before it.
                         pieces.append({"doc": row, "id": doc_id, "split": bool(before), "kind": kind, "n": len(before) + len(took)})
                         marks.append((len(before) < order - 1 or order == 1 and not before, len(before)))
-                        ids.append(np.fromiter(map(words.__getitem__, before), np.int64, len(before)))
-                    ids.append(np.fromiter(map(words.__getitem__, took), np.int64, len(took)))
+                        ids.append(np.fromiter(map(words.__getitem__, before), np.int32, len(before)))
+                    ids.append(np.fromiter(map(words.__getitem__, took), np.int32, len(took)))
                     held += len(took)
                     before = [*before, *took][-(order - 1) :] if order > 1 else took[-1:]
                     if held >= CHUNK_TOKENS:
@@ -208,10 +212,13 @@ def chunk_rows(batches: Iterator[pa.RecordBatch], order: int, parts: int, task:
 
 def asked(chunk: Chunk, order: int, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
     """By part of the key range the distinct keys that a chunk asks for, sorted, and how often it has them in training texts, kept and deleted."""
-    grams, contexts = chunk.grams(order)
-    keys, weight = table_keys(chunk, grams, contexts)
-    distinct, place = np.unique(keys, return_inverse=True)
-    counts = [np.bincount(place[weight == kind], minlength=len(distinct)) for kind in (TRAIN, DELETED)]
+    keys, weight = table_keys(chunk, *chunk.grams(order))
+    # Sorted by kind and counted at the edges: the place of every key would take as much memory as all else.
+    sorts = [np.sort(keys[weight == kind]) for kind in (TRAIN, DELETED)]
+    keys.sort()
+    distinct = keys[np.r_[True, keys[1:] != keys[:-1]]]
+    del keys, weight
+    counts = [np.diff(np.r_[np.searchsorted(s, distinct), len(s)]) for s in sorts]
     part = ((distinct >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
     for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -293,9 +300,8 @@ class Estimates:
 
     @classmethod
     def of(cls, chunk: Chunk, answer: list[np.ndarray], order: int) -> Estimates:
-        grams, contexts = chunk.grams(order)
         # The answers follow the distinct keys in ascending order.
-        place = np.unique(table_keys(chunk, grams, contexts)[0], return_inverse=True)[1]
+        place = np.unique(table_keys(chunk, *chunk.grams(order))[0], return_inverse=True)[1].astype(np.int32)
         sets = [answer[0] + answer[1], answer[0]]
         begins, led = chunk.starting()
         n, at = int(chunk.own.sum()), order * int(chunk.own.sum())
@@ -449,7 +455,7 @@ def score_texts(
     # To the parts of the key range, and back to the chunks. Either way is a job of its own, whose shuffle files go when its result is written.
     fields = CHUNK_FIELDS.format(id=id_type.simpleString())
     summed = rows.mapInArrow(cut, fields).groupBy("part").applyInArrow(total_counts, fields.replace("keys binary, ", ""))
-    summed = scratch.keep(summed, "summed", release=True)
+    summed = scratch.keep(summed, "summed", release=True, batch_rows=BATCH_ROWS)
     dealt = summed.repartition("chunk").sortWithinPartitions("chunk", "part")
     schema = COUNTED.format(docs=summed.schema["docs"].dataType.simpleString())
     met = scratch.keep(dealt.mapInArrow(lambda batches: counted_chunks(batches, order), schema), "counted", release=True)

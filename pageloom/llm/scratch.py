@@ -8,10 +8,11 @@ import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pageloom.staging import released, stage_path
+from pageloom.staging import released, set_to, stage_path
 
 FILTER_BITS = 1 << 24
 LEAST_FILES, FILE_ROWS = 6, 100_000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 class Scratch:
@@ -28,15 +29,16 @@ class Scratch:
         self.count += 1
         return f"{self.path}/{self.count:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str, rows: int | None = None, release: bool = False) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, rows: int | None = None, release: bool = False, batch_rows: int | None = None) -> DataFrame:
         """Write a table and return a scan of it; ``rows``, about how many it has, spares tasks for next to nothing.
 
         With ``release`` Spark deletes the shuffle files that led to it as soon as it is written, not at the driver's next collection of garbage.
+        ``batch_rows`` are the most that Python functions get at once.
         """
         path = self.new_path(name)
         if rows is not None:
             df = df.coalesce(LEAST_FILES + rows // FILE_ROWS)
-        with released(self.spark, release):
+        with released(self.spark, release), set_to(self.spark, BATCH, batch_rows):
             df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -40,14 +40,20 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def released(spark: SparkSession, release: bool = True) -> Iterator[None]:
-    """Shuffle files of what is written meanwhile go as soon as it is written, if ``release``; afterwards the session's setting is as it was."""
-    before = spark.conf.get(RELEASE)
-    spark.conf.set(RELEASE, "true" if release else before)
+def set_to(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """A setting of the session meanwhile, unless ``value`` is None; afterwards it is as it was."""
+    before = spark.conf.get(name)
+    if value is not None:
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(RELEASE, before)
+        spark.conf.set(name, before)
+
+
+def released(spark: SparkSession, release: bool = True) -> AbstractContextManager[None]:
+    """Shuffle files of what is written meanwhile go as soon as it is written, if ``release``."""
+    return set_to(spark, RELEASE, "true" if release else None)
 
 
 def stage(df: DataFrame, name: str, schema: StructType | None = None, release: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -175,3 +176,19 @@ def test_query_beats_the_base_on_held_out_texts(spark):
     held = got[got["held_out"]]
     # Bits a token: the mixture is well below the base.
     assert held["score"].sum() > 0.95 * held["base_score"].sum() and len(held) > 50
+
+
+def test_memory_of_a_chunk():
+    """What a chunk asks for takes a bounded number of bytes a token beside it (81, where 133 were taken with the place of every key)."""
+    rng = np.random.default_rng(1)
+    n = 200_000
+    words = ip.word_keys([b"w%d" % i for i in range(30_000)])
+    first = np.zeros(n, bool)
+    first[::400] = True
+    chunk = ip.Chunk(words, rng.integers(0, len(words), n).astype(np.int32), first, np.ones(n, bool), np.ones(n, np.int8))
+    tracemalloc.start()
+    try:
+        next(ip.asked(chunk, 2, 1))
+        assert tracemalloc.get_traced_memory()[1] < 100 * n
+    finally:
+        tracemalloc.stop()
