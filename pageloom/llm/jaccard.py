@@ -209,6 +209,7 @@ def jaccard_groups(
     named = named.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     named = scratch.keep(named, "named")
     least = scratch.keep(named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    scratch.drop(marks, shared, scores, sets, open_, hubs, groups)
     return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash")
 
 

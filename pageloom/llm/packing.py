@@ -216,7 +216,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     their ids, so a group's size is bounded and sequences keep to the order of the table.
     """
     scratch = Scratch(docs.sparkSession, "packing")
-    cut = scratch.keep(cut_documents(docs.select(F.col(id_col).cast("long"), text_col), tokenizer, sequence), "cut")
+    cut = scratch.keep(cut_documents(docs.select(F.col(id_col).cast("long"), text_col), tokenizer, sequence), "cut", release=True)
     ends = cut.where("ids IS NOT NULL")
 
     def packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
