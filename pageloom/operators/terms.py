@@ -28,6 +28,8 @@ BROADCAST_CHARS = 20_000_000
 # A key with more rows than this is spread over tasks, unless there are so many such keys that the bound is raised.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
+# Documents whose distinct terms are looked up together have about so many terms.
+CHUNK_TERMS = 1 << 19
 
 
 def is_small(table: DataFrame, rows: int | None = None) -> bool:
@@ -126,14 +128,13 @@ def keep_documents(docs: DataFrame, min_terms: int = 2) -> DataFrame:
 def drop_stop_words(docs: DataFrame, stop_words: list[str] | DataFrame, stop_rows: int | None = None) -> DataFrame:
     """Remove listed words from ``terms``; repeated other terms stay, and so does the order. Null ``terms`` become none.
 
-    The words are a list or a table ``term``. A small table is sent to every task. A large one is joined to the terms,
-    which are brought together again by ``doc_id``; that must then be unique.
+    The words are a list or a table ``term``. A small table is sent to every task. With a large one chunks of documents ask for their
+    distinct terms; documents are dealt by ``doc_id``, which must then be unique.
     """
     if isinstance(stop_words, DataFrame):
         table = stop_words.select("term").where("term IS NOT NULL").distinct()
         if not is_small(table, stop_rows):
-            rows = docs.select("doc_id", F.posexplode("terms").alias("pos", "term"))
-            return _gathered(docs, lookup(rows, table, ["term"], "left_anti", BROADCAST_ROWS + 1, ("doc_id", "pos")))
+            return _changed(docs, table, ["term"])
         stop_words = [r["term"] for r in table.collect()]  # as is_small has measured
     remover = StopWordsRemover(stopWords=stop_words, caseSensitive=True, inputCol="_terms", outputCol="terms")
     given = docs.withColumn("_terms", F.coalesce("terms", F.array().cast("array<string>"))).drop("terms")
@@ -149,25 +150,62 @@ def normalize_terms(docs: DataFrame, lemmas: DataFrame, lemma_rows: int | None =
     """Map ``terms`` through a table ``lang, term, lemma``; unlisted terms stay, and so does the order of all.
 
     Needs ``lang, terms``; further columns stay. Of several lemmas of a term the lowest counts. A small table is sent to
-    every task, which maps the terms of a whole batch at once, so nothing of a document is shuffled. A large one is
-    joined to the terms, which are brought together again by ``doc_id``; that must then be unique.
+    every task, which maps the terms of a whole batch at once, so nothing of a document is shuffled. With a large one chunks of
+    documents ask for their distinct terms; documents are dealt by ``doc_id``, which must then be unique.
     """
     table = lemmas.where("lemma IS NOT NULL").groupBy("lang", "term").agg(F.min("lemma").alias("lemma"))
     rest = [c for c in docs.columns if c != "terms"]
     if is_small(table, lemma_rows):
         return _map_terms(docs.select(*rest, "terms"), table)
-    rows = docs.select("doc_id", "lang", F.posexplode("terms").alias("pos", "term"))
-    found = lookup(rows, table, ["lang", "term"], "left", BROADCAST_ROWS + 1, ("doc_id", "pos"))
-    return _gathered(docs, found.withColumn("term", F.coalesce("lemma", "term")))
-
-
-def _gathered(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs`` with the terms of ``rows``, ``doc_id, pos, term``, in the order of ``pos``; only ids, places and terms are grouped."""
-    found = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("_found"))
-    terms = F.coalesce(F.transform("_found", lambda x: x["term"]), F.array().cast("array<string>"))
-    rest = docs.drop("terms")
-    joined = rest.join(found, rest["doc_id"].eqNullSafe(found["_id"]), "left")
-    return joined.select(*[rest[c] for c in rest.columns], terms.alias("terms")).select(*docs.columns)
+    return _changed(docs, table, ["lang", "term"])
+
+
+def _changed(docs: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` with the terms that a table of any size lists by ``keys`` as its ``lemma``, or without them if it has none.
+
+    Documents are dealt by ``doc_id`` into chunks of about ``CHUNK_TERMS`` terms. A chunk sends its distinct terms, however often it
+    has them, to the table and gets back those that are listed, so documents are shuffled whole and once for either way.
+    Null ``terms`` become none. Terms of rows with one id are put together by place, as a document has but one row.
+    """
+    total = docs.agg(F.coalesce(F.sum(F.size(F.coalesce("terms", F.array().cast("array<string>"))).cast("long")), F.lit(0))).first()[0]
+    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(1 + total // CHUNK_TERMS))).repartition("_chunk")
+    # Rows of a chunk are together already, so nothing is shuffled for the distinct ones.
+    asked = dealt.select("_chunk", *keys[:-1], F.explode("terms").alias("term")).distinct()
+    found = asked.join(table, keys).select(F.col("_chunk").alias("_of"), *[F.col(c).alias(f"_{c}") for c in table.columns])
+    mapped = "lemma" in table.columns
+
+    def change(own: pa.Table, listed: pa.Table) -> pa.Table:
+        own, listed = own.combine_chunks(), listed.combine_chunks()
+        lists = own.column("terms").combine_chunks()
+        sizes = np.array(pc.fill_null(pc.list_value_length(lists), 0), np.int64)
+        flat, row = lists.flatten(), np.repeat(np.arange(own.num_rows), sizes)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        if mapped:
+            langs = own.column("lang").combine_chunks().take(pa.array(row))
+            for lang in pc.unique(listed.column("_lang")).to_pylist():
+                some = listed.filter(pc.equal(listed.column("_lang"), lang)).combine_chunks()
+                at = pc.index_in(flat, value_set=some.column("_term").combine_chunks())
+                hit = pc.and_(pc.is_valid(at), pc.fill_null(pc.equal(langs, lang), False))
+                flat = pc.if_else(hit, some.column("_lemma").combine_chunks().take(at), flat)
+        elif listed.num_rows:
+            stays = pc.invert(pc.is_in(flat, value_set=listed.column("_term").combine_chunks()))
+            chosen = stays.to_numpy(zero_copy_only=False)
+            flat, row, place = flat.filter(stays), row[chosen], place[chosen]
+        ids = own.column("doc_id").combine_chunks().dictionary_encode(null_encoding="encode")
+        if len(ids.dictionary) == own.num_rows:
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=own.num_rows))]).astype(np.int32)
+            terms = pa.ListArray.from_arrays(offsets, flat)
+        else:
+            doc = ids.indices.to_numpy()
+            together: list[list[tuple]] = [[] for _ in ids.dictionary]
+            for d, at, term in zip(doc[row].tolist(), place.tolist(), flat.to_pylist(), strict=True):
+                together[d].append((at, term is not None, term or ""))
+            every = [[term if some else None for _, some, term in sorted(found)] for found in together]
+            terms = pa.array([every[d] for d in doc.tolist()], lists.type)
+        return own.drop_columns(["_chunk", "terms"]).append_column("terms", terms).select(docs_columns)
+
+    docs_columns = docs.columns
+    return dealt.groupBy("_chunk").cogroup(found.groupBy("_of")).applyInArrow(change, docs.schema)
 
 
 def _map_terms(docs: DataFrame, table: DataFrame) -> DataFrame:

@@ -233,3 +233,22 @@ def test_resample(spark):
     assert drawn.join(df, "id", "left_anti").count() == 0
     big = resample(spark.range(20000), 4.0, seed=1).groupBy().agg(F.count("*")).first()[0]
     assert abs(big - 80000) < 2000
+
+
+@pytest.mark.parametrize("chunk", [1, 7])
+def test_chunks_ask_for_distinct_terms(spark, monkeypatch, chunk):
+    """No row for each place of a term; chunks, repeated ids and null ids give what single rows do."""
+    monkeypatch.setattr(tm, "CHUNK_TERMS", chunk)
+    data = [(i, "en" if i % 2 else "de", ["mice", "x", "mice", None][: i % 5]) for i in range(12)] + [(20, "en", ["b", "mice"]), (20, "de", ["mice", "a", "z"])]
+    docs = spark.createDataFrame(data, "doc_id long, lang string, terms array<string>")
+    lemmas = spark.createDataFrame([("en", "mice", "mouse"), ("de", "mice", "maus"), (None, "x", "y")], "lang string, term string, lemma string")
+    mapped = tm.normalize_terms(docs, lemmas, LARGE)
+    left = tm.drop_stop_words(docs, lemmas.select("term"), LARGE)
+    for df in (mapped, left):
+        assert "posexplode" not in df._jdf.queryExecution().optimizedPlan().toString()
+    word = {"en": "mouse", "de": "maus"}
+    want = {i: [word[lang] if t == "mice" else t for t in terms] for i, lang, terms in data if i < 20}
+    assert {r["doc_id"]: r["terms"] for r in mapped.where("doc_id < 20").collect()} == want
+    assert {r["doc_id"]: r["terms"] for r in left.where("doc_id < 20").collect()} == {i: [t for t in terms if t is None] for i, _, terms in data if i < 20}
+    assert [r["terms"] for r in mapped.where("doc_id = 20").collect()] == [["b", "maus", "a", "mouse", "z"]] * 2
+    assert [r["terms"] for r in left.where("doc_id = 20").collect()] == [["b", "a", "z"]] * 2
