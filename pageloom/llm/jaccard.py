@@ -29,9 +29,13 @@ NUMERATOR, DENOMINATOR = 85, 100
 BAND_WIDTH = 1.5
 SMALL_SET = 64
 SLACK = 0.15
-BUCKETS = 32
+BUCKETS, MOST_COUNTED = 256, (1 << 16) - 1
 STAR_ROUNDS = 1
 BLOCK_SETS, BLOCK_FEATURES = 1024, 1_000_000
+# Sets of a bucket that are compared by counts at once, and of how many all links are named.
+COUNT_SETS, LISTED_SETS = 4096, 32
+# Signatures are grouped in up to so many slices, each of its own shuffle.
+SLICES, SLICE_ROWS = 8, 8_000_000
 CACHE_WORDS = 300_000
 FILTER_BITS = 1 << 25
 EMPTY_NODE = np.int64(0)
@@ -133,10 +137,11 @@ def jaccard_groups(
     Texts link when den x intersection >= num x union of their sets of ``size``-word shingles; a text of fewer words is one
     shingle, one without a word or null links with nothing. Texts with one set are one node. Of the sets with a common
     signature, the one with most shared signatures is compared with all others first, which joins most copies of a text in as
-    many comparisons; sets that are still apart are then compared in blocks, which give trees and not pairs. Null ids name a component only if all of its
+    many comparisons; of sets that are still apart, those whose counts let them be similar are then compared in blocks, which give trees
+    and not pairs. Null ids name a component only if all of its
     ids are null; textless rows with a null id have a null component.
     """
-    scratch = Scratch(docs.sparkSession, "jaccard")
+    scratch = Scratch(docs.sparkSession, "jaccard", release=True)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
 
@@ -164,44 +169,40 @@ def jaccard_groups(
 
     names = ["doc_id", "n_shingles", "text_hash", "node", "sig"]
     marks = scratch.keep(rows.mapInArrow(mark, ", ".join(f"{n} long" for n in names)), "marks")
-    texts = marks.where("sig IS NULL").select("doc_id", "n_shingles", "text_hash", "node")
-    sigs = marks.where("sig IS NOT NULL").select("sig", "node")
-
-    shared = sigs.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("sig")
-    shared = scratch.keep(shared, "shared")
-    members = Members(shared, "sig", FILTER_BITS)
-
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(members.has(batch.column(0).to_numpy())))
-
-    buckets = scratch.keep(sigs.mapInArrow(maybe, "sig long, node long").distinct().join(shared, "sig"), "buckets")
+    texts = scratch.keep(marks.where("sig IS NULL").select("doc_id", "n_shingles", "text_hash", "node"), "texts")
+    parts = _buckets(marks.where("sig IS NOT NULL").select("sig", "node"), scratch)
+    scratch.drop(marks)
+    buckets = docs.sparkSession.read.schema(parts[0].schema).parquet(*[part.scratch_path for part in parts])
     scores = scratch.keep(buckets.groupBy("node").agg(F.count("*").alias("score")), "scores")
     sets = _sets(rows, texts, scores, scratch, size)
 
     open_ = scratch.keep(buckets.join(scores, "node").withColumns({"component": F.col("node"), "done": F.lit(False)}), "open")
-    scratch.drop(buckets)
+    scratch.drop(*parts)
     rows_open, rows_nodes = open_.count(), scores.count()
     groups = scratch.keep(scores.select(F.col("node").alias("id"), F.col("node").alias("component")), "groups")
     for turn in range(star_rounds + 1):
-        # The best place in the order is the one of the highest score; sets that have been compared with all are out.
-        best = F.max(F.when(~F.col("done"), F.struct("score", "node", "component"))).alias("hub")
-        apart = open_.groupBy("sig").agg(best, F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2 AND hub IS NOT NULL")
-        hubs = scratch.keep(apart.select("sig", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")), "hubs", rows_open)
-        stars = open_.join(hubs, "sig").where("NOT done AND node <> hub")
         if turn < star_rounds:
+            # The best place in the order is the one of the highest score; sets that have been compared with all are out.
+            best = F.max(F.when(~F.col("done"), F.struct("score", "node", "component"))).alias("hub")
+            apart = open_.groupBy("sig").agg(best, F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2 AND hub IS NOT NULL")
+            hubs = scratch.keep(apart.select("sig", F.col("hub.node").alias("hub"), F.col("hub.component").alias("hub_component")), "hubs", rows_open)
+            stars = open_.join(hubs, "sig").where("NOT done AND node <> hub")
             pairs = stars.where("component <> hub_component").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-            new = _verified(scratch.keep(pairs, "pairs", rows_open), sets, num, den)
+            pairs = scratch.keep(pairs, "pairs", rows_open)
+            new = scratch.keep(_verified(pairs, sets, num, den), "links", rows_nodes)
+            scratch.drop(pairs)
         else:
-            new = _within(stars.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), groups, sets, scratch, rows_nodes, num, den)
-        new = scratch.keep(new, "links", rows_nodes)
+            alike = _alike(open_.where("NOT done"), sets, scratch, rows_open, num, den)
+            new = scratch.keep(_within(alike, groups, sets, scratch, rows_nodes, num, den), "links", rows_nodes)
         # What is joined already counts as a link from its component, so the graph stays small.
         known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        groups = scratch.keep(components(known.unionByName(new), scratch), "groups", rows_nodes)
+        before, groups = groups, scratch.keep(components(known.unionByName(new), scratch), "groups", rows_nodes)
+        scratch.drop(before, new)
         if turn < star_rounds:
             now = open_.drop("component").join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
             now = now.join(hubs.select("sig", "hub"), "sig").withColumn("done", F.col("done") | (F.col("node") == F.col("hub")))
-            open_ = scratch.keep(now.select("node", "sig", "score", "component", "done"), "open", rows_open)
+            before, open_ = open_, scratch.keep(now.select("node", "sig", "score", "component", "done"), "open", rows_open)
+            scratch.drop(before, hubs)
             rows_open = open_.count()
             if not rows_open:
                 break
@@ -209,7 +210,7 @@ def jaccard_groups(
     named = named.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")))
     named = scratch.keep(named, "named")
     least = scratch.keep(named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
-    scratch.drop(marks, shared, scores, sets, open_, hubs, groups)
+    scratch.drop(texts, scores, sets, open_, groups)
     return named.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash")
 
 
@@ -218,7 +219,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Of rows with that id, those of the smallest hash of their text stay.
     """
-    scratch = Scratch(docs.sparkSession, "keep-one")
+    scratch = Scratch(docs.sparkSession, "keep-one", release=True)
     groups = scratch.keep(jaccard_groups(docs, id_col, text_col, **options).where("n_shingles > 0"), "groups")
     first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("text_hash").alias("first"))
     marked = groups.join(first.withColumnRenamed("component_id", "group_id"), F.col("component_id").eqNullSafe(F.col("group_id")), "left")
@@ -228,13 +229,109 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     return without_rows(docs, keys, dropped)
 
 
-def _within(stars: DataFrame, groups: DataFrame, sets: DataFrame, scratch: Scratch, rows: int, num: int, den: int) -> DataFrame:
-    """Links ``a, b`` that join what ``stars``, over any path, leave apart.
+def _buckets(sigs: DataFrame, scratch: Scratch) -> list[DataFrame]:
+    """Tables ``sig, node`` of the signatures that several sets have, each row once.
+
+    Signatures go through the shuffle slice by slice, so that its files never hold most of them, and each slice has the whole filter.
+    """
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(members.has(batch.column(0).to_numpy())))
+
+    slices, out = min(SLICES, 1 + sigs.count() // SLICE_ROWS), []
+    for i in range(slices):
+        own = sigs.where(F.pmod(F.shiftright("sig", 32), F.lit(slices)) == i)  # the filter goes by the lower bits
+        shared = own.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("sig")
+        shared = scratch.keep(shared, "shared")
+        members = Members(shared, "sig", FILTER_BITS)
+        out.append(scratch.keep(own.mapInArrow(maybe, "sig long, node long").distinct().join(shared, "sig"), "buckets"))
+        members.table.unpersist()
+        scratch.drop(shared)
+    return out
+
+
+def _alike(members: DataFrame, sets: DataFrame, scratch: Scratch, rows: int, num: int, den: int) -> DataFrame:
+    """Links ``a, b`` between sets of one bucket (``sig, node, component``) and of two components whose counts let them be similar.
+
+    That two sets share a signature by chance gets more likely the more sets there are, and such links would join most of a large table. Of
+    buckets with the same sets one is looked at, and a large bucket gives no more than a tree for each two of its blocks.
+    """
+    whole = members.groupBy("sig").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("all"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    one = whole.where("c1 <> c2").groupBy("size", "all").agg(F.min("sig").alias("sig"))
+    one = scratch.keep(one.select("sig", F.ceil(F.col("size") / COUNT_SETS).cast("int").alias("blocks")), "looked-at", rows)
+    placed = members.join(one, "sig").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = ["sig", "i", "j"]
+    placed = placed.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component")
+    placed = placed.join(sets.select("node", "n", "counts"), "node").select(*group, "node", "component", "n", "counts")
+
+    def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+        """Rows of groups that are complete, and where each begins."""
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            new = np.zeros(table.num_rows, bool)
+            new[0] = True
+            for c in group:
+                values = table.column(c).to_numpy()
+                new[1:] |= values[1:] != values[:-1]
+            begins = np.flatnonzero(new)
+            if begins[-1]:
+                yield table.slice(0, begins[-1]), begins[:-1]
+            rest = table.slice(begins[-1])
+        if rest is not None:
+            yield rest, np.zeros(1, np.int64)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begins in whole_groups(batches):
+            node, component, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
+            counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u2").reshape(-1, BUCKETS)
+            sizes = np.diff(np.r_[begins, len(node)])
+            for size in np.unique(sizes).tolist():
+                of = begins[sizes == size]
+                if size > LISTED_SETS:
+                    for at in of.tolist():
+                        own = slice(at, at + size)
+                        linked = np.stack([may_link(counts[x], counts[own], n[x], n[own], num, den) & (component[x] != component[own]) for x in range(at, at + size)])
+                        root = forest(linked, node[own])
+                        hit = root != node[own]
+                        yield pa.RecordBatch.from_arrays([pa.array(node[own][hit]), pa.array(root[hit])], ["a", "b"])
+                    continue
+                x, y = np.triu_indices(size, 1)
+                for at in range(0, len(of), 1 + (1 << 15) // max(1, len(x))):
+                    first = of[at : at + 1 + (1 << 15) // max(1, len(x)), None]
+                    a, b = (first + x).ravel(), (first + y).ravel()
+                    apart = component[a] != component[b]
+                    a, b = a[apart], b[apart]
+                    hit = may_link(counts[a], counts[b], n[a], n[b], num, den)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])[hit]), pa.array(np.maximum(node[a], node[b])[hit])], ["a", "b"])
+
+    return placed.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "a long, b long")
+
+
+def counts_of(features: np.ndarray) -> bytes:
+    """How many features lie in each of equal parts of the domain, none over ``MOST_COUNTED``."""
+    found = np.bincount((features >> np.uint64(56)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(found, MOST_COUNTED).astype("<u2").tobytes()
+
+
+def may_link(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of ``nx`` and ``ny`` features with the counts ``x`` and ``y`` can be similar: they have no more in common than the lesser counts."""
+    most = np.minimum(x, y).sum(axis=-1, dtype=np.int64)
+    return ((den + num) * most >= num * (nx + ny)) | (np.minimum(nx, ny) > MOST_COUNTED)
+
+
+def _within(alike: DataFrame, groups: DataFrame, sets: DataFrame, scratch: Scratch, rows: int, num: int, den: int) -> DataFrame:
+    """Links ``a, b`` that join what is apart of the clusters that ``alike`` links over any path.
 
     All sets of such a cluster are compared in blocks, each pair of blocks in a task of its own that counts common features by
     matrix products and gives no more than a tree of what it has joined. Blocks are bounded in sets and in features.
     """
-    cluster = scratch.keep(components(stars, scratch).select(F.col("id").alias("node"), F.col("component").alias("cluster")), "clusters", rows)
+    cluster = scratch.keep(components(alike, scratch).select(F.col("id").alias("node"), F.col("component").alias("cluster")), "clusters", rows)
     members = cluster.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = members.join(sets.select("node", "n"), "node")
     blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_FEATURES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks")
@@ -287,7 +384,7 @@ def _sets(rows: DataFrame, texts: DataFrame, nodes: DataFrame, scratch: Scratch,
 
         for _, own in text_batches(some(), 0, 1 << 20):
             found = {node_of(f): f for f in map(shingle, own) if len(f)}
-            counts = [np.bincount((f >> np.uint64(59)).astype(np.int64), minlength=BUCKETS).astype("<u4").tobytes() for f in found.values()]
+            counts = [counts_of(f) for f in found.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array([len(f) for f in found.values()], pa.int64()), pa.array(counts, pa.binary()), pa.array([f.tobytes() for f in found.values()], pa.binary())], ["node", "n", "counts", "features"])
 
     read = rows.select("text", "text_hash").mapInArrow(features, "node long, n long, counts binary, features binary")
@@ -303,9 +400,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.array([np.frombuffer(v, "<u4") for v in batch.column(c).to_pylist()], np.int64).reshape(-1, BUCKETS) for c in (2, 3))
-            most = np.minimum(x, y).sum(axis=1)
-            keep = (den + num) * most >= num * (x.sum(axis=1) + y.sum(axis=1))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, BUCKETS) for c in (4, 5))
+            keep = may_link(x, y, batch.column(2).to_numpy(), batch.column(3).to_numpy(), num, den)
             yield batch.filter(pa.array(keep)).select([0, 1])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,8 +415,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
                     keep.append(den * common >= num * (len(x) + len(y) - common))
                 yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    near = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b").where(f"{den} * least(a_n, b_n) >= {num} * greatest(a_n, b_n)").select("a", "b")
-    near = near.join(side("a", "counts"), "a").join(side("b", "counts"), "b").select("a", "b", "a_counts", "b_counts").mapInArrow(bounded, "a long, b long")
+    near = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b").where(f"{den} * least(a_n, b_n) >= {num} * greatest(a_n, b_n)").select("a", "b", "a_n", "b_n")
+    near = near.join(side("a", "counts"), "a").join(side("b", "counts"), "b").select("a", "b", "a_n", "b_n", "a_counts", "b_counts").mapInArrow(bounded, "a long, b long")
     full = near.join(side("a", "features"), "a").join(side("b", "features"), "b").select("a", "b", "a_features", "b_features")
     return full.mapInArrow(compared, "a long, b long")
 

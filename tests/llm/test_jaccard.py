@@ -4,7 +4,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from pageloom.llm.jaccard import Shingler, jaccard_groups, keep_one, signatures
+from pageloom.llm import jaccard
+from pageloom.llm.jaccard import BUCKETS, Shingler, counts_of, jaccard_groups, keep_one, may_link, signatures
 
 
 def shingles(text, size=4):
@@ -74,6 +75,43 @@ def test_other_threshold(families):
     check(families, size=5, num=80)
 
 
+@pytest.mark.parametrize("listed", [1, 4])
+def test_slices_and_blocks(families, listed, monkeypatch):
+    """Signatures in slices, buckets of many blocks, and trees in place of all links."""
+    for name, value in (("SLICE_ROWS", 500), ("COUNT_SETS", 3), ("LISTED_SETS", listed)):
+        monkeypatch.setattr(jaccard, name, value)
+    check(families, star_rounds=0)
+
+
+def test_links_by_chance(make_docs, monkeypatch):
+    """A passage that many texts have in common does not put them all into one cluster, of which every two sets are compared."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, " ".join([*(word() for _ in range(60)), passage, *(word() for _ in range(60))]), "en", "a") for i in range(40)]
+    rows += [(100 + i, f"{rows[0][1]} {i}", "en", "a") for i in range(3)]
+    seen, within = set(), jaccard._within
+
+    def counted(links, *rest):
+        seen.update(x for r in links.collect() for x in r)
+        return within(links, *rest)
+
+    monkeypatch.setattr(jaccard, "_within", counted)
+    check(make_docs(rows), star_rounds=0)
+    assert len(seen) == 4  # of 43 texts
+
+
+def test_counts_bound_what_sets_share():
+    rng = np.random.default_rng(2)
+    a = np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
+    near, far = np.unique(np.r_[a[300:], a[:150] + np.uint64(1)]), np.unique(rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2))
+    counts = np.frombuffer(b"".join(map(counts_of, (a, near, far))), "<u2").reshape(-1, BUCKETS)
+    sizes = np.array([len(a), len(near), len(far)])
+    assert may_link(counts[0], counts, sizes[0], sizes, 85, 100).tolist() == [True, True, False]
+    most = np.full((2, BUCKETS), (1 << 16) - 1, np.uint16)  # sets too large to be counted may be anything
+    assert may_link(most[0], most[1], np.int64(1 << 30), np.int64(1 << 30), 85, 100)
+
+
 def test_odd_rows(odd_docs):
     check(odd_docs)
 
