@@ -50,9 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
-    for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline", release=True)
+    for n, (name, stage) in enumerate(STAGES):
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir), name)
+        if n:
+            scratch.drop(before)
     return docs
 
 
