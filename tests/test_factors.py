@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from pyspark.sql import Observation
@@ -94,6 +95,28 @@ def groups_of_directions(n, groups, seed=1, spread=0.05):
     return [(f"t{i:04}", (base[i % groups] + spread * rng.normal(size=8)).tolist()) for i in range(n)]
 
 
+def test_planes_between_centres_leave_out_blocks(spark):
+    """Rows all around, whose blocks overlap as balls: planes still keep most rows at home, and none loses a neighbour."""
+    m = np.random.default_rng(8).normal(size=(3000, 4))
+    rows = [(f"t{i:04d}", v.tolist()) for i, v in enumerate(m)]
+    found = Observation()
+    df = factors.neighbors(spark.createDataFrame(rows, "id string, vec array<double>"), 3, 9, block_rows=150, observation=found)
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    score = np.round(unit @ unit.T, 9)
+    expected = {(f"t{i:04d}", f"t{j:04d}") for i in range(len(m)) for j in np.lexsort((np.arange(len(m)), -score[i]))[:3]}
+    assert {(r["id"], r["other"]) for r in df.collect()} == expected
+    assert 0 < found.get["rows"] < 3 * len(m)
+
+
+def test_strangers_give_only_what_reaches():
+    unit = lambda *angles: [[float(np.cos(a)), float(np.sin(a))] for a in angles]
+    a = pd.DataFrame({"id": ["a", "b"], "vec": unit(0.0, 1.0), "least": [0.99, -np.inf]})
+    b = pd.DataFrame({"id": ["x", "y", "z"], "vec": unit(0.1, 0.5, 2.0)})
+    got = factors._best(a, b, 2, None, reaching=True)
+    assert list(zip(got["id"], got["other"], strict=True)) == [("a", "x"), ("b", "y"), ("b", "x")]
+    assert factors._best(a, b[:0], 2, None, reaching=True).empty and factors._best(a[:0], b, 2, None, reaching=True).empty
+
+
 @pytest.mark.parametrize("digits", [None, 3])
 def test_pruned_neighbors_equal_all_products(spark, digits):
     rows = groups_of_directions(600, 12)
